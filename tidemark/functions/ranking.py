@@ -2,43 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def split_row_number(
-    df: DataFrame, group: list[str], order: Column, tie_hash: str, name: str, digits: int = 2
+# Rows one task may order in one window group; beyond it the group is cut into slices.
+HOT_GROUP_ROWS = 2_000_000
+
+
+def group_exceeds(df: DataFrame, group: list[str], limit: int = HOT_GROUP_ROWS) -> bool:
+    """Action: does any group hold more than ``limit`` rows? Reads only the group columns and
+    counts map-side first."""
+    sizes = df.groupBy(*group).agg(F.expr("count(*) as n"))
+    return not sizes.filter(f"n > {limit}").isEmpty()
+
+
+def row_number(
+    df: DataFrame, group: list[str], order: str, tie_hash: str, name: str, hot: bool
 ) -> DataFrame:
     """``row_number() over (partition by group order by order nulls last, tie_hash)``.
 
+    ``hot`` says whether some group is too big for one task (see :func:`group_exceeds`).
+    """
+    if hot:
+        return split_row_number(df, group, order, tie_hash, name)
+    return df.selectExpr(
+        "*",
+        f"cast(row_number() over (partition by {', '.join(group)} "
+        f"order by {order} nulls last, {tie_hash}) as bigint) as {name}",
+    )
+
+
+def split_row_number(
+    df: DataFrame, group: list[str], order: str, tie_hash: str, name: str, digits: int = 2
+) -> DataFrame:
+    """The same numbers for groups of any size.
+
     ``tie_hash`` is a uniform hex digest, so its first ``digits`` characters cut every group
     into order-preserving slices. Slices are counted with map-side partial aggregation, the
     counts (at most ordering values x 16^digits rows per group) are prefix-summed, and the
     rows themselves are numbered slice by slice. A group holding a third of the table is
     therefore spread over all tasks, and the numbers are the same as those of one big window.
     """
-    keys = [*group, "_order", "_slice"]
-    sliced = df.withColumn("_order", order).withColumn("_slice", F.substring(tie_hash, 1, digits))
-    before = Window.partitionBy(*[F.col(f"_k{i}") for i in range(len(group))]).orderBy(
-        F.col("_ko").asc_nulls_last(), "_ks"
+    columns = [*group, "_order", "_slice"]
+    sliced = df.selectExpr(
+        "*", f"{order} as _order", f"substring({tie_hash}, 1, {digits}) as _slice"
     )
-    # Renamed keys keep the null-safe join below unambiguous.
+    # Renamed keys keep the null-safe join unambiguous.
+    renamed = {name: f"_k{i}" for i, name in enumerate(columns)}
+    groups = ", ".join(renamed[name] for name in group)
     counts = (
-        sliced.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .select(
-            *[F.col(key).alias(f"_k{i}") for i, key in enumerate(group)],
-            F.col("_order").alias("_ko"),
-            F.col("_slice").alias("_ks"),
-            "_n",
+        sliced.groupBy(*columns)
+        .agg(F.expr("count(*) as _n"))
+        .withColumnsRenamed(renamed)
+        .selectExpr(
+            *renamed.values(),
+            f"sum(_n) over (partition by {groups} order by {renamed['_order']} nulls last, "
+            f"{renamed['_slice']}) - _n as _before",
         )
-        .withColumn("_before", F.sum("_n").over(before) - F.col("_n"))
     )
-    match = F.col("_order").eqNullSafe(F.col("_ko")) & F.col("_slice").eqNullSafe(F.col("_ks"))
-    for i, key in enumerate(group):
-        match = match & F.col(key).eqNullSafe(F.col(f"_k{i}"))
-    within = Window.partitionBy(*keys).orderBy(tie_hash)
-    return (
-        sliced.join(counts, match)
-        .withColumn(name, (F.col("_before") + F.row_number().over(within)).cast("long"))
-        .select(*df.columns, name)
+    match = " and ".join(f"`{name}` <=> {key}" for name, key in renamed.items())
+    listed = ", ".join(f"`{name}`" for name in columns)
+    return sliced.join(counts, F.expr(match)).selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"_before + row_number() over (partition by {listed} order by {tie_hash}) as {name}",
     )

@@ -1,9 +1,10 @@
-"""Column expressions for dirty vendor text. All stay inside whole-stage codegen."""
+"""SQL text of the expressions shared by operators.
 
-from __future__ import annotations
+Operators hand these to ``selectExpr``/``expr``: everything stays in whole-stage codegen, and a
+plan with hundreds of expressions is still built with a handful of calls into the JVM.
+"""
 
-from functools import reduce
-from operator import and_, or_
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -13,72 +14,78 @@ EXCHANGE_OF_SUFFIX = {"SH": "SSE", "SZ": "SZSE", "BJ": "BSE"}
 CODE_PATTERN = r"^[^.\s]+\.(SH|SZ|BJ)\z"
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions)
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(and_, conditions)
-
-
-def is_blank(column: Column) -> Column:
+def is_blank(x: str) -> str:
     """NULL or only spaces."""
-    return column.isNull() | (F.trim(column.cast("string")) == "")
+    return f"({x} is null or trim(cast({x} as string)) = '')"
 
 
-def parse_day_text(column: Column) -> Column:
+def parse_day(x: str) -> str:
     """YYYYMMDD or YYYY-MM-DD (a trailing '.0' is tolerated), anything else NULL."""
-    text = F.regexp_replace(F.trim(column.cast("string")), r"\.0\z", "")
-    return F.when(text.rlike(r"^[0-9]{8}\z"), F.try_to_date(text, "yyyyMMdd")).when(
-        text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date")
+    text = rf"regexp_replace(trim(cast({x} as string)), r'\.0\z', '')"
+    return (
+        rf"case when {text} rlike r'^[0-9]{{8}}\z' then try_to_date({text}, 'yyyyMMdd') "
+        rf"when {text} rlike r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z' then try_cast({text} as date) end"
     )
 
 
-def day_of(df: DataFrame, name: str) -> Column:
+def day_of(df: DataFrame, name: str) -> str:
     """A DATE from column ``name``: native dates and timestamps pass, text is parsed."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.DateType):
-        return F.col(name)
+        return name
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.col(name).cast("date")
-    return parse_day_text(F.col(name))
+        return f"cast({name} as date)"
+    return parse_day(name)
 
 
-def is_finite(column: Column) -> Column:
-    """TRUE only for a present number that is neither NaN nor infinite."""
-    return column.isNotNull() & ~F.isnan(column) & (F.abs(column) != F.lit(float("inf")))
+def is_finite(x: str) -> str:
+    """TRUE only for a present number that is neither NaN nor infinite; never NULL."""
+    return f"({x} is not null and not isnan({x}) and abs({x}) <> double('infinity'))"
 
 
-def is_security_code(column: Column) -> Column:
+def is_security_code(x: str) -> str:
     """FALSE (never NULL) for a missing code."""
-    return F.coalesce(column.rlike(CODE_PATTERN), F.lit(False))
-
-
-def differs(left: Column, right: Column) -> Column:
-    """Null-safe inequality (IS DISTINCT FROM)."""
-    return ~left.eqNullSafe(right)
+    return f"coalesce({x} rlike r'{CODE_PATTERN}', false)"
 
 
-def quarter_index(day: Column) -> Column:
+def quarter_index(day: str) -> str:
     """year * 4 + quarter - 1 for a calendar quarter end, else NULL."""
-    is_end = (day == F.last_day(day)) & (F.month(day) % 3 == 0)
-    return F.when(is_end, F.year(day) * 4 + F.quarter(day) - 1)
+    return (
+        f"case when {day} = last_day({day}) and month({day}) % 3 = 0 "
+        f"then year({day}) * 4 + quarter({day}) - 1 end"
+    )
 
 
-def quarter_end(index: Column) -> Column:
+def quarter_end(index: str) -> str:
     """The last day of the quarter numbered as in :func:`quarter_index`."""
-    year = F.floor(index / 4).cast("int")
-    month = ((index % 4 + 1) * 3).cast("int")
-    return F.last_day(F.make_date(year, month, F.lit(1)))
-
-
-def compensated_sum(terms: list[Column]) -> Column:
-    """Neumaier sum of a few doubles, so the result does not depend on cancellation order."""
-    total, lost = terms[0], F.lit(0.0)
-    for term in terms[1:]:
-        grown = total + term
-        lost = lost + F.when(F.abs(total) >= F.abs(term), (total - grown) + term).otherwise(
-            (term - grown) + total
-        )
-        total = grown
-    return total + lost
+    return (
+        f"last_day(make_date(cast(({index}) div 4 as int), "
+        f"cast((({index}) % 4 + 1) * 3 as int), 1))"
+    )
+
+
+def compensated_sum(terms: list[str]) -> str:
+    """Neumaier sum of a few doubles, so cancellation between terms loses nothing.
+
+    Folding an array keeps the generated code small.
+    """
+    return (
+        f"aggregate(array({', '.join(terms)}), "
+        "named_struct('s', cast(0 as double), 'c', cast(0 as double)), "
+        "(a, x) -> named_struct('s', a.s + x, 'c', a.c + if(abs(a.s) >= abs(x), "
+        "(a.s - (a.s + x)) + x, (x - (a.s + x)) + a.s)), a -> a.s + a.c)"
+    )
+
+
+def quoted(value: object) -> str:
+    """A SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def day_literal(value) -> str:
+    return f"date'{value.isoformat()}'"
+
+
+def exprs(columns: dict[str, str]) -> dict[str, Column]:
+    """``withColumns`` argument from SQL text."""
+    return {name: F.expr(text) for name, text in columns.items()}

@@ -6,7 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.operators.calendar import bounds, date_window, lookup_days
+from tidemark.functions.scalars import exprs
+from tidemark.operators.calendar import bounds, date_window, linked, lookup_days
 
 
 def explode_intervals(
@@ -21,17 +22,24 @@ def explode_intervals(
     """
     lo, hi, _ = bounds(calendar)
     clamped = (
-        intervals.withColumn("_lo_day", F.greatest(F.col(start), lo))
-        .withColumn("_hi_day", F.least(F.coalesce(F.col(end), hi), hi))
-        .filter(F.col(start).isNotNull() & (F.col("_lo_day") <= F.col("_hi_day")))
+        intervals.withColumns({"_lo_day": lo, "_hi_day": hi})
+        .withColumns(
+            exprs(
+                {
+                    "_lo_day": f"if({start} is not null, greatest({start}, _lo_day), null)",
+                    "_hi_day": f"least(coalesce({end}, _hi_day), _hi_day)",
+                }
+            )
+        )
+        .filter("_lo_day <= _hi_day")
     )
     indexed = lookup_days(clamped, calendar, "_lo_day", {"index_on_or_after": "_lo"})
     indexed = lookup_days(indexed, calendar, "_hi_day", {"index_on_or_before": "_hi"})
     spread = spread_rows(indexed.filter("_lo <= _hi"), parallelism)
-    days = F.broadcast(calendar.select("trade_date", F.col("trade_index").alias("_day_index")))
+    days = F.broadcast(calendar.selectExpr("trade_date", "trade_index as _day_index"))
     return (
-        spread.withColumn("_index", F.explode(F.sequence("_lo", "_hi")))
-        .join(days, F.col("_index") == F.col("_day_index"))
+        spread.selectExpr("*", "explode(sequence(_lo, _hi)) as _index")
+        .join(days, F.expr("_index = _day_index"))
         .drop("_lo_day", "_hi_day", "_lo", "_hi", "_index", "_day_index")
     )
 
@@ -77,11 +85,11 @@ def latest_on(versions: DataFrame, calendar: DataFrame, day: date, keys: list[st
 
 def validity_ranges(versions: DataFrame, keys: list[str]) -> DataFrame:
     """Add [valid_from, valid_to]: visible from available_date to the day before the next version."""
-    ordered = Window.partitionBy(*keys).orderBy("available_date")
-    return versions.select(
+    return versions.selectExpr(
         "*",
-        F.col("available_date").alias("valid_from"),
-        F.date_sub(F.lead("available_date").over(ordered), 1).alias("valid_to"),
+        "available_date as valid_from",
+        f"date_sub(lead(available_date) over (partition by {', '.join(keys)} "
+        "order by available_date), 1) as valid_to",
     )
 
 
@@ -97,13 +105,4 @@ def asof_panel(versions: DataFrame, panel_days: DataFrame, keys: list[str]) -> D
 
 def panel_calendar(calendar: DataFrame, wanted) -> DataFrame:
     """Re-index the calendar over the trading days matching the condition ``wanted``."""
-    ordered = Window.partitionBy("exchange").orderBy("trade_date")
-    return calendar.filter(wanted).select(
-        "trade_date",
-        F.lag("trade_date").over(ordered).alias("prev_trade_date"),
-        F.lead("trade_date").over(ordered).alias("next_trade_date"),
-        F.row_number().over(ordered).cast("bigint").alias("trade_index"),
-        "calendar_start",
-        "calendar_end",
-        "exchange",
-    )
+    return linked(calendar.filter(wanted))

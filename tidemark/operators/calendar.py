@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.scalars import day_of, differs
+from tidemark.functions.scalars import day_of, quoted
 
 # 500 years of natural days: about 10 MB as a broadcast, far below any executor's memory.
 MAX_CALENDAR_DAYS = 183_000
@@ -24,44 +24,32 @@ class CalendarError(ValueError):
 
 def source_days(source: DataFrame, exchange: str) -> DataFrame:
     """Typed natural days (cal_date, is_open) of one exchange; bad values become NULL."""
-    day = day_of(source, "cal_date")
-    flag = F.trim(F.col("is_open").cast("string"))
-    return source.filter(F.trim(F.col("exchange").cast("string")) == exchange).select(
-        day.alias("cal_date"),
-        F.when(flag.isin("0", "1"), flag.cast("int")).alias("is_open"),
+    flag = "trim(cast(is_open as string))"
+    return source.filter(f"trim(cast(exchange as string)) = {quoted(exchange)}").selectExpr(
+        f"{day_of(source, 'cal_date')} as cal_date",
+        f"case when {flag} in ('0', '1') then cast({flag} as int) end as is_open",
     )
 
 
 def calendar_source_checks(source: DataFrame, exchange: str) -> DataFrame:
     """(check_name, violations) of a calendar source, from one aggregate."""
-    facts = source_days(source, exchange).agg(
-        F.count("*").alias("n"),
-        F.count("cal_date").alias("dated"),
-        F.count_distinct("cal_date").alias("days"),
-        F.min("cal_date").alias("lo"),
-        F.max("cal_date").alias("hi"),
-        F.count_if(F.col("is_open").isNull()).alias("bad_open"),
-        F.count_if(F.col("is_open") == 1).alias("open_days"),
-    )
-    span = F.coalesce(F.datediff("hi", "lo") + 1, F.lit(0))
-    checks = {
-        "no_source_rows": (F.col("n") == 0).cast("bigint"),
-        "invalid_date": F.col("n") - F.col("dated"),
-        "duplicate_date": F.col("dated") - F.col("days"),
-        "invalid_is_open": F.col("bad_open"),
-        "missing_natural_day": span.cast("bigint") - F.col("days"),
-        "no_open_day": (F.col("open_days") == 0).cast("bigint"),
-    }
-    return facts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("check_name"), value.alias("violations"))
-                    for name, value in checks.items()
-                ]
-            )
+    days = source_days(source, exchange)
+    facts = days.groupBy().agg(
+        *map(
+            F.expr,
+            [
+                "count(*) as n", "count(cal_date) as dated", "count(distinct cal_date) as days",
+                "coalesce(datediff(max(cal_date), min(cal_date)) + 1, 0) as span",
+                "count_if(is_open is null) as bad_open", "count_if(is_open = 1) as open_days",
+            ],
         )
     )
+    return facts.selectExpr(
+        "stack(6, 'no_source_rows', cast(n = 0 as bigint), 'invalid_date', n - dated, "
+        "'duplicate_date', dated - days, 'invalid_is_open', bad_open, "
+        "'missing_natural_day', cast(span as bigint) - days, "
+        "'no_open_day', cast(open_days = 0 as bigint)) as (check_name, violations)"
+    )
 
 
 def validate_calendar_source(source: DataFrame, exchange: str) -> None:
@@ -76,24 +64,30 @@ def trading_calendar(source: DataFrame, exchange: str) -> DataFrame:
 
     The windows run over one exchange's natural days, a group whose size is guarded here.
     """
-    everything = Window.partitionBy("exchange")
-    ordered = everything.orderBy("trade_date")
-    too_long = F.count("*").over(everything) > MAX_CALENDAR_DAYS
-    guard = F.when(too_long, F.raise_error(F.lit("calendar longer than 500 years")).cast("date"))
-    days = (
-        source_days(source, exchange)
-        .select(F.col("cal_date").alias("trade_date"), "is_open", F.lit(exchange).alias("exchange"))
-        .withColumn("calendar_start", F.coalesce(guard, F.min("trade_date").over(everything)))
-        .withColumn("calendar_end", F.coalesce(guard, F.max("trade_date").over(everything)))
+    days = source_days(source, exchange).selectExpr(
+        "cal_date as trade_date", "is_open", f"{quoted(exchange)} as exchange"
+    )
+    checked = (
+        f"if(count(*) over (partition by exchange) > {MAX_CALENDAR_DAYS}, "
+        "cast(raise_error('calendar longer than 500 years') as date), "
+    )
+    bounded = days.selectExpr(
+        "*",
+        f"{checked} min(trade_date) over (partition by exchange)) as calendar_start",
+        f"{checked} max(trade_date) over (partition by exchange)) as calendar_end",
     )
-    return days.filter("is_open = 1").select(
+    return linked(bounded.filter("is_open = 1"))
+
+
+def linked(days: DataFrame) -> DataFrame:
+    """Previous/next links and a 1-based index over the given days of one exchange."""
+    by_date = "over (partition by exchange order by trade_date)"
+    return days.selectExpr(
         "trade_date",
-        F.lag("trade_date").over(ordered).alias("prev_trade_date"),
-        F.lead("trade_date").over(ordered).alias("next_trade_date"),
-        F.row_number().over(ordered).cast("bigint").alias("trade_index"),
-        "calendar_start",
-        "calendar_end",
-        "exchange",
+        f"lag(trade_date) {by_date} as prev_trade_date",
+        f"lead(trade_date) {by_date} as next_trade_date",
+        f"cast(row_number() {by_date} as bigint) as trade_index",
+        "calendar_start", "calendar_end", "exchange",
     )
 
 
@@ -103,31 +97,23 @@ def spine(calendar: DataFrame) -> DataFrame:
     Every open day stands for itself and for the closed days up to the next one; the first
     also stands for closed days before it. No shuffle and no window is needed.
     """
-    one_day = F.expr("interval 1 day")
-    last_covered = F.coalesce(
-        F.date_sub("next_trade_date", 1), F.col("calendar_end")
-    )
-    first_covered = F.when(
-        F.col("prev_trade_date").isNull(), F.col("calendar_start")
-    ).otherwise(F.col("trade_date"))
-    days = calendar.withColumn(
-        "cal_date", F.explode(F.sequence(first_covered, last_covered, one_day))
+    days = calendar.selectExpr(
+        "*",
+        "explode(sequence(if(prev_trade_date is null, calendar_start, trade_date), "
+        "coalesce(date_sub(next_trade_date, 1), calendar_end))) as cal_date",
     )
-    before, on = F.col("cal_date") < F.col("trade_date"), F.col("cal_date") == F.col("trade_date")
-    index, has_next = F.col("trade_index"), F.col("next_trade_date").isNotNull()
-    return days.select(
+    return days.selectExpr(
         "cal_date",
-        on.alias("is_open"),
-        F.when(on, index).alias("trade_index"),
-        F.when(before | on, index).when(has_next, index + 1).alias("index_on_or_after"),
-        F.when(before, None).otherwise(index).alias("index_on_or_before"),
-        F.when(on, F.when(index > 1, index - 1)).when(~before, index).alias("index_before"),
-        F.when(on, F.col("prev_trade_date")).when(~before, F.col("trade_date")).alias(
-            "prev_trade_date"
-        ),
-        F.when(before, F.col("trade_date")).otherwise(F.col("next_trade_date")).alias(
-            "next_trade_date"
-        ),
+        "cal_date = trade_date as is_open",
+        "case when cal_date = trade_date then trade_index end as trade_index",
+        "case when cal_date <= trade_date then trade_index "
+        "when next_trade_date is not null then trade_index + 1 end as index_on_or_after",
+        "case when cal_date >= trade_date then trade_index end as index_on_or_before",
+        "case when cal_date > trade_date then trade_index "
+        "when cal_date = trade_date and trade_index > 1 then trade_index - 1 end as index_before",
+        "case when cal_date > trade_date then trade_date "
+        "when cal_date = trade_date then prev_trade_date end as prev_trade_date",
+        "if(cal_date < trade_date, trade_date, next_trade_date) as next_trade_date",
         "calendar_start",
         "calendar_end",
     )
@@ -147,10 +133,10 @@ def lookup_days(df: DataFrame, calendar: DataFrame, day: str, columns: dict[str,
 
     Days outside coverage find no row and get NULLs.
     """
-    side = spine(calendar).select(
-        F.col("cal_date").alias("_cal_date"), *[F.col(k).alias(v) for k, v in columns.items()]
+    side = spine(calendar).selectExpr(
+        "cal_date as _cal_date", *[f"{k} as {v}" for k, v in columns.items()]
     )
-    return df.join(F.broadcast(side), F.col(day) == F.col("_cal_date"), "left").drop("_cal_date")
+    return df.join(F.broadcast(side), F.expr(f"{day} = _cal_date"), "left").drop("_cal_date")
 
 
 def date_facts(df: DataFrame, calendar: DataFrame, day: str) -> DataFrame:
@@ -166,10 +152,8 @@ def offset_days(df: DataFrame, calendar: DataFrame, day: str, n: int, name: str)
     """The trading day ``n`` sessions away; NULL when ``day`` is closed or the target is outside."""
     if isinstance(n, bool) or not isinstance(n, int):
         raise CalendarError(f"offset must be an integer: {n!r}")
-    days = calendar.select(F.col("trade_date").alias("_day"), F.col("trade_index").alias("_index"))
-    moved = calendar.select(
-        (F.col("trade_index") - n).alias("_origin"), F.col("trade_date").alias(name)
-    )
+    days = calendar.selectExpr("trade_date as _day", "trade_index as _index")
+    moved = calendar.selectExpr(f"trade_index - ({n}) as _origin", f"trade_date as {name}")
     shift = days.join(F.broadcast(moved), F.col("_index") == F.col("_origin")).select("_day", name)
     return df.join(F.broadcast(shift), F.col(day) == F.col("_day"), "left").drop("_day")
 
@@ -217,17 +201,18 @@ def slice_days(
 
 def calendar_violations(calendar: DataFrame) -> DataFrame:
     """Rows of a published calendar whose links or index differ from a recomputation."""
-    ordered = Window.partitionBy("exchange").orderBy("trade_date")
-    redone = calendar.select(
-        "*",
-        F.lag("trade_date").over(ordered).alias("_prev"),
-        F.lead("trade_date").over(ordered).alias("_next"),
-        F.row_number().over(ordered).alias("_index"),
+    by_date = "over (partition by exchange order by trade_date)"
+    return (
+        calendar.selectExpr(
+            "*",
+            f"lag(trade_date) {by_date} as _prev",
+            f"lead(trade_date) {by_date} as _next",
+            f"row_number() {by_date} as _index",
+        )
+        .filter(
+            "prev_trade_date is distinct from _prev or next_trade_date is distinct from _next "
+            "or trade_index is distinct from _index or trade_date < calendar_start "
+            "or trade_date > calendar_end"
+        )
+        .drop("_prev", "_next", "_index")
     )
-    return redone.filter(
-        differs(F.col("prev_trade_date"), F.col("_prev"))
-        | differs(F.col("next_trade_date"), F.col("_next"))
-        | differs(F.col("trade_index"), F.col("_index").cast("bigint"))
-        | (F.col("trade_date") < F.col("calendar_start"))
-        | (F.col("trade_date") > F.col("calendar_end"))
-    ).drop("_prev", "_next", "_index")

@@ -4,86 +4,84 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.contracts import TradeRules
-from tidemark.functions.scalars import day_of, is_finite
+from tidemark.functions.scalars import day_literal, day_of, exprs, is_finite, quoted
 from tidemark.operators import gates
 from tidemark.operators.calendar import slice_days
-from tidemark.operators.state import DAY_KEY
+from tidemark.operators.state import DAY_KEY, security_grid
 
-# Why a side is blocked, most important first, and the suffix meaning "unknown".
+# Fixed value: reasons with this suffix leave the side unknown rather than blocked.
 UNKNOWN_SUFFIX = "_UNKNOWN"
 
 
-def _source(raw: DataFrame) -> list[Column]:
+def _source(raw: DataFrame) -> list[str]:
     if "_source_file" in raw.columns:
-        return [F.col("_source_file"), F.col("_source_row")]
-    return [F.lit(None).cast("string").alias("_source_file"),
-            F.lit(None).cast("bigint").alias("_source_row")]
+        return ["_source_file", "_source_row"]
+    return ["cast(null as string) as _source_file", "cast(null as bigint) as _source_row"]
 
 
 def normalize_suspensions(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "ts_code",
-        day_of(raw, "trade_date").alias("trade_date"),
-        F.upper(F.trim("suspend_type")).alias("suspend_type"),
-        F.nullif(F.trim(F.col("suspend_timing").cast("string")), F.lit("")).alias("suspend_timing"),
+    return raw.selectExpr(
+        "ts_code", f"{day_of(raw, 'trade_date')} as trade_date",
+        "upper(trim(suspend_type)) as suspend_type",
+        "nullif(trim(cast(suspend_timing as string)), '') as suspend_timing",
         *_source(raw),
     )
 
 
 def normalize_limit_events(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "ts_code",
-        day_of(raw, "trade_date").alias("trade_date"),
-        F.upper(F.trim("limit")).alias("limit_type"),
-        *_source(raw),
+    return raw.selectExpr(
+        "ts_code", f"{day_of(raw, 'trade_date')} as trade_date",
+        "upper(trim(`limit`)) as limit_type", *_source(raw),
     )
 
 
 def normalize_limit_prices(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "ts_code",
-        day_of(raw, "trade_date").alias("trade_date"),
-        F.col("up_limit").try_cast("double").alias("up_limit"),
-        F.col("down_limit").try_cast("double").alias("down_limit"),
+    return raw.selectExpr(
+        "ts_code", f"{day_of(raw, 'trade_date')} as trade_date",
+        "try_cast(up_limit as double) as up_limit",
+        "try_cast(down_limit as double) as down_limit",
         *_source(raw),
     )
 
 
-def is_valid_limit() -> Column:
-    up, down = F.col("up_limit"), F.col("down_limit")
-    return is_finite(up) & is_finite(down) & (up > down) & (down > 0)
+VALID_LIMIT = (
+    f"coalesce({is_finite('up_limit')} and {is_finite('down_limit')} "
+    "and up_limit > down_limit and down_limit > 0, false)"
+)
 
 
 def valid_limit_prices(limit_prices: DataFrame) -> DataFrame:
-    return limit_prices.filter(is_valid_limit())
+    return limit_prices.filter(VALID_LIMIT)
 
 
 def invalid_limit_prices(limit_prices: DataFrame) -> DataFrame:
     """Placeholder or broken limits: excluded from evidence, but reported."""
-    return limit_prices.filter(~F.coalesce(is_valid_limit(), F.lit(False)))
+    return limit_prices.filter(f"not {VALID_LIMIT}")
 
 
-def suspension_rules() -> dict[str, Column]:
-    kind = F.col("suspend_type")
-    return {**gates.dated_rules(), "suspend_type": kind.isNull() | ~kind.isin("S", "R")}
+def suspension_rules() -> dict[str, str]:
+    return {
+        **gates.dated_rules(),
+        "suspend_type": "suspend_type is null or suspend_type not in ('S', 'R')",
+    }
 
 
-def limit_event_rules(rules: TradeRules) -> dict[str, Column]:
-    kind = F.col("limit_type")
+def limit_event_rules(rules: TradeRules) -> dict[str, str]:
     known = (rules.limit_up_code, rules.limit_down_code, rules.opened_limit_code)
-    return {**gates.dated_rules(), "limit_type": kind.isNull() | ~kind.isin(*known)}
+    listed = ", ".join(map(quoted, known))
+    return {
+        **gates.dated_rules(), "limit_type": f"limit_type is null or limit_type not in ({listed})"
+    }
 
 
 def limit_day_gaps(limit_prices: DataFrame, calendar: DataFrame) -> DataFrame:
     """Trading days inside the limit source's own range on which it has no row at all."""
     days = limit_prices.select("trade_date").distinct()
     lo, hi = days.agg(F.min("trade_date")).scalar(), days.agg(F.max("trade_date")).scalar()
-    inside = calendar.select("trade_date").filter(
-        (F.col("trade_date") >= lo) & (F.col("trade_date") <= hi)
-    )
+    inside = calendar.select("trade_date").filter(F.col("trade_date").between(lo, hi))
     return inside.join(days, "trade_date", "left_anti")
 
 
@@ -91,7 +89,7 @@ def coverage_gaps(
     state: DataFrame, securities: DataFrame, calendar: DataFrame,
     start: date | None = None, end: date | None = None,
 ) -> DataFrame:
-    """(day, code) pairs of the full grid that the state table lacks, per security and count.
+    """(day, code) pairs of the full grid that the state table lacks.
 
     A security has every day exactly when its distinct day count equals the calendar's, so
     complete securities are dismissed by one aggregate and only the others are expanded.
@@ -108,8 +106,6 @@ def coverage_gaps(
     lacking = codes.join(held, "ts_code", "left").filter(
         F.coalesce("_held", F.lit(0)) < expected
     ).select("ts_code")
-    from tidemark.operators.state import security_grid
-
     grid = security_grid(lacking, calendar, start, end).select("trade_date", "ts_code")
     return grid.join(state.select("trade_date", "ts_code"), DAY_KEY, "left_anti")
 
@@ -149,10 +145,8 @@ def date_range_gap(
     actual = table.agg(F.min("trade_date").alias("actual_first"),
                        F.max("trade_date").alias("actual_last"))
     return actual.withColumns({"wanted_first": wanted_lo, "wanted_last": wanted_hi}).filter(
-        (F.col("wanted_first") <= F.col("wanted_last"))
-        & (F.col("actual_first").isNull()
-           | (F.col("actual_first") > F.col("wanted_first"))
-           | (F.col("actual_last") < F.col("wanted_last")))
+        "wanted_first <= wanted_last and (actual_first is null "
+        "or actual_first > wanted_first or actual_last < wanted_last)"
     )
 
 
@@ -162,66 +156,56 @@ def suspension_facts(suspensions: DataFrame) -> DataFrame:
     Flags and the two-valued type list come from plain flags; only distinct file names are
     collected, so repeated events of a hot key never pile up in one row.
     """
-    stopped, timed = F.col("suspend_type") == "S", F.col("suspend_timing").isNotNull()
-    facts = suspensions.groupBy(*DAY_KEY).agg(
-        F.bool_or(stopped).alias("observed_suspend"),
-        F.bool_or(stopped & ~timed).alias("observed_full_day"),
-        F.bool_or(stopped & timed).alias("observed_intraday"),
-        F.bool_or(F.col("suspend_type") == "R").alias("observed_resume"),
-        F.array_sort(F.collect_set("_source_file")).alias("source_suspend_files"),
-    )
-    return facts.withColumn(
-        "observed_suspend_types",
-        _present({"R": F.col("observed_resume"), "S": F.col("observed_suspend")}),
+    facts = [
+        "bool_or(suspend_type = 'S') as observed_suspend",
+        "bool_or(suspend_type = 'S' and suspend_timing is null) as observed_full_day",
+        "bool_or(suspend_type = 'S' and suspend_timing is not null) as observed_intraday",
+        "bool_or(suspend_type = 'R') as observed_resume",
+        "array_sort(collect_set(_source_file)) as source_suspend_files",
+    ]
+    types = _present({"R": "observed_resume", "S": "observed_suspend"})
+    return suspensions.groupBy(*DAY_KEY).agg(*map(F.expr, facts)).withColumn(
+        "observed_suspend_types", F.expr(types)
     )
 
 
 def limit_facts(limit_events: DataFrame, rules: TradeRules) -> DataFrame:
     """Limit-up, limit-down and opened-limit evidence per (day, code)."""
-    kind = F.col("limit_type")
-    facts = limit_events.groupBy(*DAY_KEY).agg(
-        F.bool_or(kind == rules.limit_up_code).alias("observed_up"),
-        F.bool_or(kind == rules.limit_down_code).alias("observed_down"),
-        F.bool_or(kind == rules.opened_limit_code).alias("observed_opened"),
-        F.array_sort(F.collect_set("_source_file")).alias("source_limit_files"),
-    )
-    return facts.withColumn(
-        "observed_limit_events",
-        _present(
-            {
-                rules.limit_down_code: F.col("observed_down"),
-                rules.limit_up_code: F.col("observed_up"),
-                rules.opened_limit_code: F.col("observed_opened"),
-            }
-        ),
+    names = {
+        rules.limit_up_code: "observed_up",
+        rules.limit_down_code: "observed_down",
+        rules.opened_limit_code: "observed_opened",
+    }
+    facts = [f"bool_or(limit_type = {quoted(code)}) as {name}" for code, name in names.items()]
+    facts.append("array_sort(collect_set(_source_file)) as source_limit_files")
+    return limit_events.groupBy(*DAY_KEY).agg(*map(F.expr, facts)).withColumn(
+        "observed_limit_events", F.expr(_present(names))
     )
 
 
-def _present(flags: dict[str, Column]) -> Column:
-    """Sorted labels whose flag is TRUE."""
-    return F.array_compact(
-        F.array(*[F.when(flags[label], F.lit(label)) for label in sorted(flags)])
-    )
+def _present(flags: dict[str, str]) -> str:
+    """Sorted labels whose flag column is TRUE."""
+    items = ", ".join(f"if({flags[label]}, {quoted(label)}, null)" for label in sorted(flags))
+    return f"array_compact(array({items}))"
 
 
-def _ladder(side_flag: str, label: str) -> Column:
-    """First reason that applies; a NULL condition falls through, as in SQL CASE."""
+def _ladder(side_flag: str, label: str) -> str:
+    """First reason that applies; a NULL condition falls through."""
     return (
-        F.when(F.col("is_delisted"), "DELISTED")
-        .when(~F.col("is_listed"), "NOT_LISTED")
-        .when(F.col("is_intraday_suspended"), "INTRADAY_SUSPENSION")
-        .when(F.col("is_suspended"), "FULL_DAY_SUSPENSION")
-        .when(~F.col("quotation_exists"), "NO_QUOTE")
-        .when(F.col("vol") <= 0, "NO_VOLUME")
-        .when(F.col(side_flag), label)
-        .when(F.col("is_suspended").isNull(), "SUSPENSION_STATUS_UNKNOWN")
-        .when(F.col(side_flag).isNull(), "LIMIT_STATUS_UNKNOWN")
+        "case when is_delisted then 'DELISTED' when not is_listed then 'NOT_LISTED' "
+        "when is_intraday_suspended then 'INTRADAY_SUSPENSION' "
+        "when is_suspended then 'FULL_DAY_SUSPENSION' "
+        "when not quotation_exists then 'NO_QUOTE' when vol <= 0 then 'NO_VOLUME' "
+        f"when {side_flag} then '{label}' "
+        "when is_suspended is null then 'SUSPENSION_STATUS_UNKNOWN' "
+        f"when {side_flag} is null then 'LIMIT_STATUS_UNKNOWN' end"
     )
 
 
-def _verdict(reason: str) -> Column:
-    return F.when(F.col(reason).isNull(), True).when(
-        ~F.col(reason).endswith(UNKNOWN_SUFFIX), False
+def _verdict(reason: str) -> str:
+    return (
+        f"case when {reason} is null then true "
+        f"when not endswith({reason}, '{UNKNOWN_SUFFIX}') then false end"
     )
 
 
@@ -241,97 +225,84 @@ def trade_status(
     Events are reduced to one row per (trade_date, ts_code) before joining, so every join is
     one-to-one on that key and all five inputs share one hash partitioning.
     """
-    st = slice_days(state, calendar, start, end).select(
+    st = slice_days(state, calendar, start, end).selectExpr(
         *DAY_KEY, "is_listed", "is_delisted", "is_not_yet_listed",
-        F.col("source_file").alias("source_stock_file"),
+        "source_file as source_stock_file",
     )
-    has_lineage = "source_file" in prices.columns
-    quoted = prices.select(
-        *DAY_KEY, F.lit(True).alias("_quoted"), F.col("close").alias("raw_close"), "vol", "amount",
-        (F.col("source_file") if has_lineage else F.lit(None).cast("string"))
-        .alias("source_price_file"),
-        (F.col("source_row") if has_lineage else F.lit(None).cast("bigint"))
-        .alias("source_price_row"),
+    if "source_file" in prices.columns:
+        lineage = ["source_file as source_price_file", "source_row as source_price_row"]
+    else:
+        lineage = ["cast(null as string) as source_price_file",
+                   "cast(null as bigint) as source_price_row"]
+    quoted_days = prices.selectExpr(
+        *DAY_KEY, "true as _quoted", "close as raw_close", "vol", "amount", *lineage
     )
-    limits = valid_limit_prices(limit_prices).select(
-        *DAY_KEY, F.lit(True).alias("_limited"), "up_limit", "down_limit",
-        F.col("_source_file").alias("source_limit_price_file"),
-        F.col("_source_row").alias("source_limit_price_row"),
+    limits = valid_limit_prices(limit_prices).selectExpr(
+        *DAY_KEY, "true as _limited", "up_limit", "down_limit",
+        "_source_file as source_limit_price_file", "_source_row as source_limit_price_row",
     )
     joined = (
-        st.join(quoted, DAY_KEY, "left")
+        st.join(quoted_days, DAY_KEY, "left")
         .join(suspension_facts(suspensions), DAY_KEY, "left")
         .join(limit_facts(limit_events, rules), DAY_KEY, "left")
         .join(limits, DAY_KEY, "left")
     )
-    no, none = F.lit(False), F.array().cast("array<string>")
     flags = ["observed_suspend", "observed_full_day", "observed_intraday", "observed_up",
              "observed_down", "observed_opened"]
     lists = ["source_suspend_files", "observed_suspend_types", "observed_limit_events",
              "source_limit_files"]
-    facts = joined.withColumns(
-        {
-            "quotation_exists": F.coalesce("_quoted", no),
-            "limit_price_exists": F.coalesce("_limited", no),
-            "has_resume_event": F.coalesce("observed_resume", no),
-            **{name: F.coalesce(name, no) for name in flags},
-            **{name: F.coalesce(name, none) for name in lists},
-        }
-    ).drop("_quoted", "_limited", "observed_resume")
-
-    day, suspended = F.col("trade_date"), F.col("observed_suspend")
-    suspension_known = no
+    suspension_known = limits_known = "false"
     if rules.suspension_events_complete:
-        suspension_known = day.between(
-            F.lit(rules.coverage_start), F.lit(rules.coverage_end)
-        ) & F.split_part("ts_code", F.lit("."), F.lit(2)).isin(
-            *rules.suspension_complete_code_suffixes
+        suffixes = ", ".join(map(quoted, rules.suspension_complete_code_suffixes))
+        suspension_known = (
+            f"(trade_date between {day_literal(rules.coverage_start)} "
+            f"and {day_literal(rules.coverage_end)} "
+            f"and split_part(ts_code, '.', 2) in ({suffixes}))"
         )
-    limits_known = no
     if rules.limit_events_complete:
-        limits_known = day.between(
-            F.lit(rules.limit_coverage_start), F.lit(rules.limit_coverage_end)
+        limits_known = (
+            f"trade_date between {day_literal(rules.limit_coverage_start)} "
+            f"and {day_literal(rules.limit_coverage_end)}"
         )
-    priced = F.col("quotation_exists") & F.col("limit_price_exists")
-    evidence = facts.withColumns(
-        {
-            "is_suspended": F.when(suspended, True).when(suspension_known, False),
-            "is_full_day_suspended": F.when(F.col("observed_full_day"), True).when(
-                suspended | suspension_known, False
-            ),
-            "is_intraday_suspended": F.when(F.col("observed_intraday"), True).when(
-                suspended | suspension_known, False
-            ),
-            "price_limit_up": F.when(priced, F.col("raw_close") >= F.col("up_limit")),
-            "price_limit_down": F.when(priced, F.col("raw_close") <= F.col("down_limit")),
-        }
-    )
-
-    def direction(observed: str, opposite: str, by_price: str) -> Column:
-        otherwise = F.col(opposite) | F.col("observed_opened") | limits_known
+    observed = {
+        "quotation_exists": "coalesce(_quoted, false)",
+        "limit_price_exists": "coalesce(_limited, false)",
+        "has_resume_event": "coalesce(observed_resume, false)",
+        **{name: f"coalesce({name}, false)" for name in flags},
+        **{name: f"coalesce({name}, cast(array() as array<string>))" for name in lists},
+    }
+    priced = "quotation_exists and limit_price_exists"
+    evidence = {
+        "is_suspended": f"case when observed_suspend then true when {suspension_known} "
+        "then false end",
+        "is_full_day_suspended": "case when observed_full_day then true "
+        f"when observed_suspend or {suspension_known} then false end",
+        "is_intraday_suspended": "case when observed_intraday then true "
+        f"when observed_suspend or {suspension_known} then false end",
+        "price_limit_up": f"case when {priced} then raw_close >= up_limit end",
+        "price_limit_down": f"case when {priced} then raw_close <= down_limit end",
+    }
+
+    def direction(seen: str, opposite: str, by_price: str) -> str:
         return (
-            F.when(F.col(observed) | F.col(by_price), True)
-            .when(F.col(by_price).isNotNull(), False)
-            .when(otherwise, False)
+            f"case when {seen} or {by_price} then true when {by_price} is not null then false "
+            f"when {opposite} or observed_opened or {limits_known} then false end"
         )
 
-    return (
-        evidence.withColumns(
-            {
-                "is_limit_up": direction("observed_up", "observed_down", "price_limit_up"),
-                "is_limit_down": direction("observed_down", "observed_up", "price_limit_down"),
-            }
-        )
-        .withColumns(
-            {
-                "cannot_buy_reason": _ladder("is_limit_up", "LIMIT_UP"),
-                "cannot_sell_reason": _ladder("is_limit_down", "LIMIT_DOWN"),
-            }
-        )
-        .withColumns(
-            {"can_buy": _verdict("cannot_buy_reason"), "can_sell": _verdict("cannot_sell_reason")}
-        )
-    )
+    directions = {
+        "is_limit_up": direction("observed_up", "observed_down", "price_limit_up"),
+        "is_limit_down": direction("observed_down", "observed_up", "price_limit_down"),
+    }
+    reasons = {
+        "cannot_buy_reason": _ladder("is_limit_up", "LIMIT_UP"),
+        "cannot_sell_reason": _ladder("is_limit_down", "LIMIT_DOWN"),
+    }
+    verdicts = {
+        "can_buy": _verdict("cannot_buy_reason"), "can_sell": _verdict("cannot_sell_reason")
+    }
+    for step in (observed, evidence, directions, reasons, verdicts):
+        joined = joined.withColumns(exprs(step))
+    return joined.drop("_quoted", "_limited", "observed_resume")
 
 
 def unmatched_events(events: DataFrame, state: DataFrame) -> DataFrame:
@@ -342,6 +313,5 @@ def unmatched_events(events: DataFrame, state: DataFrame) -> DataFrame:
 def limit_conflicts(status: DataFrame) -> DataFrame:
     """Days on which a limit event contradicts the price evidence."""
     return status.filter(
-        (F.col("observed_up") & ~F.col("price_limit_up"))
-        | (F.col("observed_down") & ~F.col("price_limit_down"))
+        "(observed_up and not price_limit_up) or (observed_down and not price_limit_down)"
     ).select(*DAY_KEY, "raw_close", "up_limit", "down_limit", "observed_limit_events")

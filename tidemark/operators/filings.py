@@ -7,17 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.fingerprint import record_id
-from tidemark.functions.ranking import split_row_number
-from tidemark.functions.scalars import day_of, is_blank, is_security_code
+from tidemark.functions.ranking import group_exceeds, row_number
+from tidemark.functions.scalars import day_of, exprs, is_blank, is_security_code, quoted
 from tidemark.operators.calendar import bounds, lookup_days
 
 FILING_DATES = ("ann_date", "f_ann_date", "end_date")
 
 
-def identified(raw: DataFrame, source_table: str) -> DataFrame:
-    """Source rows with their content identity; lineage columns do not take part in it."""
-    own = [c for c in raw.columns if not c.startswith("_source_")]
-    return raw.withColumn("record_id", record_id(source_table, own))
+def own_columns(raw: DataFrame) -> list[str]:
+    """Vendor columns; lineage columns take no part in a record's identity."""
+    return [c for c in raw.columns if not c.startswith("_source_")]
 
 
 def record_locations(raw: DataFrame, source_table: str) -> DataFrame:
@@ -26,8 +25,9 @@ def record_locations(raw: DataFrame, source_table: str) -> DataFrame:
     This child table carries the complete lineage. A list per record would grow with the
     number of copies, and one much-copied record could then outgrow a task.
     """
-    return identified(raw, source_table).select(
-        F.lit(source_table).alias("source_table"), "record_id",
+    return raw.select(
+        F.lit(source_table).alias("source_table"),
+        record_id(source_table, own_columns(raw)).alias("record_id"),
         F.col("_source_file").alias("file"), F.col("_source_row").alias("row"),
     )
 
@@ -38,32 +38,30 @@ def dedup_records(raw: DataFrame, source_table: str) -> DataFrame:
     Copies collapse map-side: a record holding a third of the table sends one row per task.
     Copies agree on every column, so taking any of them loses nothing.
     """
-    own = [c for c in raw.columns if not c.startswith("_source_")]
-    first = F.min(F.struct(F.col("_source_file").alias("file"), F.col("_source_row").alias("row")))
+    own = own_columns(raw)
     return (
-        identified(raw, source_table)
+        raw.withColumn("record_id", record_id(source_table, own))
         .groupBy("record_id")
         .agg(
-            F.count("*").alias("source_count"),
-            first.alias("_first"),
-            *[F.any_value(name).alias(name) for name in own],
+            F.expr("count(*) as source_count"),
+            F.expr("min(struct(_source_file as file, _source_row as row)) as _first"),
+            *[F.expr(f"any_value(`{name}`) as `{name}`") for name in own],
         )
-        .select(
-            *own, "record_id", "source_count",
-            F.col("_first.file").alias("source_file"), F.col("_first.row").alias("source_row"),
-            F.lit(source_table).alias("source_table"),
+        .selectExpr(
+            *[f"`{name}`" for name in own], "record_id", "source_count",
+            "_first.file as source_file", "_first.row as source_row",
+            f"{quoted(source_table)} as source_table",
         )
     )
 
 
 def normalize_filings(records: DataFrame) -> DataFrame:
     """Typed dates beside their raw text, and the later of the two announcements."""
-    for absent in ("f_ann_date", "report_type"):
-        if absent not in records.columns:
-            records = records.withColumn(absent, F.lit(None).cast("string"))
-    raw = {f"raw_{name}": F.col(name).cast("string") for name in FILING_DATES}
+    absent = [c for c in ("f_ann_date", "report_type") if c not in records.columns]
+    records = records.selectExpr("*", *[f"cast(null as string) as {c}" for c in absent])
+    raw = {f"raw_{name}": f"cast({name} as string)" for name in FILING_DATES}
     typed = {name: day_of(records, name) for name in FILING_DATES}
-    return records.withColumns({**raw, **typed}).withColumn(
+    return records.withColumns(exprs({**raw, **typed})).withColumn(
         "effective_ann_date", F.greatest("ann_date", "f_ann_date")
     )
 
@@ -74,44 +72,69 @@ def union_filings(sources: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def filings_available(sources: dict[str, DataFrame], calendar: DataFrame) -> DataFrame:
+VERSION_GROUP = ["source_table", "ts_code", "end_date", "report_type"]
+
+
+def has_hot_period(sources: dict[str, DataFrame]) -> bool:
+    """Action: may one company's one period be too big to number in one task?
+
+    Counted on raw rows, four narrow columns, before copies are merged: an upper bound.
+    """
+    keys = []
+    for table, raw in sources.items():
+        kind = "report_type" if "report_type" in raw.columns else "cast(null as string)"
+        keys.append(
+            raw.selectExpr(
+                f"{quoted(table)} as source_table", "ts_code",
+                f"{day_of(raw, 'end_date')} as end_date", f"{kind} as report_type",
+            )
+        )
+    return group_exceeds(reduce(DataFrame.unionByName, keys), VERSION_GROUP)
+
+
+def filings_available(
+    sources: dict[str, DataFrame], calendar: DataFrame, hot: bool | None = None
+) -> DataFrame:
     """Every filing version with its version number, status and availability date.
 
     A record becomes available on the first trading day strictly after its effective
     announcement. Nothing is dropped: unusable records keep a status and no date. Version
-    numbers are dense per (source, code, period, report type) and carry no priority.
+    numbers are dense per (source, code, period, report type) and carry no priority; ``hot``
+    skips the check that chooses how they are computed.
     """
     versions = union_filings(sources)
-    numbered = split_row_number(
-        versions, ["source_table", "ts_code", "end_date", "report_type"],
-        F.col("effective_ann_date"), "record_id", "version",
+    if hot is None:
+        hot = has_hot_period(sources)
+    numbered = row_number(
+        versions, VERSION_GROUP, "effective_ann_date", "record_id", "version", hot
     )
     mapped = lookup_days(
         numbered, calendar, "effective_ann_date", {"next_trade_date": "_mapped"}
     )
     lo, hi, _ = bounds(calendar)
-    announced = F.col("effective_ann_date")
 
-    def unreadable(name: str):
-        return ~is_blank(F.col(f"raw_{name}")) & F.col(name).isNull()
+    def unreadable(name: str) -> str:
+        return f"(not {is_blank('raw_' + name)} and {name} is null)"
 
     status = (
-        F.when(~is_security_code(F.col("ts_code")), "invalid_code")
-        .when(F.col("end_date").isNull(), "invalid_report_date")
-        .when(is_blank(F.col("raw_ann_date")) & is_blank(F.col("raw_f_ann_date")),
-              "missing_announcement")
-        .when(unreadable("ann_date") | unreadable("f_ann_date"), "invalid_announcement")
-        .when(announced < F.col("end_date"), "announcement_before_report")
-        .when(announced < lo, "calendar_before_coverage")
-        .when((announced > hi) | F.col("_mapped").isNull(), "calendar_after_coverage")
-        .otherwise("available")
+        f"case when not {is_security_code('ts_code')} then 'invalid_code' "
+        "when end_date is null then 'invalid_report_date' "
+        f"when {is_blank('raw_ann_date')} and {is_blank('raw_f_ann_date')} "
+        "then 'missing_announcement' "
+        f"when {unreadable('ann_date')} or {unreadable('f_ann_date')} "
+        "then 'invalid_announcement' "
+        "when effective_ann_date < end_date then 'announcement_before_report' "
+        "when effective_ann_date < _lo then 'calendar_before_coverage' "
+        "when effective_ann_date > _hi or _mapped is null then 'calendar_after_coverage' "
+        "else 'available' end"
     )
     return (
-        mapped.withColumn("availability_status", status)
+        mapped.withColumns({"_lo": lo, "_hi": hi})
+        .withColumn("availability_status", F.expr(status))
         .withColumn(
-            "available_date", F.when(F.col("availability_status") == "available", F.col("_mapped"))
+            "available_date", F.expr("if(availability_status = 'available', _mapped, null)")
         )
-        .drop("_mapped")
+        .drop("_mapped", "_lo", "_hi")
     )
 
 

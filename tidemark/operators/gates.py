@@ -1,12 +1,13 @@
-"""Input gates: rows that must not exist. Each gate is lazy; ``enforce`` is the action."""
+"""Input gates: rows that must not exist. Each gate is lazy; ``enforce`` is the action.
 
-from __future__ import annotations
+Rules are ``{check name: SQL condition}``; a condition that is NULL is not a violation.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.scalars import any_of, is_blank, is_finite, is_security_code
+from tidemark.functions.scalars import is_blank, is_finite, is_security_code, quoted
 
 QUOTE_NUMBERS = ["open", "high", "low", "close", "adj_factor", "vol", "amount"]
 OHLC = ["open", "high", "low", "close"]
@@ -16,20 +17,18 @@ class GateError(ValueError):
     """Rows broke a precondition; nothing was written."""
 
 
-def violating(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Rows breaking any rule. A rule that evaluates to NULL is not a violation."""
-    return df.filter(any_of([F.coalesce(rule, F.lit(False)) for rule in rules.values()]))
+def violating(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Rows breaking any rule."""
+    return df.filter(" or ".join(f"coalesce({rule}, false)" for rule in rules.values()))
 
 
-def count_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+def count_violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """(check_name, violations) for all rules in one pass over ``df``."""
-    names = list(rules)
-    counted = df.agg(*[F.count_if(rules[name]).alias(f"v{i}") for i, name in enumerate(names)])
-    rows = [
-        F.struct(F.lit(name).alias("check_name"), F.col(f"v{i}").alias("violations"))
-        for i, name in enumerate(names)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+    counted = df.groupBy().agg(
+        *[F.expr(f"count_if({rule}) as v{i}") for i, rule in enumerate(rules.values())]
+    )
+    pairs = ", ".join(f"{quoted(name)}, v{i}" for i, name in enumerate(rules))
+    return counted.selectExpr(f"stack({len(rules)}, {pairs}) as (check_name, violations)")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,50 +50,42 @@ def enforce_counts(table: str, counts: DataFrame) -> None:
         raise GateError(f"{table}: " + ", ".join(f"{r.check_name}={r.violations}" for r in found))
 
 
-def quote_rules() -> dict[str, Column]:
+def quote_rules() -> dict[str, str]:
     """Sanity of normalised quotes: present, finite, positive, ordered, adjustable."""
-    rules = {
-        "trade_date": F.col("trade_date").isNull(),
-        "ts_code": is_blank(F.col("ts_code")),
-    }
+    rules = dated_rules()
     for name in QUOTE_NUMBERS:
-        value = F.col(name)
-        sign = value < 0 if name in ("vol", "amount") else value <= 0
-        rules[name] = ~is_finite(value) | sign
-    low, high = F.col("low"), F.col("high")
-    rules["low_high"] = low > high
+        sign = "<" if name in ("vol", "amount") else "<="
+        rules[name] = f"not {is_finite(name)} or {name} {sign} 0"
+    rules["low_above_high"] = "low > high"
     for name in ("open", "close"):
-        rules[f"{name}_range"] = (F.col(name) < low) | (F.col(name) > high)
-    products = [F.col(n).isNotNull() & ~is_finite(F.col(n) * F.col("adj_factor")) for n in OHLC]
-    rules["adjusted"] = reduce(lambda a, b: a | b, products)
+        rules[f"{name}_outside_range"] = f"{name} < low or {name} > high"
+    rules["adjusted_overflow"] = " or ".join(
+        f"({n} * adj_factor is not null and not {is_finite(f'({n} * adj_factor)')})" for n in OHLC
+    )
     return rules
 
 
-def code_rule(column: str = "ts_code") -> Column:
-    return ~is_security_code(F.col(column))
-
-
-def interval_rules() -> dict[str, Column]:
+def interval_rules() -> dict[str, str]:
     """Sanity of normalised name intervals."""
     return {
-        "ts_code": code_rule(),
-        "name": F.col("name").isNull(),
-        "start_date": F.col("start_date").isNull(),
-        "end_date": ~is_blank(F.col("raw_end_date")) & F.col("end_date").isNull(),
-        "end_before_start": F.col("end_date") < F.col("start_date"),
+        "ts_code": f"not {is_security_code('ts_code')}",
+        "name": "name is null",
+        "start_date": "start_date is null",
+        "end_date": f"not {is_blank('raw_end_date')} and end_date is null",
+        "end_before_start": "end_date < start_date",
     }
 
 
-def security_rules() -> dict[str, Column]:
+def security_rules() -> dict[str, str]:
     """Sanity of normalised securities."""
     return {
-        "ts_code": code_rule(),
-        "list_date": F.col("list_date").isNull(),
-        "delist_date": ~is_blank(F.col("raw_delist_date")) & F.col("delist_date").isNull(),
-        "delist_before_list": F.col("delist_date") < F.col("list_date"),
+        "ts_code": f"not {is_security_code('ts_code')}",
+        "list_date": "list_date is null",
+        "delist_date": f"not {is_blank('raw_delist_date')} and delist_date is null",
+        "delist_before_list": "delist_date < list_date",
     }
 
 
-def dated_rules() -> dict[str, Column]:
+def dated_rules() -> dict[str, str]:
     """A row keyed by (trade_date, ts_code) must have both."""
-    return {"trade_date": F.col("trade_date").isNull(), "ts_code": is_blank(F.col("ts_code"))}
+    return {"trade_date": "trade_date is null", "ts_code": is_blank("ts_code")}

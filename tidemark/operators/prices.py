@@ -4,28 +4,25 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.scalars import day_of
+from tidemark.functions.scalars import day_of, exprs
 from tidemark.operators import gates
 from tidemark.operators.calendar import slice_days
 
 
 def normalize_quotes(raw: DataFrame, source_table: str = "stk_factor_pro") -> DataFrame:
     """Typed quotes; any further source columns pass through untouched."""
-    typed = {name: F.col(name).try_cast("double") for name in gates.QUOTE_NUMBERS}
-    lineage = {}
+    typed = {name: f"try_cast({name} as double)" for name in gates.QUOTE_NUMBERS}
+    typed["raw_trade_date"] = "cast(trade_date as string)"
+    typed["trade_date"] = day_of(raw, "trade_date")
     if "_source_file" in raw.columns:
-        lineage = {"source_file": F.col("_source_file"), "source_row": F.col("_source_row")}
-    return raw.withColumns(
-        {
-            "raw_trade_date": F.col("trade_date").cast("string"),
-            **typed,
-            "trade_date": day_of(raw, "trade_date"),
-            **lineage,
-            "source_table": F.lit(source_table),
-        }
-    ).drop("_source_file", "_source_row")
+        typed.update(source_file="_source_file", source_row="_source_row")
+    return (
+        raw.withColumns(exprs(typed))
+        .withColumn("source_table", F.lit(source_table))
+        .drop("_source_file", "_source_row")
+    )
 
 
 def gate_quotes(quotes: DataFrame, calendar: DataFrame) -> None:
@@ -52,27 +49,21 @@ def adjusted_prices(
     The slice comes last: the first day of a slice keeps its previous quote.
     """
     adjusted = quotes.withColumns(
-        {f"adjusted_{name}": F.col(name) * F.col("adj_factor") for name in gates.OHLC}
-    )
-    links = F.broadcast(
-        calendar.select("trade_date", F.col("prev_trade_date").alias("_previous_session"))
+        exprs({f"adjusted_{name}": f"{name} * adj_factor" for name in gates.OHLC})
     )
-    by_date = Window.partitionBy("ts_code").orderBy("trade_date")
-    history = adjusted.join(links, "trade_date").withColumns(
-        {
-            "prev_quote_date": F.lag("trade_date").over(by_date),
-            "_prev_close": F.lag("adjusted_close").over(by_date),
-        }
+    links = F.broadcast(calendar.selectExpr("trade_date", "prev_trade_date as _previous_session"))
+    by_date = "over (partition by ts_code order by trade_date)"
+    history = adjusted.join(links, "trade_date").selectExpr(
+        "*",
+        f"lag(trade_date) {by_date} as prev_quote_date",
+        f"lag(adjusted_close) {by_date} as _prev_close",
     )
-    adjacent = F.col("prev_quote_date") == F.col("_previous_session")
-    result = history.withColumns(
-        {
-            "ret_1d": F.when(
-                adjacent, F.try_divide(F.col("adjusted_close"), F.col("_prev_close")) - 1
-            ),
-            "return_status": F.when(F.col("prev_quote_date").isNull(), "no_previous_quote")
-            .when(~adjacent, "missing_previous_trading_day")
-            .otherwise("available"),
-        }
+    result = history.selectExpr(
+        "*",
+        "case when prev_quote_date = _previous_session "
+        "then try_divide(adjusted_close, _prev_close) - 1 end as ret_1d",
+        "case when prev_quote_date is null then 'no_previous_quote' "
+        "when prev_quote_date <> _previous_session then 'missing_previous_trading_day' "
+        "else 'available' end as return_status",
     ).drop("_previous_session", "_prev_close")
     return slice_days(result, calendar, start, end)

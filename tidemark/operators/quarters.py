@@ -6,14 +6,16 @@ No state machine: a record's available date never decreases with its announcemen
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import (
     compensated_sum,
+    exprs,
     is_blank,
     is_finite,
     quarter_end,
     quarter_index,
+    quoted,
 )
 
 GROUP = ["source_table", "ts_code", "metric"]
@@ -24,36 +26,28 @@ def metrics_long(filings: DataFrame, metrics: dict[str, list[str]]) -> DataFrame
 
     Each record is read once and expanded to the metrics of its own source.
     """
-    by_source = F.lit(None).cast("array<struct<metric:string,raw:string>>")
+    cases = []
     for source, names in metrics.items():
         absent = [n for n in names if n not in filings.columns]
         if absent:
             raise ValueError(f"{source}: missing metric columns {absent}")
-        pairs = F.array(
-            *[F.struct(F.lit(n).alias("metric"), F.col(n).cast("string").alias("raw"))
-              for n in names]
+        pairs = ", ".join(
+            f"struct({quoted(n)} as metric, cast(`{n}` as string) as raw)" for n in names
         )
-        by_source = F.when(F.col("source_table") == source, pairs).otherwise(by_source)
+        cases.append(f"when {quoted(source)} then array({pairs})")
     usable = filings.filter(
-        (F.col("availability_status") == "available")
-        & (F.trim(F.col("report_type").cast("string")) == "1")
-        & F.col("source_table").isin(*metrics)
+        "availability_status = 'available' and trim(cast(report_type as string)) = '1' "
+        f"and source_table in ({', '.join(map(quoted, metrics))})"
     )
-    value = F.col("raw").try_cast("double")
-    return (
-        usable.select(
-            "source_table", "ts_code", "end_date", "effective_ann_date", "available_date",
-            "record_id", F.inline(by_source),
-        )
-        .select(
-            "source_table", "ts_code", "metric", "end_date", "effective_ann_date",
-            "available_date", "record_id",
-            F.when(is_finite(value), value).alias("metric_value"),
-            F.when(is_blank(F.col("raw")), "missing_metric")
-            .when(~is_finite(value), "invalid_metric")
-            .otherwise("available")
-            .alias("value_state"),
-        )
+    value = "try_cast(raw as double)"
+    return usable.selectExpr(
+        "source_table", "ts_code", "end_date", "effective_ann_date", "available_date",
+        "record_id", f"inline(case source_table {' '.join(cases)} end)",
+    ).selectExpr(
+        *GROUP, "end_date", "effective_ann_date", "available_date", "record_id",
+        f"case when {is_finite(value)} then {value} end as metric_value",
+        f"case when {is_blank('raw')} then 'missing_metric' "
+        f"when not {is_finite(value)} then 'invalid_metric' else 'available' end as value_state",
     )
 
 
@@ -67,20 +61,23 @@ def period_versions(long: DataFrame) -> DataFrame:
     period, after exact copies were merged.
     """
     key = [*GROUP, "end_date", "available_date"]
-    claim = F.struct(F.col("value_state").alias("state"), F.col("metric_value").alias("value"))
-    tied = long.groupBy(*key, "effective_ann_date").agg(
-        F.min(claim).alias("low"), F.max(claim).alias("high"),
-        F.array_sort(F.collect_set("record_id")).alias("ids"),
+    claims = long.selectExpr(
+        *key, "effective_ann_date", "record_id",
+        "struct(value_state as state, metric_value as value) as claim",
+    )
+    tied = claims.groupBy(*key, "effective_ann_date").agg(
+        F.expr("min(claim) as low"), F.expr("max(claim) as high"),
+        F.expr("array_sort(collect_set(record_id)) as ids"),
     )
     newest = _clustered(tied).groupBy(*key).agg(
-        F.max_by(F.struct("low", "high", "ids"), "effective_ann_date").alias("best")
+        F.expr("max_by(struct(low, high, ids), effective_ann_date) as best")
     )
-    agreed = F.col("best.low").eqNullSafe(F.col("best.high"))
-    return newest.select(
+    return newest.selectExpr(
         *key,
-        F.when(agreed, F.col("best.low.value")).alias("value"),
-        F.when(agreed, F.col("best.low.state")).otherwise("ambiguous_metric").alias("status"),
-        F.col("best.ids").alias("ids"),
+        "case when best.low <=> best.high then best.low.value end as value",
+        "case when best.low <=> best.high then best.low.state else 'ambiguous_metric' end "
+        "as status",
+        "best.ids as ids",
     )
 
 
@@ -89,18 +86,20 @@ def _version_id(kind: str, columns: list[str]) -> Column:
     return F.sha2(F.concat(F.lit(kind), packed), 256)
 
 
-def _visible(slot: int, value: Column, window) -> Column:
-    """Newest value of a slot up to and including the row's available date."""
-    return F.last(F.when(F.col("slot") == slot, value), ignorenulls=True).over(window)
+BY_PERIOD = f"over (partition by {', '.join(GROUP)}, end_date order by available_date)"
 
 
-def _changed(df: DataFrame, signature: Column) -> DataFrame:
+def _visible(slot: int, name: str) -> str:
+    """Newest version in a slot up to and including the row's available date."""
+    return f"last(if(slot = {slot}, known, null), true) {BY_PERIOD} as {name}"
+
+
+def _changed(df: DataFrame, signature: list[str]) -> DataFrame:
     """Keep the first row of a (group, period) and rows whose signature differs from the last."""
-    ordered = Window.partitionBy(*GROUP, "end_date").orderBy("available_date")
     return (
-        df.withColumn("_signature", signature)
-        .withColumn("_before", F.lag("_signature").over(ordered))
-        .filter(~F.col("_signature").eqNullSafe(F.col("_before")))
+        df.selectExpr("*", f"struct({', '.join(signature)}) as _signature")
+        .selectExpr("*", f"lag(_signature) {BY_PERIOD} as _before")
+        .filter("_signature is distinct from _before")
         .drop("_signature", "_before")
     )
 
@@ -115,138 +114,115 @@ def _clustered(df: DataFrame) -> DataFrame:
 
 
 def quarterly(versions: DataFrame) -> DataFrame:
-    """Quarter versions from period versions: cumulative minus the previous quarter's cumulative."""
-    index = quarter_index(F.col("end_date"))
-    known = F.struct(
-        F.col("value").alias("value"), F.col("status").alias("status"), F.col("ids").alias("ids")
-    )
-    # Slot 0 feeds its own period; slot 1 is the predecessor of the next quarter of the year.
-    targets = F.when(
-        index.isNotNull() & (index % 4 != 3),
-        F.array(
-            F.struct(F.col("end_date").alias("target"), F.lit(0).alias("slot")),
-            F.struct(quarter_end(index + 1).alias("target"), F.lit(1).alias("slot")),
-        ),
-    ).otherwise(F.array(F.struct(F.col("end_date").alias("target"), F.lit(0).alias("slot"))))
-    events = versions.select(
-        *GROUP, "available_date", known.alias("known"), F.inline(targets)
-    ).withColumnRenamed("target", "end_date")
-    so_far = Window.partitionBy(*GROUP, "end_date").orderBy("available_date")
-    seen = events.select(
-        *GROUP, "end_date", "available_date",
-        _visible(0, F.col("known"), so_far).alias("own"),
-        _visible(1, F.col("known"), so_far).alias("previous"),
-    ).filter("own is not null")
+    """Quarter versions from period versions: cumulative minus the previous quarter's cumulative.
 
-    q = quarter_index(F.col("end_date"))
-    own, previous = F.col("own"), F.col("previous")
-    alone = q.isNull() | (q % 4 == 0)
-    bad = F.array_sort(
-        F.array_distinct(
-            F.filter(F.array(own.status, previous.status), lambda s: s != "available")
+    Slot 0 feeds a version to its own period; slot 1 feeds it, as predecessor, to the next
+    quarter of the same year. A period emits nothing before its own first version.
+    """
+    own_slot = "struct(end_date as target, 0 as slot)"
+    seen = (
+        versions.selectExpr("*", f"{quarter_index('end_date')} as q")
+        .selectExpr(
+            *GROUP, "available_date", "struct(value, status, ids) as known",
+            f"inline(if(q % 4 <> 3, array({own_slot}, "
+            f"struct({quarter_end('q + 1')} as target, 1 as slot)), array({own_slot})))",
         )
+        .withColumnRenamed("target", "end_date")
+        .selectExpr(*GROUP, "end_date", "available_date", _visible(0, "own"), _visible(1, "prior"))
+        .filter("own is not null")
     )
-    difference = own.value - previous.value
-    status = (
-        F.when(q.isNull(), "unsupported_report_period")
-        .when(q % 4 == 0, own.status)
-        .when(previous.isNull() & (own.status == "available"), "missing_previous_quarter")
-        .when(previous.isNull(), F.concat(own.status, F.lit("+missing_previous_quarter")))
-        .when(F.size(bad) > 0, F.array_join(bad, "+"))
-        .when(~is_finite(difference), "invalid_computation")
-        .otherwise("available")
-    )
-    value = F.when(q.isNull(), None).when(q % 4 == 0, own.value).when(
-        F.col("status") == "available", difference
-    )
-    ids = F.when(alone | previous.isNull(), own.ids).otherwise(
-        F.array_sort(F.array_union(own.ids, previous.ids))
-    )
-    dates = F.when(alone, F.array("end_date")).otherwise(
-        F.array(quarter_end(q - 1), F.col("end_date"))
-    )
-    rows = (
-        seen.withColumn("status", status)
-        .select(
-            *GROUP, "end_date", "available_date", value.alias("value"), "status",
-            ids.alias("source_record_ids"), dates.alias("source_end_dates"),
-        )
+    steps = [
+        {
+            "q": quarter_index("end_date"),
+            "bad": "array_sort(array_distinct(filter(array(own.status, prior.status), "
+            "s -> s <> 'available')))",
+            "difference": "own.value - prior.value",
+        },
+        {
+            "status": "case when q is null then 'unsupported_report_period' "
+            "when q % 4 = 0 then own.status "
+            "when prior is null and own.status = 'available' then 'missing_previous_quarter' "
+            "when prior is null then concat(own.status, '+missing_previous_quarter') "
+            "when size(bad) > 0 then array_join(bad, '+') "
+            f"when not {is_finite('difference')} then 'invalid_computation' "
+            "else 'available' end",
+        },
+    ]
+    for step in steps:
+        seen = seen.withColumns(exprs(step))
+    rows = seen.selectExpr(
+        *GROUP, "end_date", "available_date",
+        "case when q % 4 = 0 then own.value when status = 'available' then difference end as value",
+        "status",
+        "case when q is null or q % 4 = 0 or prior is null then own.ids "
+        "else array_sort(array_union(own.ids, prior.ids)) end as source_record_ids",
+        f"case when q is null or q % 4 = 0 then array(end_date) "
+        f"else array({quarter_end('q - 1')}, end_date) end as source_end_dates",
     )
-    emitted = _changed(rows, F.struct("value", "status", "source_record_ids"))
+    emitted = _changed(rows, ["value", "status", "source_record_ids"])
     return emitted.withColumn("version_id", _version_id("quarter", emitted.columns))
 
 
 def ttm(quarters: DataFrame) -> DataFrame:
-    """TTM versions: the four consecutive quarters ending at a period, as visible each day."""
-    index = quarter_index(F.col("end_date"))
-    own_target = F.struct(F.col("end_date").alias("target"), F.lit(0).alias("slot"))
-    targets = F.when(
-        index.isNotNull(),
-        F.array(
-            own_target,
-            *[F.struct(quarter_end(index + k).alias("target"), F.lit(k).alias("slot"))
-              for k in (1, 2, 3)],
-        ),
-    ).otherwise(F.array(own_target))
-    known = F.struct(
-        F.col("end_date").alias("end_date"), F.col("value").alias("value"),
-        F.col("status").alias("status"), F.col("source_record_ids").alias("ids"),
-        F.col("version_id").alias("version_id"),
-    )
-    events = quarters.select(
-        *GROUP, "available_date", known.alias("known"), F.inline(targets)
-    ).withColumnRenamed("target", "end_date")
-    so_far = Window.partitionBy(*GROUP, "end_date").orderBy("available_date")
-    seen = events.select(
-        *GROUP, "end_date", "available_date",
-        *[_visible(k, F.col("known"), so_far).alias(f"q{k}") for k in range(4)],
-    ).filter("q0 is not null")
+    """TTM versions: the four consecutive quarters ending at a period, as visible each day.
 
-    q = quarter_index(F.col("end_date"))
-    slots = [F.col(f"q{k}") for k in (3, 2, 1, 0)]
-    seen = seen.withColumns(
-        {
-            # For an unsupported period only its own slot exists, and it is not a source quarter.
-            "_present": F.when(q.isNotNull(), F.array_compact(F.array(*slots))),
-            "_expected": F.when(
-                q.isNotNull(), F.array(*[quarter_end(q - k) for k in (3, 2, 1, 0)])
-            ),
-        }
-    )
-    present, no_dates = F.col("_present"), F.array().cast("array<date>")
-    ends = F.transform(present, lambda s: s.end_date)
-    missing = F.array_except("_expected", ends)
-    unavailable = F.transform(
-        F.filter(present, lambda s: s.status != "available"), lambda s: s.end_date
-    )
-    total = compensated_sum([slot.value for slot in slots])
-    status = (
-        F.when(q.isNull(), "unsupported_report_period")
-        .when(F.exists(present, lambda s: F.contains(s.status, F.lit("ambiguous"))),
-              "ambiguous_quarter")
-        .when(F.exists(present, lambda s: F.contains(s.status, F.lit("invalid"))),
-              "invalid_quarter")
-        .when((F.size(missing) > 0) | (F.size(unavailable) > 0), "missing_quarter")
-        .when(is_finite(total), "available")
-        .otherwise("invalid_computation")
-    )
-    record_ids = F.when(q.isNull(), F.col("q0.ids")).otherwise(
-        F.array_sort(F.array_distinct(F.flatten(F.transform(present, lambda s: s.ids))))
+    A quarter version feeds its own period and the next three; slot k holds the quarter k
+    before the target.
+    """
+    own_slot = "struct(end_date as target, 0 as slot)"
+    later = ", ".join(
+        f"struct({quarter_end(f'q + {k}')} as target, {k} as slot)" for k in (1, 2, 3)
+    )
+    seen = (
+        quarters.selectExpr("*", f"{quarter_index('end_date')} as q")
+        .selectExpr(
+            *GROUP, "available_date",
+            "struct(end_date, value, status, source_record_ids as ids, version_id) as known",
+            f"inline(if(q is not null, array({own_slot}, {later}), array({own_slot})))",
+        )
+        .withColumnRenamed("target", "end_date")
+        .selectExpr(
+            *GROUP, "end_date", "available_date", *[_visible(k, f"q{k}") for k in range(4)]
+        )
+        .filter("q0 is not null")
     )
-    rows = seen.withColumn("status", status).select(
+    ends = ", ".join(quarter_end(f"q - {k}") for k in (3, 2, 1, 0))
+    total = compensated_sum(["q3.value", "q2.value", "q1.value", "q0.value"])
+    steps = [
+        {"q": quarter_index("end_date")},
+        {
+            # An unsupported period fills only its own slot, which is not a source quarter.
+            "expected": f"if(q is null, cast(array() as array<date>), array({ends}))",
+            "present": "filter(array(q3, q2, q1, q0), s -> s is not null and q is not null)",
+        },
+        {
+            "missing": "array_except(expected, transform(present, s -> s.end_date))",
+            "unavailable": "transform(filter(present, s -> s.status <> 'available'), "
+            "s -> s.end_date)",
+        },
+        {"total": f"if(q is null or size(missing) + size(unavailable) > 0, null, {total})"},
+        {
+            "status": "case when q is null then 'unsupported_report_period' "
+            "when exists(present, s -> contains(s.status, 'ambiguous')) then 'ambiguous_quarter' "
+            "when exists(present, s -> contains(s.status, 'invalid')) then 'invalid_quarter' "
+            "when size(missing) + size(unavailable) > 0 then 'missing_quarter' "
+            f"when {is_finite('total')} then 'available' else 'invalid_computation' end",
+        },
+    ]
+    for step in steps:
+        seen = seen.withColumns(exprs(step))
+    rows = seen.selectExpr(
         *GROUP, "end_date", "available_date",
-        F.when(F.col("status") == "available", total).alias("value"),
+        "case when status = 'available' then total end as value",
         "status",
-        record_ids.alias("source_record_ids"),
-        F.coalesce("_expected", no_dates).alias("source_end_dates"),
-        F.coalesce(F.transform(present, lambda s: s.version_id), F.array().cast("array<string>"))
-        .alias("source_quarter_ids"),
-        F.coalesce(missing, no_dates).alias("missing_source_end_dates"),
-        F.coalesce(unavailable, no_dates).alias("unavailable_source_end_dates"),
-    )
-    emitted = _changed(
-        rows, F.struct("value", "status", "source_quarter_ids", "source_record_ids")
-    )
+        "if(q is null, q0.ids, array_sort(array_distinct(flatten("
+        "transform(present, s -> s.ids))))) as source_record_ids",
+        "expected as source_end_dates",
+        "transform(present, s -> s.version_id) as source_quarter_ids",
+        "missing as missing_source_end_dates",
+        "unavailable as unavailable_source_end_dates",
+    )
+    emitted = _changed(rows, ["value", "status", "source_quarter_ids", "source_record_ids"])
     return emitted.withColumn("version_id", _version_id("ttm", emitted.columns))
 
 

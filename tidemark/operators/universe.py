@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.contracts import UniverseRule
+from tidemark.functions.scalars import quoted
 from tidemark.operators import gates
 from tidemark.operators.calendar import slice_days
 from tidemark.operators.state import DAY_KEY
@@ -90,53 +91,42 @@ def research_universe(
     The handful of configured rules is a literal array exploded next to each joined row, after
     the only shuffle, so the rules cost no join.
     """
-    facts = slice_days(state, calendar, start, end).select(
+    facts = slice_days(state, calendar, start, end).selectExpr(
         *DAY_KEY, "is_listed", "is_delisted", "is_a_share", "exchange", "listing_trade_days",
-        "listing_trade_days_lower_bound", "is_st", F.col("source_file").alias("source_stock_file"),
+        "listing_trade_days_lower_bound", "is_st", "source_file as source_stock_file",
     )
     trades = status.select(
         *DAY_KEY, "can_buy", "can_sell", "cannot_buy_reason", "cannot_sell_reason"
     )
-    literals = F.array(
-        *[
-            F.struct(
-                F.lit(row["universe_id"]).alias("universe_id"),
-                F.lit(row["config_id"]).alias("config_id"),
-                F.lit(row["exclude_st"]).alias("exclude_st"),
-                F.lit(row["exclude_bj"]).alias("exclude_bj"),
-                F.lit(row["min_listing_trade_days"]).cast("bigint").alias("minimum"),
-            )
-            for row in describe_rules(rules, capabilities)
-        ]
+    literals = ", ".join(
+        f"struct({quoted(row['universe_id'])} as universe_id, {quoted(row['config_id'])} "
+        f"as config_id, {row['exclude_st']} as _no_st, {row['exclude_bj']} as _no_bj, "
+        f"bigint({row['min_listing_trade_days']}) as _minimum)"
+        for row in describe_rules(rules, capabilities)
     )
-    rows = facts.join(trades, DAY_KEY).withColumn("_rule", F.explode(literals))
-    age, proven = F.col("listing_trade_days"), F.col("listing_trade_days_lower_bound")
-    minimum, no_st = F.col("_rule.minimum"), F.col("_rule.exclude_st")
-    unproven = proven.isNull() | (proven < minimum)
     reason = (
-        F.when(F.col("is_delisted"), "DELISTED")
-        .when(~F.col("is_listed"), "NOT_LISTED")
-        .when(~F.col("is_a_share"), "NOT_A_SHARE")
-        .when(F.col("is_listed").isNull() | F.col("is_a_share").isNull(), "IDENTITY_UNKNOWN")
-        .when(F.col("_rule.exclude_bj") & F.col("ts_code").endswith(".BJ"), "EXCLUDED_BJ")
-        .when(no_st & F.col("is_st"), "EXCLUDED_ST")
-        .when(no_st & F.col("is_st").isNull(), "ST_STATUS_UNKNOWN")
-        .when((minimum > 0) & (age < minimum), "IPO_TOO_RECENT")
-        .when((minimum > 0) & age.isNull() & unproven, "LISTING_AGE_UNKNOWN")
+        "case when is_delisted then 'DELISTED' when not is_listed then 'NOT_LISTED' "
+        "when not is_a_share then 'NOT_A_SHARE' "
+        "when is_listed is null or is_a_share is null then 'IDENTITY_UNKNOWN' "
+        "when _no_bj and endswith(ts_code, '.BJ') then 'EXCLUDED_BJ' "
+        "when _no_st and is_st then 'EXCLUDED_ST' "
+        "when _no_st and is_st is null then 'ST_STATUS_UNKNOWN' "
+        "when _minimum > 0 and listing_trade_days < _minimum then 'IPO_TOO_RECENT' "
+        "when _minimum > 0 and listing_trade_days is null "
+        "and coalesce(listing_trade_days_lower_bound < _minimum, true) "
+        "then 'LISTING_AGE_UNKNOWN' end"
     )
+    unknown = ", ".join(map(quoted, UNKNOWN_REASONS))
     return (
-        rows.withColumns(
-            {
-                "universe_id": F.col("_rule.universe_id"),
-                "config_id": F.col("_rule.config_id"),
-                "exclusion_reason": reason,
-            }
-        )
+        facts.join(trades, DAY_KEY)
+        .selectExpr("*", f"inline(array({literals}))")
+        .withColumn("exclusion_reason", F.expr(reason))
         .withColumn(
             "is_in_universe",
-            F.when(F.col("exclusion_reason").isNull(), True).when(
-                ~F.col("exclusion_reason").isin(*UNKNOWN_REASONS), False
+            F.expr(
+                "case when exclusion_reason is null then true "
+                f"when exclusion_reason not in ({unknown}) then false end"
             ),
         )
-        .drop("_rule")
+        .drop("_no_st", "_no_bj", "_minimum")
     )

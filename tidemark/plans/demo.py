@@ -7,10 +7,12 @@ securities and their names. Everything is derived in Spark and grows with the ta
 from __future__ import annotations
 
 from datetime import date
+from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.contracts import DEFAULT_CAPABILITIES, DEFAULT_UNIVERSES, TradeRules
+from tidemark.functions.scalars import day_literal
 from tidemark.operators import calendar as cal
 from tidemark.operators import feasibility, filings, prices, quarters, state, universe
 
@@ -22,26 +24,23 @@ TRADE_RULES = TradeRules(
     limit_coverage_start=date(1998, 1, 1), limit_coverage_end=date(2000, 12, 31),
 )
 
-_spans: dict[tuple[str, str], tuple[date, date]] = {}
+# SQL text of the derivations below; keys are supplier or customer numbers.
+CODE = "concat(lpad(cast({key} as string), 10, '0'), element_at(array('.SH', '.SZ', '.BJ'), " \
+       "cast({key} % 3 + 1 as int)))"
+STAMP = "date_format({day}, 'yyyyMMdd')"
+CENTS = "cast(round({column} * 100) as bigint)"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def lazily(build):
+    """Build a DataFrame of the market once; it stays lazy."""
 
+    @wraps(build)
+    def cached(self):
+        if build.__name__ not in self._built:
+            self._built[build.__name__] = build(self)
+        return self._built[build.__name__]
 
-def stamp(column: Column | str) -> Column:
-    """A date as YYYYMMDD text, the way vendors ship it."""
-    return F.date_format(column, "yyyyMMdd")
-
-
-def code_of(key: str) -> Column:
-    suffix = F.element_at(F.array(F.lit(".SH"), F.lit(".SZ"), F.lit(".BJ")),
-                          (F.col(key) % 3 + 1).cast("int"))
-    return F.concat(F.lpad(F.col(key).cast("string"), 10, "0"), suffix)
-
-
-def cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("bigint")
+    return cached
 
 
 class DemoMarket:
@@ -49,293 +48,306 @@ class DemoMarket:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._built: dict[str, object] = {}
 
     def read(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @lazily
     def span(self) -> tuple[date, date]:
-        """First and last order day: two values, read once per table."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _spans:
-            row = self.read("orders").agg(
-                F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")
-            ).first()
-            _spans[key] = (row[0], row[1])
-        return _spans[key]
+        """First and last order day: two values, read once per market."""
+        row = self.read("orders").selectExpr(
+            "cast(min(o_orderdate) as date)", "cast(max(o_orderdate) as date)"
+        ).first()
+        return row[0], row[1]
 
     # -- sources ---------------------------------------------------------------------------
 
+    @lazily
     def calendar_source(self) -> DataFrame:
         """Natural days of the order span; open on weekdays other than 1 January."""
         first, last = self.span()
-        days = self.spark.range(1).select(
-            F.explode(F.sequence(F.lit(first), F.lit(last))).alias("day")
+        days = self.spark.range(1).selectExpr(
+            f"explode(sequence({day_literal(first)}, {day_literal(last)})) as day"
         )
-        closed = F.dayofweek("day").isin(1, 7) | (
-            (F.month("day") == 1) & (F.dayofmonth("day") == 1)
-        )
-        return days.select(
-            F.lit(EXCHANGE).alias("exchange"), stamp("day").alias("cal_date"),
-            F.when(closed, "0").otherwise("1").alias("is_open"),
+        return days.selectExpr(
+            f"'{EXCHANGE}' as exchange", f"{STAMP.format(day='day')} as cal_date",
+            "if(dayofweek(day) in (1, 7) or (month(day) = 1 and dayofmonth(day) = 1), '0', '1') "
+            "as is_open",
         )
 
+    @lazily
     def calendar(self) -> DataFrame:
         return cal.trading_calendar(self.calendar_source(), EXCHANGE)
 
+    @lazily
     def _day_totals(self) -> DataFrame:
         """Per (supplier, ship day) integer-cent facts, reduced map-side before the shuffle."""
-        price = cents("l_extendedprice")
+        facts = ["min(price) as low_c", "max(price) as high_c", "sum(price) as sum_c",
+                 "count(*) as n", "sum(l_quantity) as vol"]
         return (
             self.read("lineitem")
-            .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
-            .agg(
-                F.min(price).alias("low_c"), F.max(price).alias("high_c"),
-                F.sum(price).alias("sum_c"), F.count("*").alias("n"),
-                F.sum("l_quantity").alias("vol"),
-            )
-            .join(F.broadcast(self.calendar().select(F.col("trade_date").alias("day"))), "day")
+            .selectExpr("l_suppkey as key", "cast(l_shipdate as date) as day", "l_quantity",
+                        f"{CENTS.format(column='l_extendedprice')} as price")
+            .groupBy("key", "day")
+            .agg(*map(F.expr, facts))
+            .join(F.broadcast(self.calendar().selectExpr("trade_date as day")), "day")
         )
 
+    @lazily
     def quotes_source(self) -> DataFrame:
-        key = F.col("l_suppkey")
-        doubled = (key % 3 == 0) & (F.col("day") >= F.lit(date(1998, 1, 1)))
-        return self._day_totals().select(
-            code_of("l_suppkey").alias("ts_code"), F.col("day").alias("trade_date"),
-            (F.expr("(low_c + high_c) div 2") / 100).alias("open"),
-            (F.col("high_c") / 100).alias("high"), (F.col("low_c") / 100).alias("low"),
-            (F.expr("sum_c div n") / 100).alias("close"),
-            "vol", (F.col("sum_c") / 100).alias("amount"),
-            F.when(doubled, F.lit(2.0)).otherwise(F.lit(1.0)).alias("adj_factor"),
+        return self._day_totals().selectExpr(
+            f"{CODE.format(key='key')} as ts_code", "day as trade_date",
+            "((low_c + high_c) div 2) / double(100) as open", "high_c / double(100) as high",
+            "low_c / double(100) as low", "(sum_c div n) / double(100) as close",
+            "vol", "sum_c / double(100) as amount",
+            "if(key % 3 = 0 and day >= date'1998-01-01', double(2), double(1)) as adj_factor",
         )
 
-    def raw_quotes_source(self) -> DataFrame:
-        """Untidied quotes, one per line item: duplicates, closed days and odd values remain."""
-        price = F.col("l_extendedprice")
-        return self.read("lineitem").select(
-            code_of("l_suppkey").alias("ts_code"),
-            F.when(F.col("l_linenumber") == 7, F.lit("19950230"))
-            .otherwise(stamp("l_shipdate")).alias("trade_date"),
-            price.alias("open"), (price + F.col("l_quantity") - 2).alias("high"),
-            price.alias("low"), price.alias("close"),
-            (F.col("l_quantity") - 3).alias("vol"), price.alias("amount"),
-            F.when(F.col("l_tax") > 0.07, F.lit("nan")).otherwise(F.lit("1.0"))
-            .alias("adj_factor"),
+    @lazily
+    def untidy_quotes_source(self) -> DataFrame:
+        """One quote per line item: duplicates, closed days and odd values remain."""
+        return self.read("lineitem").selectExpr(
+            f"{CODE.format(key='l_suppkey')} as ts_code",
+            f"if(l_linenumber = 7, '19950230', {STAMP.format(day='l_shipdate')}) as trade_date",
+            "l_extendedprice as open", "l_extendedprice + l_quantity - 2 as high",
+            "l_extendedprice as low", "l_extendedprice as close", "l_quantity - 3 as vol",
+            "l_extendedprice as amount",
+            "case when l_tax > 0.07 then 'nan' when l_quantity = 9 then '-1' "
+            "when l_quantity = 8 then 'x' else '1.0' end as adj_factor",
         )
 
+    @lazily
     def _listed(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        first = F.date_add(F.lit(date(1994, 6, 1)), (key * 37 % 900).cast("int"))
-        gone = F.when(key % 10 == 0, F.date_add(first, (key % 500 + 900).cast("int")))
-        return self.read("supplier").select(
-            "s_suppkey", code_of("s_suppkey").alias("ts_code"),
-            first.alias("first_day"), gone.alias("last_day"),
+        return self.read("supplier").selectExpr(
+            "s_suppkey as key", f"{CODE.format(key='s_suppkey')} as ts_code",
+            "date_add(date'1994-06-01', cast(s_suppkey * 37 % 900 as int)) as first_day",
+            "if(s_suppkey % 10 = 0, date_add(date'1994-06-01', "
+            "cast(s_suppkey * 37 % 900 + s_suppkey % 500 + 900 as int)), null) as last_day",
         )
 
+    @lazily
     def securities_source(self) -> DataFrame:
-        return self._listed().select(
-            "ts_code",
-            F.when(F.col("s_suppkey") % 17 == 0, "USD").otherwise("CNY").alias("curr_type"),
-            stamp("first_day").alias("list_date"), stamp("last_day").alias("delist_date"),
-            F.lit("stock_basic/stock_basic").alias("_source_file"),
-            F.col("s_suppkey").alias("_source_row"),
+        return self._listed().selectExpr(
+            "ts_code", "if(key % 17 = 0, 'USD', 'CNY') as curr_type",
+            f"{STAMP.format(day='first_day')} as list_date",
+            f"{STAMP.format(day='last_day')} as delist_date",
+            "'stock_basic/stock_basic' as _source_file", "key as _source_row",
         )
 
+    @lazily
     def names_source(self) -> DataFrame:
         """Five name spans per security with gaps, overlaps and codes nobody lists."""
-        key, seg = F.col("s_suppkey"), F.col("seg")
-        start = F.date_add("first_day", (seg * 300).cast("int"))
-        days = F.when((key + seg) % 5 == 0, 239).when((key + seg) % 7 == 0, 359).otherwise(299)
-        end = F.when(seg < 4, F.date_add(start, days.cast("int")))
-        text = key.cast("string")
-        kind = (key + seg) % 6
-        name = (
-            F.when(kind == 0, F.concat(F.lit("st S"), text))
-            .when(kind == 1, F.concat(F.lit("*ST S"), text))
-            .otherwise(F.concat(F.lit("Supplier "), text))
-        )
-        code = F.when(key % 29 == 3, F.concat(F.lit("X"), F.col("ts_code"))).otherwise(
-            F.col("ts_code")
-        )
+        days = "case when (key + seg) % 5 = 0 then 239 when (key + seg) % 7 = 0 then 359 else 299 end"
         return (
-            self._listed().filter(key % 23 != 5)
-            .withColumn("seg", F.explode(F.sequence(F.lit(0), F.lit(4))))
-            .select(
-                code.alias("ts_code"), name.alias("name"), stamp(start).alias("start_date"),
-                stamp(end).alias("end_date"), F.lit("namechange/by_code").alias("_source_file"),
-                (key * 10 + seg).alias("_source_row"),
+            self._listed().filter("key % 23 <> 5")
+            .selectExpr("*", "explode(sequence(0, 4)) as seg")
+            .selectExpr("*", "date_add(first_day, seg * 300) as start")
+            .selectExpr(
+                "if(key % 29 = 3, concat('X', ts_code), ts_code) as ts_code",
+                "concat(case (key + seg) % 6 when 0 then 'st S' when 1 then '*ST S' "
+                "else 'Supplier ' end, cast(key as string)) as name",
+                f"{STAMP.format(day='start')} as start_date",
+                f"if(seg < 4, {STAMP.format(day=f'date_add(start, {days})')}, null) as end_date",
+                "'namechange/by_code' as _source_file", "key * 10 + seg as _source_row",
             )
         )
 
-    def _line_events(self, kind: Column, name: str, folder: str, extra: dict) -> DataFrame:
-        return (
-            self.read("lineitem").withColumn("kind", kind).filter("kind is not null")
-            .select(
-                code_of("l_suppkey").alias("ts_code"), stamp("l_shipdate").alias("trade_date"),
-                F.col("kind").alias(name), *[v.alias(k) for k, v in extra.items()],
-                F.concat(F.lit(f"{folder}/"), F.date_format("l_shipdate", "yyyyMM"))
-                .alias("_source_file"),
-                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_source_row"),
-            )
+    def _line_events(self, kind: str, name: str, folder: str, *extra: str) -> DataFrame:
+        return self.read("lineitem").selectExpr("*", f"{kind} as kind").filter(
+            "kind is not null"
+        ).selectExpr(
+            f"{CODE.format(key='l_suppkey')} as ts_code",
+            f"{STAMP.format(day='l_shipdate')} as trade_date", f"kind as `{name}`", *extra,
+            f"concat('{folder}/', date_format(l_shipdate, 'yyyyMM')) as _source_file",
+            "l_orderkey * 10 + l_linenumber as _source_row",
         )
 
+    @lazily
     def suspensions_source(self) -> DataFrame:
-        quantity, flag = F.col("l_quantity"), F.col("l_returnflag")
-        kind = F.when((flag == "R") & (quantity == 50), "S").when(
-            (flag == "A") & (quantity == 1), "R"
+        return self._line_events(
+            "case when l_returnflag = 'R' and l_quantity = 50 then 'S' "
+            "when l_returnflag = 'A' and l_quantity = 1 then 'R' end",
+            "suspend_type", "suspend_d",
+            "if(l_tax > 0.05, '09:30-10:00', null) as suspend_timing",
         )
-        timing = F.when(F.col("l_tax") > 0.05, "09:30-10:00")
-        return self._line_events(kind, "suspend_type", "suspend_d", {"suspend_timing": timing})
 
+    @lazily
     def limit_events_source(self) -> DataFrame:
-        discount = F.round(F.col("l_discount") * 100).cast("int")
-        kind = F.when(
-            F.col("l_quantity") >= 45,
-            F.when(discount == 10, "U").when(discount == 0, "D").when(discount == 5, "z "),
+        return self._line_events(
+            "if(l_quantity >= 45, case cast(round(l_discount * 100) as int) when 10 then 'U' "
+            "when 0 then 'D' when 5 then 'z ' end, null)",
+            "limit", "limit_list_d", "l_extendedprice as close",
         )
-        return self._line_events(kind, "limit", "limit_list_d",
-                                 {"close": F.col("l_extendedprice")})
 
+    @lazily
     def limit_prices_source(self) -> DataFrame:
-        key = F.col("l_suppkey")
-        placeholder = (key % 6 == 2) & (F.dayofmonth("day") == 15)
-        middle = F.expr("(low_c + high_c) div 2")
+        placeholder = "key % 6 = 2 and dayofmonth(day) = 15"
         return (
-            self._day_totals().withColumn("mid", middle).filter(key % 7 != 0)
-            .select(
-                code_of("l_suppkey").alias("ts_code"), stamp("day").alias("trade_date"),
-                F.when(placeholder, F.lit(99999.99))
-                .otherwise(F.expr("mid * 103 div 100") / 100).alias("up_limit"),
-                F.when(placeholder, F.lit(0.0))
-                .otherwise(F.expr("mid * 97 div 100") / 100).alias("down_limit"),
-                F.concat(F.lit("stk_limit/"), stamp("day")).alias("_source_file"),
-                key.alias("_source_row"),
+            self._day_totals().filter("key % 7 <> 0")
+            .selectExpr("*", "(low_c + high_c) div 2 as mid")
+            .selectExpr(
+                f"{CODE.format(key='key')} as ts_code", f"{STAMP.format(day='day')} as trade_date",
+                f"if({placeholder}, double(99999.99), (mid * 103 div 100) / double(100)) "
+                "as up_limit",
+                f"if({placeholder}, double(0), (mid * 97 div 100) / double(100)) as down_limit",
+                f"concat('stk_limit/', {STAMP.format(day='day')}) as _source_file",
+                "key as _source_row",
             )
         )
 
     # -- filings ---------------------------------------------------------------------------
 
-    def _year_to_date(self) -> DataFrame:
-        """Cumulative cents and order counts per (customer, quarter end): one shuffle."""
-        q, amount = F.quarter("o_orderdate"), cents("o_totalprice")
+    @lazily
+    def _filing_rows(self) -> DataFrame:
+        """Cumulative cents and counts per (customer, quarter end, variant): one shuffle.
+
+        Variants: 0 original, 1 later revision, 2 conflicting tie, 3 exact copy, 4 other type.
+        """
         totals = (
             self.read("orders")
-            .groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+            .selectExpr("o_custkey as key", "year(o_orderdate) as year",
+                        "quarter(o_orderdate) as oq",
+                        f"{CENTS.format(column='o_totalprice')} as amount")
+            .groupBy("key", "year")
             .agg(
-                *[F.coalesce(F.sum(F.when(q <= i, amount)), F.lit(0)).alias(f"c{i}")
-                  for i in range(1, 5)],
-                *[F.count_if(q <= i).alias(f"n{i}") for i in range(1, 5)],
+                *[F.expr(f"sum(if(oq <= {i}, amount, 0)) as c{i}") for i in (1, 2, 3, 4)],
+                *[F.expr(f"count_if(oq <= {i}) as n{i}") for i in (1, 2, 3, 4)],
             )
         )
-        rows = [
-            F.struct(F.lit(i).alias("q"), F.col(f"c{i}").alias("cum"), F.col(f"n{i}").alias("cnt"))
-            for i in range(1, 5)
-        ]
-        return totals.select("o_custkey", "year", F.inline(F.array(*rows))).select(
-            F.col("o_custkey").alias("key"), "year", "q", "cum", "cnt",
-            F.last_day(F.make_date("year", F.col("q") * 3, F.lit(1))).alias("period"),
+        quarters_of_year = ", ".join(f"{i}, c{i}, n{i}" for i in (1, 2, 3, 4))
+        variants = (
+            "array_compact(array(0, if(key % 7 = 0, 1, null), if(key % 50 = 1, 2, null), "
+            "if(key % 13 = 0, 3, null), if(key % 19 = 0, 4, null)))"
         )
-
-    def filing_source(self, source: str) -> DataFrame:
-        """All-text filings with revisions, ties, copies, gaps and bad values."""
-        key, q, v = F.col("key"), F.col("q"), F.col("v")
-        base = self._year_to_date().filter(~((key % 11 == 0) & (q == 2)))
-        variants = F.array_compact(
-            F.array(
-                F.lit(0), F.when(key % 7 == 0, 1), F.when(key % 50 == 1, 2),
-                F.when(key % 13 == 0, 3), F.when(key % 19 == 0, 4),
+        return (
+            totals.selectExpr("key", "year", f"stack(4, {quarters_of_year}) as (q, cum, cnt)")
+            .filter("not (key % 11 = 0 and q = 2)")
+            .selectExpr("*", "last_day(make_date(year, q * 3, 1)) as period",
+                        f"explode({variants}) as v")
+            .selectExpr(
+                "*", "cum + case v when 1 then q * 100 when 2 then 7 else 0 end as restated",
+                "cast(if(v = 1, if(key % 14 = 0, 200, 90), 0) as int) as late",
             )
         )
-        announced = F.date_add("period", (key % 45).cast("int"))
-        late = F.when(v == 1, F.when(key % 14 == 0, 200).otherwise(90)).otherwise(0)
-        ann, f_ann = F.date_add(announced, late), F.date_add(
-            announced, (late + key % 4).cast("int")
-        )
-        amount = F.col("cum") + F.when(v == 1, q * 100).when(v == 2, 7).otherwise(0)
-        money = amount.cast("string")
-        end = F.when(key % 43 == 7, F.date_sub("period", 1)).otherwise(F.col("period"))
+
+    def filing_source(self, source: str) -> DataFrame:
+        """All-text filings of one table, with revisions, ties, copies, gaps and bad values."""
+        ann = "date_add(period, cast(key % 45 as int) + late)"
+        f_ann = "date_add(period, cast(key % 45 + key % 4 as int) + late)"
         columns = {
-            "ts_code": F.when(key % 47 == 9, key.cast("string")).otherwise(code_of("key")),
-            "ann_date": F.when((key % 31 == 4) & (q == 2), "None").otherwise(stamp(ann)),
-            "end_date": stamp(end),
-            "update_flag": F.when(v == 1, "1").otherwise("0"),
+            "ts_code": f"if(key % 47 = 9, cast(key as string), {CODE.format(key='key')})",
+            "ann_date": f"if(key % 31 = 4 and q = 2, 'None', {STAMP.format(day=ann)})",
+            "end_date": STAMP.format(day="if(key % 43 = 7, date_sub(period, 1), period)"),
+            "update_flag": "if(v = 1, '1', '0')",
         }
         if source != "fina_indicator":
-            columns["f_ann_date"] = F.when(key % 5 != 0, stamp(f_ann))
-            columns["report_type"] = F.when(v == 4, "2").otherwise("1")
-        if source == "income_vip":
-            columns["revenue"] = (
-                F.when((key % 37 == 2) & (q == 3), "n/a").when((key % 41 == 2) & (q == 1), None)
-                .otherwise(money)
-            )
-            columns["n_income_attr_p"] = F.expr("cum div 10").cast("string")
-        elif source == "cashflow_vip":
-            columns["n_cashflow_act"] = (F.col("cnt") * 100 + F.when(v == 1, 1).otherwise(0)).cast(
-                "string"
-            )
-        elif source == "balancesheet_vip":
-            columns["total_assets"] = money
-        else:
-            columns["eps"] = F.expr("cum div 1000").cast("string")
-        return base.withColumn("v", F.explode(variants)).select(
-            *[value.alias(name) for name, value in columns.items()],
-            F.concat(F.lit(f"{source}/by_period/"), stamp("period")).alias("_source_file"),
-            (key * 10 + v).alias("_source_row"),
+            columns["f_ann_date"] = f"if(key % 5 <> 0, {STAMP.format(day=f_ann)}, null)"
+            columns["report_type"] = "if(v = 4, '2', '1')"
+        columns.update(
+            {
+                "income_vip": {
+                    "revenue": "case when key % 37 = 2 and q = 3 then 'n/a' "
+                    "when key % 41 = 2 and q = 1 then null else cast(restated as string) end",
+                    "n_income_attr_p": "cast(cum div 10 as string)",
+                },
+                "cashflow_vip": {
+                    "n_cashflow_act": "cast(cnt * 100 + if(v = 1, 1, 0) as string)"
+                },
+                "balancesheet_vip": {"total_assets": "cast(restated as string)"},
+                "fina_indicator": {"eps": "cast(cum div 1000 as string)"},
+            }[source]
+        )
+        return self._filing_rows().selectExpr(
+            *[f"{text} as {name}" for name, text in columns.items()],
+            f"concat('{source}/by_period/', {STAMP.format(day='period')}) as _source_file",
+            "key * 10 + v as _source_row",
         )
 
+    @lazily
     def filing_sources(self) -> dict[str, DataFrame]:
         names = ("income_vip", "balancesheet_vip", "cashflow_vip", "fina_indicator")
         return {name: self.filing_source(name) for name in names}
 
     # -- derived tables --------------------------------------------------------------------
 
+    @lazily
     def quotes(self) -> DataFrame:
         return prices.normalize_quotes(self.quotes_source())
 
-    def adjusted(self, start: date | None = None, end: date | None = None) -> DataFrame:
-        return prices.adjusted_prices(self.quotes(), self.calendar(), start, end)
+    @lazily
+    def untidy_quotes(self) -> DataFrame:
+        return prices.normalize_quotes(self.untidy_quotes_source())
 
+    @lazily
+    def adjusted(self) -> DataFrame:
+        return prices.adjusted_prices(self.quotes(), self.calendar())
+
+    @lazily
     def securities(self) -> DataFrame:
         return state.normalize_securities(self.securities_source())
 
+    @lazily
     def names(self) -> DataFrame:
         return state.normalize_names(self.names_source())
 
-    def state(self, start: date | None = None, end: date | None = None) -> DataFrame:
-        return state.security_state(
-            self.securities(), self.names(), self.calendar(), start, end
-        )
+    @lazily
+    def state(self) -> DataFrame:
+        return state.security_state(self.securities(), self.names(), self.calendar())
 
+    @lazily
     def suspensions(self) -> DataFrame:
         return feasibility.normalize_suspensions(self.suspensions_source())
 
+    @lazily
     def limit_events(self) -> DataFrame:
         return feasibility.normalize_limit_events(self.limit_events_source())
 
+    @lazily
     def limit_prices(self) -> DataFrame:
         return feasibility.normalize_limit_prices(self.limit_prices_source())
 
+    @lazily
     def status(self) -> DataFrame:
         return feasibility.trade_status(
             self.state(), self.adjusted(), self.suspensions(), self.limit_events(),
             self.limit_prices(), self.calendar(), TRADE_RULES,
         )
 
+    @lazily
     def universe(self) -> DataFrame:
         return universe.research_universe(
             self.state(), self.status(), self.calendar(), DEFAULT_UNIVERSES, DEFAULT_CAPABILITIES
         )
 
+    @lazily
+    def hot_period(self) -> bool:
+        return filings.has_hot_period(self.filing_sources())
+
+    @lazily
     def filings(self) -> DataFrame:
-        return filings.filings_available(self.filing_sources(), self.calendar())
+        return filings.filings_available(
+            self.filing_sources(), self.calendar(), self.hot_period()
+        )
 
+    @lazily
+    def cumulative_filings(self) -> DataFrame:
+        """Only the sources the quarterly figures use."""
+        sources = {name: self.filing_sources()[name] for name in METRICS}
+        return filings.filings_available(sources, self.calendar(), self.hot_period())
+
+    @lazily
     def metrics(self) -> DataFrame:
-        sources = {name: self.filing_source(name) for name in METRICS}
-        return quarters.metrics_long(
-            filings.filings_available(sources, self.calendar()), METRICS
-        )
+        return quarters.metrics_long(self.cumulative_filings(), METRICS)
+
+    @lazily
+    def period_versions(self) -> DataFrame:
+        return quarters.period_versions(self.metrics())
 
+    @lazily
     def quarterly(self) -> DataFrame:
-        return quarters.quarterly(quarters.period_versions(self.metrics()))
+        return quarters.quarterly(self.period_versions())
 
+    @lazily
     def ttm(self) -> DataFrame:
         return quarters.ttm(self.quarterly())
