@@ -15,6 +15,7 @@ from tidemark.contracts import DEFAULT_CAPABILITIES, DEFAULT_UNIVERSES, TradeRul
 from tidemark.functions.scalars import day_literal
 from tidemark.operators import calendar as cal
 from tidemark.operators import feasibility, filings, prices, quarters, state, universe
+from tidemark.session import staged
 
 EXCHANGE = "SSE"
 METRICS = {"income_vip": ["revenue", "n_income_attr_p"], "cashflow_vip": ["n_cashflow_act"]}
@@ -61,6 +62,13 @@ class DemoMarket:
         ).first()
         return row[0], row[1]
 
+    def staged(self, name: str) -> DataFrame:
+        """A derived table written once and read back, for plans that use it many times."""
+        key = f"staged {name}"
+        if key not in self._built:
+            self._built[key] = staged(getattr(self, name)())
+        return self._built[key]
+
     # -- sources ---------------------------------------------------------------------------
 
     @lazily

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, memory: str = "20g", app: str = "tidemark") -> SparkSession:
@@ -37,3 +38,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = os.path.join(tempfile.mkdtemp(prefix="spark-", dir="/tmp"), "checkpoint")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The same rows read back from a written table in the shared checkpoint folder.
+
+    For a result several later plans read: it is computed once, its lineage is cut, and a lost
+    executor costs a re-read rather than a recomputation.
+    """
+    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
