@@ -15,6 +15,19 @@ from tidemark.sources.publish import Warehouse
 from tidemark.sources.tables import file_inventory, require_fields, source_signature
 
 
+# Which published tables each table is derived from.
+UPSTREAM = {
+    "daily_adjusted_price": ["daily_calendar"],
+    "daily_stock_state": ["daily_calendar"],
+    "daily_trade_status": ["daily_calendar", "daily_stock_state", "daily_adjusted_price"],
+    "financial_available": ["daily_calendar"],
+    "quarterly_financial": ["financial_available"],
+    "ttm_financial": ["quarterly_financial"],
+    "daily_research_universe": ["daily_calendar", "daily_stock_state", "daily_trade_status",
+                                "research_universe_config"],
+}
+
+
 class BuildError(ValueError):
     """A build step failed its gate; later tables were not built."""
 
@@ -39,10 +52,12 @@ def build(
     raw = {name: require_fields(df, SOURCE_CONTRACTS[name]) if name in contracts else df
            for name, df in raw.items()}
     columns, totals = profile_all({n: raw[n] for n in contracts}, contracts)
-    warehouse.publish("l0", "profile_columns", columns, ["table_name", "column_name"])
-    warehouse.publish("l0", "profile_tables", totals, ["table_name"])
+    warehouse.publish("l0", "profile_columns", columns, ["table_name", "column_name"],
+                      upstream=[])
+    warehouse.publish("l0", "profile_tables", totals, ["table_name"], upstream=[])
     issues = verify_profiles(warehouse.read("profile_columns"), contracts)
-    warehouse.publish("l0", "profile_issues", issues, ["table_name", "column_name", "issue"])
+    warehouse.publish("l0", "profile_issues", issues, ["table_name", "column_name", "issue"],
+                      upstream=["profile_columns"])
 
     sources = {n: raw[n] for n in FILING_TABLES if n in raw}
     quotes = prices.normalize_quotes(raw["stk_factor_pro"])
@@ -64,7 +79,7 @@ def build(
             key = list(contract.key) if contract else ["source_table", "record_id", "file", "row"]
             layer = contract.layer if contract else "l1"
             by_source = key[0] if key[0] == "source_table" else None
-            warehouse.publish(layer, name, df, key, partition_by=by_source)
+            warehouse.publish(layer, name, df, key, by_source, UPSTREAM.get(name, []))
             found[name] = warehouse.read(name)
         failed = report.check_component(component, found)
         if failed:
@@ -101,8 +116,8 @@ def build(
     long = quarters.metrics_long(found["financial_available"], rules.cumulative_metrics)
     step_quarters = quarters.quarterly(quarters.period_versions(long))
     warehouse.publish("l1", "quarterly_financial", step_quarters,
-                      list(OUTPUT_CONTRACTS["quarterly_financial"].key),
-                      partition_by="source_table")
+                      list(OUTPUT_CONTRACTS["quarterly_financial"].key), "source_table",
+                      UPSTREAM["quarterly_financial"])
     found["quarterly_financial"] = warehouse.read("quarterly_financial")
     step("quarterly_and_ttm", ttm_financial=quarters.ttm(found["quarterly_financial"]))
 
@@ -119,7 +134,7 @@ def build(
     failed = [
         {"table_name": r.table_name, "check_name": r.problem}
         for r in report.manifest_problems(
-            warehouse.manifest().filter(F.col("layer") != "l0"), warehouse.config_hash
+            warehouse.manifest(), warehouse.config_hash
         ).collect()
     ]
     if _signature(spark, raw_root) != before:

@@ -83,19 +83,21 @@ class Warehouse:
 
     def publish(
         self, layer: str, name: str, df: DataFrame, key: list[str],
-        partition_by: str | None = None,
+        partition_by: str | None = None, upstream: list[str] | None = None,
     ) -> dict:
         """Write, verify, sort and commit one table; returns its manifest row.
 
         The plan runs once, into a staging table. The key gate and the range sampling of the
-        global sort then read that table, which also cuts the lineage.
+        global sort then read that table, which also cuts the lineage. ``upstream`` names the
+        published inputs; by default, every table read through this warehouse so far.
         """
         if partition_by is not None and partition_by != key[0]:
             raise PublishError("tables are partitioned by the leading key column only")
         folder = f"{self.root.rstrip('/')}/{layer}/{name}"
         run = uuid.uuid4().hex[:12]
         staging, final = f"{folder}/_staging-{run}", f"{folder}/data-{run}"
-        upstream = {k: v for k, v in self._used.items() if k != name}
+        inputs = self._used if upstream is None else upstream
+        marks = {k: self._used[k] for k in inputs if k != name}
         df.write.option("compression", "zstd").parquet(staging)
         staged = self.spark.read.parquet(staging)
         gate = key_gate(staged, key).first()
@@ -116,7 +118,7 @@ class Warehouse:
             "version": (previous.version + 1) if previous else 1,
             "location": final, "row_count": mark.row_count, "primary_key": list(key),
             "schema_json": json.dumps(schema, sort_keys=True), "config_hash": self.config_hash,
-            "hash_sum": mark.hash_sum, "hash_xor": mark.hash_xor, "upstream": upstream,
+            "hash_sum": mark.hash_sum, "hash_xor": mark.hash_xor, "upstream": marks,
         }
         self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode(
             "append"
