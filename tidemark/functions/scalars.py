@@ -21,10 +21,11 @@ def is_blank(x: str) -> str:
 
 def parse_day(x: str) -> str:
     """YYYYMMDD or YYYY-MM-DD (a trailing '.0' is tolerated), anything else NULL."""
-    text = rf"regexp_replace(trim(cast({x} as string)), r'\.0\z', '')"
+    trimmed = f"trim(cast({x} as string))"
+    text = f"if(endswith({trimmed}, '.0'), left({trimmed}, length({trimmed}) - 2), {trimmed})"
     return (
-        rf"case when {text} rlike r'^[0-9]{{8}}\z' then try_to_date({text}, 'yyyyMMdd') "
-        rf"when {text} rlike r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z' then try_cast({text} as date) end"
+        rf"case when ({text}) rlike r'^[0-9]{{8}}\z' then try_to_date({text}, 'yyyyMMdd') "
+        rf"when ({text}) rlike r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z' then try_cast({text} as date) end"
     )
 
 

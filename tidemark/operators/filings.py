@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.fingerprint import record_id
-from tidemark.functions.ranking import group_exceeds, row_number
+from tidemark.functions.ranking import HOT_GROUP_ROWS, group_exceeds, row_number
 from tidemark.functions.scalars import day_of, exprs, is_blank, is_security_code, quoted
 from tidemark.operators.calendar import bounds, lookup_days
 
@@ -78,8 +78,11 @@ VERSION_GROUP = ["source_table", "ts_code", "end_date", "report_type"]
 def has_hot_period(sources: dict[str, DataFrame]) -> bool:
     """Action: may one company's one period be too big to number in one task?
 
-    Counted on raw rows, four narrow columns, before copies are merged: an upper bound.
+    Counted on raw rows, four narrow columns, before copies are merged: an upper bound. Sources
+    that are small in total need no grouping, and a file's row count comes from its footer.
     """
+    if sum(raw.count() for raw in sources.values()) <= HOT_GROUP_ROWS:
+        return False
     keys = []
     for table, raw in sources.items():
         kind = "report_type" if "report_type" in raw.columns else "cast(null as string)"

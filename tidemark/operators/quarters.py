@@ -2,15 +2,16 @@
 
 No state machine: a record's available date never decreases with its announcement date, so
 "what was known on day d" is a last-non-null window over versions ordered by available date.
+Windows are partitioned by (source, code, metric, period), at most four rows per announcement
+day of one period, however much of the market one company makes up.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scalars import (
     compensated_sum,
-    exprs,
     is_blank,
     is_finite,
     quarter_end,
@@ -67,7 +68,7 @@ def period_versions(long: DataFrame) -> DataFrame:
     )
     tied = claims.groupBy(*key, "effective_ann_date").agg(
         F.expr("min(claim) as low"), F.expr("max(claim) as high"),
-        F.expr("array_sort(collect_set(record_id)) as ids"),
+        F.expr("sort_array(collect_set(record_id)) as ids"),
     )
     newest = _clustered(tied).groupBy(*key).agg(
         F.expr("max_by(struct(low, high, ids), effective_ann_date) as best")
@@ -81,27 +82,32 @@ def period_versions(long: DataFrame) -> DataFrame:
     )
 
 
-def _version_id(kind: str, columns: list[str]) -> Column:
-    packed = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return F.sha2(F.concat(F.lit(kind), packed), 256)
+BY_PERIOD = f"over (partition by {', '.join(GROUP)}, end_date order by available_date)"
+ID_FIELDS = ["status", "cast(value as string)", "array_join(source_record_ids, ',')"]
 
 
-BY_PERIOD = f"over (partition by {', '.join(GROUP)}, end_date order by available_date)"
+def _version_id(kind: str, fields: list[str]) -> str:
+    """sha256 of the version's key and content in a fixed order."""
+    parts = [*GROUP, "cast(end_date as string)", "cast(available_date as string)", *fields]
+    texts = ", ".join(f"coalesce({part}, '')" for part in parts)
+    return f"sha2(concat_ws('|', '{kind}', {texts}), 256) as version_id"
 
 
-def _visible(slot: int, name: str) -> str:
-    """Newest version in a slot up to and including the row's available date."""
-    return f"last(if(slot = {slot}, known, null), true) {BY_PERIOD} as {name}"
+def _visible(slots: range, own: str) -> list[str]:
+    """Newest version per slot up to and including each event day, one row per day.
 
+    A record has one available date, so each event brings records no earlier version of the
+    period was built from: every event day is a changed version, and none needs comparing
+    with its predecessor. Events of one day see the same state; the last stands for all.
+    """
+    columns = [
+        f"last(if(slot = {k}, known, null), true) {BY_PERIOD} as {own}{k}" for k in slots
+    ]
+    return [*columns, f"lead(available_date) {BY_PERIOD} as next_event"]
 
-def _changed(df: DataFrame, signature: list[str]) -> DataFrame:
-    """Keep the first row of a (group, period) and rows whose signature differs from the last."""
-    return (
-        df.selectExpr("*", f"struct({', '.join(signature)}) as _signature")
-        .selectExpr("*", f"lag(_signature) {BY_PERIOD} as _before")
-        .filter("_signature is distinct from _before")
-        .drop("_signature", "_before")
-    )
+
+# A period emits nothing before its own first version.
+EMITTED = "{own}0 is not null and next_event is distinct from available_date"
 
 
 def _clustered(df: DataFrame) -> DataFrame:
@@ -117,7 +123,7 @@ def quarterly(versions: DataFrame) -> DataFrame:
     """Quarter versions from period versions: cumulative minus the previous quarter's cumulative.
 
     Slot 0 feeds a version to its own period; slot 1 feeds it, as predecessor, to the next
-    quarter of the same year. A period emits nothing before its own first version.
+    quarter of the same year.
     """
     own_slot = "struct(end_date as target, 0 as slot)"
     seen = (
@@ -128,39 +134,39 @@ def quarterly(versions: DataFrame) -> DataFrame:
             f"struct({quarter_end('q + 1')} as target, 1 as slot)), array({own_slot})))",
         )
         .withColumnRenamed("target", "end_date")
-        .selectExpr(*GROUP, "end_date", "available_date", _visible(0, "own"), _visible(1, "prior"))
-        .filter("own is not null")
+        .selectExpr(*GROUP, "end_date", "available_date", *_visible(range(2), "c"))
+        .filter(EMITTED.format(own="c"))
+        .selectExpr(
+            *GROUP, "end_date", "available_date", "c0 as own", "c1 as prior",
+            f"{quarter_index('end_date')} as q", "c0.value - c1.value as difference",
+        )
     )
-    steps = [
-        {
-            "q": quarter_index("end_date"),
-            "bad": "array_sort(array_distinct(filter(array(own.status, prior.status), "
-            "s -> s <> 'available')))",
-            "difference": "own.value - prior.value",
-        },
-        {
-            "status": "case when q is null then 'unsupported_report_period' "
-            "when q % 4 = 0 then own.status "
-            "when prior is null and own.status = 'available' then 'missing_previous_quarter' "
-            "when prior is null then concat(own.status, '+missing_previous_quarter') "
-            "when size(bad) > 0 then array_join(bad, '+') "
-            f"when not {is_finite('difference')} then 'invalid_computation' "
-            "else 'available' end",
-        },
-    ]
-    for step in steps:
-        seen = seen.withColumns(exprs(step))
-    rows = seen.selectExpr(
+    bad = (
+        "case when own.status = 'available' then prior.status "
+        "when prior.status = 'available' or prior.status = own.status then own.status "
+        "else concat_ws('+', least(own.status, prior.status), "
+        "greatest(own.status, prior.status)) end"
+    )
+    status = (
+        "case when q is null then 'unsupported_report_period' when q % 4 = 0 then own.status "
+        "when prior is null and own.status = 'available' then 'missing_previous_quarter' "
+        "when prior is null then concat(own.status, '+missing_previous_quarter') "
+        f"when own.status <> 'available' or prior.status <> 'available' then {bad} "
+        f"when not {is_finite('difference')} then 'invalid_computation' else 'available' end"
+    )
+    rows = seen.withColumn("status", F.expr(status)).selectExpr(
         *GROUP, "end_date", "available_date",
         "case when q % 4 = 0 then own.value when status = 'available' then difference end as value",
         "status",
         "case when q is null or q % 4 = 0 or prior is null then own.ids "
-        "else array_sort(array_union(own.ids, prior.ids)) end as source_record_ids",
+        "else sort_array(array_union(own.ids, prior.ids)) end as source_record_ids",
         f"case when q is null or q % 4 = 0 then array(end_date) "
         f"else array({quarter_end('q - 1')}, end_date) end as source_end_dates",
     )
-    emitted = _changed(rows, ["value", "status", "source_record_ids"])
-    return emitted.withColumn("version_id", _version_id("quarter", emitted.columns))
+    return rows.selectExpr("*", _version_id("quarter", ID_FIELDS))
+
+
+UNAVAILABLE = "if(q{k}.status <> 'available', end{k}, null)"
 
 
 def ttm(quarters: DataFrame) -> DataFrame:
@@ -173,57 +179,58 @@ def ttm(quarters: DataFrame) -> DataFrame:
     later = ", ".join(
         f"struct({quarter_end(f'q + {k}')} as target, {k} as slot)" for k in (1, 2, 3)
     )
+    # Oldest first, as source lists are ordered. An unsupported period fills only its own slot,
+    # which is not a source quarter.
+    order = (3, 2, 1, 0)
     seen = (
         quarters.selectExpr("*", f"{quarter_index('end_date')} as q")
         .selectExpr(
             *GROUP, "available_date",
-            "struct(end_date, value, status, source_record_ids as ids, version_id) as known",
+            "struct(value, status, source_record_ids as ids, version_id) as known",
             f"inline(if(q is not null, array({own_slot}, {later}), array({own_slot})))",
         )
         .withColumnRenamed("target", "end_date")
-        .selectExpr(
-            *GROUP, "end_date", "available_date", *[_visible(k, f"q{k}") for k in range(4)]
-        )
-        .filter("q0 is not null")
+        .selectExpr(*GROUP, "end_date", "available_date", *_visible(range(4), "q"))
+        .filter(EMITTED.format(own="q"))
+        .selectExpr("*", f"{quarter_index('end_date')} as q")
+        .selectExpr("*", *[f"{quarter_end(f'q - {k}')} as end{k}" for k in order])
     )
-    ends = ", ".join(quarter_end(f"q - {k}") for k in (3, 2, 1, 0))
-    total = compensated_sum(["q3.value", "q2.value", "q1.value", "q0.value"])
-    steps = [
-        {"q": quarter_index("end_date")},
-        {
-            # An unsupported period fills only its own slot, which is not a source quarter.
-            "expected": f"if(q is null, cast(array() as array<date>), array({ends}))",
-            "present": "filter(array(q3, q2, q1, q0), s -> s is not null and q is not null)",
-        },
-        {
-            "missing": "array_except(expected, transform(present, s -> s.end_date))",
-            "unavailable": "transform(filter(present, s -> s.status <> 'available'), "
-            "s -> s.end_date)",
-        },
-        {"total": f"if(q is null or size(missing) + size(unavailable) > 0, null, {total})"},
-        {
-            "status": "case when q is null then 'unsupported_report_period' "
-            "when exists(present, s -> contains(s.status, 'ambiguous')) then 'ambiguous_quarter' "
-            "when exists(present, s -> contains(s.status, 'invalid')) then 'invalid_quarter' "
-            "when size(missing) + size(unavailable) > 0 then 'missing_quarter' "
-            f"when {is_finite('total')} then 'available' else 'invalid_computation' end",
-        },
-    ]
-    for step in steps:
-        seen = seen.withColumns(exprs(step))
-    rows = seen.selectExpr(
+
+    def listed(pattern: str) -> str:
+        items = ", ".join(pattern.format(k=k) for k in order)
+        return f"array_compact(array({items}))"
+
+    def any_status(text: str) -> str:
+        return " or ".join(f"coalesce(contains(q{k}.status, '{text}'), false)" for k in order)
+
+    complete = " and ".join(f"coalesce(q{k}.status = 'available', false)" for k in order)
+    total = compensated_sum([f"q{k}.value" for k in order])
+    seen = seen.withColumn("total", F.expr(f"if(q is not null and {complete}, {total}, null)"))
+    status = (
+        "case when q is null then 'unsupported_report_period' "
+        f"when {any_status('ambiguous')} then 'ambiguous_quarter' "
+        f"when {any_status('invalid')} then 'invalid_quarter' "
+        f"when not ({complete}) then 'missing_quarter' "
+        f"when {is_finite('total')} then 'available' else 'invalid_computation' end"
+    )
+    all_ids = ", ".join(f"coalesce(q{k}.ids, array())" for k in order)
+    no_dates, no_text = "cast(array() as array<date>)", "cast(array() as array<string>)"
+    rows = seen.withColumn("status", F.expr(status)).selectExpr(
         *GROUP, "end_date", "available_date",
         "case when status = 'available' then total end as value",
         "status",
-        "if(q is null, q0.ids, array_sort(array_distinct(flatten("
-        "transform(present, s -> s.ids))))) as source_record_ids",
-        "expected as source_end_dates",
-        "transform(present, s -> s.version_id) as source_quarter_ids",
-        "missing as missing_source_end_dates",
-        "unavailable as unavailable_source_end_dates",
+        f"if(q is null, q0.ids, sort_array(array_distinct(concat({all_ids})))) "
+        "as source_record_ids",
+        f"if(q is null, {no_dates}, array({', '.join(f'end{k}' for k in order)})) "
+        "as source_end_dates",
+        f"if(q is null, {no_text}, {listed('q{k}.version_id')}) as source_quarter_ids",
+        f"if(q is null, {no_dates}, {listed('if(q{k} is null, end{k}, null)')}) "
+        "as missing_source_end_dates",
+        "if(q is null, "
+        f"{no_dates}, {listed(UNAVAILABLE)}) as unavailable_source_end_dates",
     )
-    emitted = _changed(rows, ["value", "status", "source_quarter_ids", "source_record_ids"])
-    return emitted.withColumn("version_id", _version_id("ttm", emitted.columns))
+    fields = [*ID_FIELDS, "array_join(source_quarter_ids, ',')"]
+    return rows.selectExpr("*", _version_id("ttm", fields))
 
 
 def quarterly_and_ttm(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.contracts import DEFAULT_CAPABILITIES, DEFAULT_UNIVERSES, TradeRules
 from tidemark.functions.scalars import day_literal
 from tidemark.operators import calendar as cal
+from tidemark.operators.asof import spread_rows
 from tidemark.operators import feasibility, filings, prices, quarters, state, universe
 from tidemark.session import staged
 
@@ -229,7 +230,8 @@ class DemoMarket:
             "if(key % 13 = 0, 3, null), if(key % 19 = 0, 4, null)))"
         )
         return (
-            totals.selectExpr("key", "year", f"stack(4, {quarters_of_year}) as (q, cum, cnt)")
+            spread_rows(totals)
+            .selectExpr("key", "year", f"stack(4, {quarters_of_year}) as (q, cum, cnt)")
             .filter("not (key % 11 = 0 and q = 2)")
             .selectExpr("*", "last_day(make_date(year, q * 3, 1)) as period",
                         f"explode({variants}) as v")

@@ -22,6 +22,8 @@ def local_session(cpus: int | str = 8, memory: str = "20g", app: str = "tidemark
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        # List aggregates keep hashing small groups instead of falling back to sorting at 128.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
