@@ -20,12 +20,17 @@ def is_blank(x: str) -> str:
 
 
 def parse_day(x: str) -> str:
-    """YYYYMMDD or YYYY-MM-DD (a trailing '.0' is tolerated), anything else NULL."""
+    """YYYYMMDD or YYYY-MM-DD (a trailing '.0' is tolerated), anything else NULL.
+
+    Digits are regrouped and cast once, which is much cheaper than a pattern-based parse.
+    """
     trimmed = f"trim(cast({x} as string))"
     text = f"if(endswith({trimmed}, '.0'), left({trimmed}, length({trimmed}) - 2), {trimmed})"
     return (
-        rf"case when ({text}) rlike r'^[0-9]{{8}}\z' then try_to_date({text}, 'yyyyMMdd') "
-        rf"when ({text}) rlike r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z' then try_cast({text} as date) end"
+        rf"try_cast(case when {text} rlike r'^[0-9]{{8}}\z' then "
+        f"concat(left({trimmed}, 4), '-', substr({trimmed}, 5, 2), '-', substr({trimmed}, 7, 2)) "
+        rf"when {text} rlike r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z' "
+        f"then left({trimmed}, 10) end as date)"
     )
 
 

@@ -29,7 +29,7 @@ TRADE_RULES = TradeRules(
 # SQL text of the derivations below; keys are supplier or customer numbers.
 CODE = "concat(lpad(cast({key} as string), 10, '0'), element_at(array('.SH', '.SZ', '.BJ'), " \
        "cast({key} % 3 + 1 as int)))"
-STAMP = "date_format({day}, 'yyyyMMdd')"
+STAMP = "replace(cast(cast({day} as date) as string), '-', '')"
 CENTS = "cast(round({column} * 100) as bigint)"
 
 
