@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from golden import CODES, FIRST, LAST, TRADE, UNIVERSES, Golden, open_days
+from golden import CODES, FIRST, LAST, TRADE, UNIVERSES, open_days
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.contracts import (
     DEFAULT_CAPABILITIES,
     DEFAULT_UNIVERSES,
-    FILING_TABLES,
     SourceContract,
 )
 from tidemark.functions.fingerprint import fingerprint
@@ -25,7 +24,7 @@ from tidemark.operators import profile as prof
 from tidemark.operators import state as st
 from tidemark.operators import universe as uni
 from tidemark.plans.demo import METRICS, TRADE_RULES, DemoMarket
-from tidemark.plans.oracle import CODE_OK, _blank, _code, _day, _stamp, compose
+from tidemark.plans.oracle import CODE_OK, _blank, _code, _day, compose
 from tidemark.quality import report
 from tidemark.sources import publish, tables
 
