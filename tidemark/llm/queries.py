@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, licenses, mixing, quality, sharding, tokens, warc
+from tidemark.llm import chat, decontaminate, licenses, mixing, quality, sharding, tokens, warc
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "failed",
     )
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    return decontaminate.verdicts(found).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
