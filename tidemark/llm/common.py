@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.session import staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Words between white space, and words of ASCII letters, digits and all other code points.
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -40,3 +42,14 @@ def fresh(df: DataFrame, *names: str) -> DataFrame:
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Written to the shared checkpoint folder and read back, so that lineage ends here.
+
+    The JVM is then asked to collect garbage: only that lets Spark remove the shuffle files of the
+    finished plan, which would otherwise pile up through an operator of many steps.
+    """
+    out = staged(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, licenses, mixing, quality, sharding, tokens, warc
+from tidemark.llm import chat, decontaminate, jaccard, licenses, mixing, quality, sharding, tokens, warc
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(found).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
+
+
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.linked_components(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
