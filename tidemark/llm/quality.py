@@ -145,23 +145,20 @@ def thresholds(measures: DataFrame) -> DataFrame:
     """
     parts = staged(sketches(measures))
     groups = measures.select("lang", "source").distinct()
-    wide = {}
-    for depth, group in enumerate((("lang", "source"), ("lang",), ())):
+    overall = {r.measure: r.fence for r in fences(merged(parts)).collect()}
+    found = groups.alias("g")
+    for depth, group in enumerate((("lang", "source"), ("lang",))):
         table = fences(merged(parts, *group), *group)
-        wide[depth] = table.groupBy(*group).agg(
+        wide = table.groupBy(*[F.col(c).alias(f"_{c}{depth}") for c in group]).agg(
             F.max("docs").alias(f"docs{depth}"),
             *[F.expr(f"max(if(measure = '{m}', fence, null))").alias(f"{m}{depth}")
               for m in MEASURES],
         )
-    found = groups.alias("g")
-    for depth, group in enumerate((("lang", "source"), ("lang",), ())):
-        renamed = wide[depth].withColumnsRenamed({c: f"_{c}{depth}" for c in group})
-        on = " and ".join(f"g.{c} <=> _{c}{depth}" for c in group) or "true"
-        # The last table is one row: the sketch of all documents.
-        found = found.join(F.broadcast(renamed) if not group else renamed, F.expr(on), "left")
+        on = " and ".join(f"g.{c} <=> _{c}{depth}" for c in group)
+        found = found.join(wide, F.expr(on), "left")
     limits = [
         f"greatest({least}, coalesce(if(docs0 >= {MIN_GROUP}, {m}0, null), "
-        f"if(docs1 >= {MIN_GROUP}, {m}1, null), {m}2, {least})) as max_{m}"
+        f"if(docs1 >= {MIN_GROUP}, {m}1, null), {overall.get(m, least)})) as max_{m}"
         for m, (_, least) in MEASURES.items()
     ]
     return found.selectExpr("g.lang", "g.source", *limits)
