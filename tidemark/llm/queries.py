@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, jaccard, licenses, mixing, quality, sharding, tokens, warc
+from tidemark.llm import chat, decontaminate, jaccard, licenses, mixing, quality, repeats, sharding, tokens, warc
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.linked_components(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(read_table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "n_bytes", "n_removed", "cast(size(spans) as bigint) as n_spans", "kept_sha256"
+    )
