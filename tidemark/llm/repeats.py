@@ -300,8 +300,8 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, group: int = GROUP) -> D
         "open array<struct<w: binary, o: bigint, alone: boolean>>"
     ))
     opened = sorted_.selectExpr("h", "c", "inline(open)")
-    again = opened.groupBy("h", "w").agg(F.count("*").alias("k")).filter("k > 1").drop("k")
-    late = opened.filter("alone").join(again, ["h", "w"]).selectExpr(
+    again = opened.groupBy("h", "o", "w").agg(F.count("*").alias("k")).filter("k > 1").drop("k")
+    late = opened.filter("alone").join(again, ["h", "o", "w"]).selectExpr(
         "h", "c", f"array(struct(-o as lo, {depth} - o as hi)) as spans"
     )
     covered = whole.unionByName(sorted_.filter("size(spans) > 0").select("h", "c", "spans"))
