@@ -137,8 +137,7 @@ def copies(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, tries: int = TRIES)
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as its copies say, with its own columns."""
-    chosen = copies(docs, weights, cap).filter("copies > 0")
-    return chosen.withColumn("_copy", F.expr("explode(sequence(1, cast(copies as int)))")).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    """The mix itself: every row of ``docs`` as often as its copies say, unchanged."""
+    rows = docs.selectExpr("struct(*) as _row", "doc_id", "text", "source")
+    chosen = copies(rows, weights, cap).filter("copies > 0")
+    return chosen.selectExpr("_row", "explode(sequence(1, cast(copies as int)))").select("_row.*")
