@@ -73,16 +73,20 @@ def measured(docs: DataFrame) -> DataFrame:
         "struct(s.i as i, s.g <=> get(_sorted, i - 1).g or s.g <=> get(_sorted, i + 1).g as twice)"
         "), s -> s.twice), s -> s.i))) as _places",
     )
-    return places.selectExpr(
-        *kept, "cast(size(_words) as bigint) as n_words",
-        "cast(length(array_join(_words, '')) as bigint) as word_chars",
-        "cast(regexp_count(coalesce(text, ''), r'[#*$%&|<>]') as bigint) as n_symbols",
-        "cast(size(_lines) as bigint) as n_lines",
-        "cast(size(_lines) - size(array_distinct(_lines)) as bigint) as n_dup_lines",
-        "if(_places is null, 0L, aggregate(transform(_places, (p, i) -> "
-        "least(5, coalesce(get(_places, i + 1) - p, 5))), 0L, (a, x) -> a + x)) "
-        "as n_repeat_words",
-    )
+    counts = {
+        "n_words": "cast(size(_words) as bigint)",
+        "word_chars": "cast(length(array_join(_words, '')) as bigint)",
+        "n_symbols": "cast(regexp_count(coalesce(text, ''), r'[#*$%&|<>]') as bigint)",
+        "n_lines": "cast(size(_lines) as bigint)",
+        "n_dup_lines": "cast(size(_lines) - size(array_distinct(_lines)) as bigint)",
+        "n_repeat_words":
+            "if(_places is null, 0L, aggregate(transform(_places, (p, i) -> "
+            "least(5, coalesce(get(_places, i + 1) - p, 5))), 0L, (a, x) -> a + x))",
+    }
+    # As rows of a generator: a filter on the counts then stays above them, where it would
+    # otherwise be pushed down with all these expressions written out in it.
+    fields = ", ".join(f"'{name}', {text}" for name, text in counts.items())
+    return places.selectExpr(*kept, f"inline(array(named_struct({fields})))")
 
 
 BASE_FAILED = (f"(n_words < {MIN_WORDS} or "
