@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.session import staged
 
@@ -44,12 +44,14 @@ def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Written to the shared checkpoint folder and read back, so that lineage ends here.
+def release(spark: SparkSession) -> None:
+    """Ask the JVM to collect garbage: only that lets Spark remove the shuffle files of finished
+    plans, which would otherwise pile up through an operator of many steps."""
+    spark.sparkContext._jvm.System.gc()
 
-    The JVM is then asked to collect garbage: only that lets Spark remove the shuffle files of the
-    finished plan, which would otherwise pile up through an operator of many steps.
-    """
+
+def stage(df: DataFrame) -> DataFrame:
+    """Written to the shared checkpoint folder and read back, so that lineage ends here."""
     out = staged(df)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    release(df.sparkSession)
     return out

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.common import release
 from tidemark.session import checkpoint_root
 
 #: Payloads with fewer bytes are stored as full records however often they occur.
@@ -64,6 +65,7 @@ def write_archive(pages: DataFrame, path: str | None = None, min_shared: int = M
         "sha2(payload, 256) as digest", "payload"
     )
     payloads.dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
+    release(spark)
     return path
 
 
