@@ -55,3 +55,12 @@ def stage(df: DataFrame) -> DataFrame:
     out = staged(df)
     release(df.sparkSession)
     return out
+
+
+def drop_stage(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`stage` once all that reads them has been staged itself."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,8 +11,8 @@ anchor's hash; about one position in seventy is an anchor. Anchors met once in t
 out with all their windows.
 
 Second digit. Each remaining anchor is looked at with the bytes around it that any of its windows
-can hold. Contexts that are equal throughout are counted, where they are read first: copies of a
-passage collapse here, however many there are.
+can hold. Contexts that are equal throughout, by a 64-bit hash beside the anchor's, are counted,
+where they are read first: copies of a passage collapse here, however many there are.
 
 Further digits. The distinct contexts of an anchor are sorted byte by byte outward from the
 anchor, to the right and to the left, groups of one dropping out, for many anchors at once. The
@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import keyed, stage
+from tidemark.llm.common import drop_stage, keyed, stage
 from tidemark.llm.wordhash import mix, texts
 
 DEPTH = 200
@@ -107,27 +107,48 @@ def _anchor_rows(depth: int):
     return run
 
 
-def _context_rows(depth: int, whole: bool):
-    """(h, c, _id, _th, pos) of each anchor occurrence, or with ``whole`` (h, c, lv, context)."""
+def _context_rows(depth: int):
+    """(text, _id, _th, anchors) to (h, c, _id, _th, pos, lv, size): every anchor's context, hashed.
+
+    ``lv`` is how many of its ``size`` bytes stand before the anchor.
+    """
     reach = depth - KEY
+    names = ["h", "c", "_id", "_th", "pos", "lv", "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            out = []
             for i in range(batch.num_rows):
                 text = (batch.column(0)[i].as_py() or "").encode("utf-8", "surrogatepass")
-                for a in batch.column(3)[i].as_py():
-                    h, pos = a["h"], a["pos"]
-                    lv = min(pos, reach)
-                    context = text[pos - lv:pos + depth]
-                    c = xxhash.xxh3_64_intdigest(context, seed=lv) - (1 << 63)
-                    out.append((h, c, lv, context) if whole else
-                               (h, c, batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), pos))
-            kinds = ([pa.int64()] * 3 + [pa.binary()]) if whole else [pa.int64()] * 5
-            names = ["h", "c", "lv", "context"] if whole else ["h", "c", "_id", "_th", "pos"]
-            columns = list(zip(*out)) if out else [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(columns, kinds)], names=names)
+                found = batch.column(3)[i].values
+                pos = found.field("pos").to_numpy(zero_copy_only=False)
+                lv = np.minimum(pos, reach)
+                c = [digest(text[p - v:p + depth], seed=v)
+                     for p, v in zip(pos.tolist(), lv.tolist())]
+                n = len(pos)
+                yield pa.RecordBatch.from_arrays([
+                    found.field("h"), pa.array(np.array(c, np.uint64).view(np.int64)),
+                    pa.repeat(batch.column(1)[i], n), pa.repeat(batch.column(2)[i], n),
+                    pa.array(pos), pa.array(lv),
+                    pa.array(np.minimum(pos + depth, len(text)) - pos + lv),
+                ], names=names)
+
+    return run
+
+
+def _context_bytes(depth: int):
+    """(text, wanted) to (h, salt, parts, c, lv, context, n) of the contexts wanted of a text."""
+    names = ["h", "salt", "parts", "c", "lv", "context", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                text = batch.column(0)[i].as_py().encode("utf-8", "surrogatepass")
+                want = batch.column(1)[i].values
+                pos, lv = (want.field(x).to_pylist() for x in ("pos", "lv"))
+                context = pa.array([text[p - v:p + depth] for p, v in zip(pos, lv)], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [context if x == "context" else want.field(x) for x in names], names=names)
 
     return run
 
@@ -280,20 +301,31 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, group: int = GROUP) -> D
     per_doc = stage(found.join(twice, "h").groupBy("_id", "_th").agg(
         F.expr("collect_set(struct(h, pos)) as anchors")
     ))
+    drop_stage(found)
     held = stage(narrow.select("text", "_id", "_th").join(per_doc, ["_id", "_th"])
                  .select("text", "_id", "_th", "anchors"))
-    contexts = stage(
-        held.mapInArrow(_context_rows(depth, True), "h bigint, c bigint, lv bigint, context binary")
-        .groupBy("h", "c").agg(F.count("*").alias("n"), F.any_value("lv").alias("lv"),
-                               F.any_value("context").alias("context"))
-    )
-    whole = contexts.filter(f"n > 1 and octet_length(context) >= {depth}").selectExpr(
-        "h", "c", "array(struct(-lv as lo, octet_length(context) - lv as hi)) as spans"
+    drop_stage(per_doc)
+    # Texts by key; repeated rows are told apart only by being counted in ``occurring``.
+    one = held.select("_id", "_th", "text").dropDuplicates(["_id", "_th"])
+    occurring = stage(held.mapInArrow(
+        _context_rows(depth), "h bigint, c bigint, _id bigint, _th bigint, pos bigint, "
+        "lv bigint, size bigint"
+    ))
+    contexts = stage(occurring.groupBy("h", "c").agg(
+        F.count("*").alias("n"), F.expr("min(struct(_id, _th, pos, lv, size)) as at")
+    ).select("h", "c", "n", "at.*"))
+    whole = contexts.filter(f"n > 1 and size >= {depth}").selectExpr(
+        "h", "c", "array(struct(-lv as lo, size - lv as hi)) as spans"
     )
     sizes = contexts.groupBy("h").agg(F.count("*").alias("k"), F.min("n").alias("least"))
-    dealt = contexts.join(sizes.filter("k > 1 and least = 1"), "h").selectExpr(
-        "h", f"pmod(c, 1 + k div {group}) as salt", f"1 + k div {group} as parts", "c", "lv",
-        "context", "n",
+    # Bytes are only needed where an anchor has several contexts, one of each.
+    wanted = contexts.join(sizes.filter("k > 1 and least = 1"), "h").selectExpr(
+        "_id", "_th", f"struct(h, pmod(c, 1 + k div {group}) as salt, 1 + k div {group} as parts, "
+        "c, pos, lv, n) as want",
+    ).groupBy("_id", "_th").agg(F.collect_list("want").alias("wanted"))
+    dealt = one.join(wanted, ["_id", "_th"]).select("text", "wanted").mapInArrow(
+        _context_bytes(depth), "h bigint, salt bigint, parts bigint, c bigint, lv bigint, "
+        "context binary, n bigint"
     ).repartition("h", "salt").sortWithinPartitions("h", "salt", "c")
     sorted_ = stage(dealt.mapInArrow(
         _sorted_groups(depth), f"h bigint, c bigint, spans {_SPANS}, "
@@ -306,19 +338,16 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, group: int = GROUP) -> D
     )
     covered = whole.unionByName(sorted_.filter("size(spans) > 0").select("h", "c", "spans"))
     covered = covered.unionByName(late)
-    occurring = held.mapInArrow(
-        _context_rows(depth, False), "h bigint, c bigint, _id bigint, _th bigint, pos bigint"
-    ).distinct()
-    spans = occurring.join(covered, ["h", "c"]).groupBy("_id", "_th").agg(F.expr(
+    spans = stage(occurring.select("h", "c", "_id", "_th", "pos").join(covered, ["h", "c"])
+                  .groupBy("_id", "_th").agg(F.expr(
         "flatten(collect_list(transform(spans, s -> struct(s.lo + pos as lo, s.hi + pos as hi)))) "
         "as spans"
+    )))
+    drop_stage(occurring, contexts, sorted_)
+    cut = stage(one.join(spans, ["_id", "_th"]).select("_id", "_th", "text", "spans").mapInArrow(
+        _removed, f"_id bigint, _th bigint, spans {_SPANS}, n_removed bigint, kept_sha256 string"
     ))
-    cut = stage(
-        held.select("_id", "_th", "text").dropDuplicates(["_id", "_th"]).join(spans, ["_id", "_th"])
-        .select("_id", "_th", "text", "spans").mapInArrow(
-            _removed, f"_id bigint, _th bigint, spans {_SPANS}, n_removed bigint, "
-            "kept_sha256 string")
-    )
+    drop_stage(held, spans)
     plain = narrow.selectExpr(
         "doc_id", "_id", "_th", "cast(octet_length(coalesce(text, '')) as bigint) as n_bytes",
         "sha2(coalesce(text, ''), 256) as whole",
