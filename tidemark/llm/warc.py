@@ -1,15 +1,19 @@
 """A content-addressed archive of WARC records.
 
-Two tables make up an archive: ``payloads`` holds the bytes of every distinct payload once, under
-their SHA-256, and ``headers`` holds each record's header block exactly as it stands in a WARC
+Two tables make up an archive: ``payloads`` holds the bytes of every distinct payload once, zstd
+compressed, under the SHA-256 of the bytes themselves, and ``headers`` holds each record's header block exactly as it stands in a WARC
 file, with the payload's digest. Joining the two gives back every record byte for byte. A payload
 that does not hash to its digest stops the read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import release
@@ -55,6 +59,30 @@ def records(pages: DataFrame, min_shared: int = MIN_SHARED) -> DataFrame:
     )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [press.compress(x.as_py().encode("utf-8", "surrogatepass"))
+                  for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())],
+                                         names=["digest", "packed"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (header, digest, packed) with the payload, held against its digest."""
+    open_ = zstandard.ZstdDecompressor()
+    for batch in batches:
+        payloads = []
+        for digest, packed in zip(batch.column(1), batch.column(2)):
+            payload = open_.decompress(packed.as_py())
+            if hashlib.sha256(payload).hexdigest() != digest.as_py():
+                raise ValueError(f"payload does not match its digest: {digest}")
+            payloads.append(payload.decode("utf-8", "surrogatepass"))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(payloads, pa.string())],
+            names=["header", "digest", "payload"])
+
+
 def write_archive(pages: DataFrame, path: str | None = None, min_shared: int = MIN_SHARED) -> str:
     """Write both tables under ``path`` (by default a new folder in the checkpoint folder)."""
     spark = pages.sparkSession
@@ -63,24 +91,19 @@ def write_archive(pages: DataFrame, path: str | None = None, min_shared: int = M
     found.select("digest", "header").write.parquet(f"{path}/headers")
     payloads = pages.selectExpr("coalesce(html, '') as payload").selectExpr(
         "sha2(payload, 256) as digest", "payload"
-    )
+    ).mapInArrow(_packed, "digest string, packed binary")
     payloads.dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
     release(spark)
     return path
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """(header, payload, digest): every record with the full payload it has or refers to."""
-    payloads = spark.read.parquet(f"{path}/payloads").selectExpr(
-        "digest",
-        "if(sha2(payload, 256) = digest, payload, "
-        "raise_error(concat('payload does not match its digest: ', digest))) as payload",
-    )
+    """(header, digest, payload): every record with the full payload it has or refers to."""
+    payloads = spark.read.parquet(f"{path}/payloads")
     return spark.read.parquet(f"{path}/headers").join(payloads, "digest", "left").selectExpr(
-        "header",
-        "coalesce(payload, raise_error(concat('payload is missing: ', digest))) as payload",
-        "digest",
-    )
+        "header", "digest",
+        "coalesce(packed, raise_error(concat('payload is missing: ', digest))) as packed",
+    ).mapInArrow(_unpacked, "header string, digest string, payload string")
 
 
 def record_text(archive: DataFrame) -> DataFrame:
