@@ -170,7 +170,7 @@ class Golden:
         return {n: self.frame(n, rows.get(n)) for n in names}
 
     def filings(self, **rows):
-        return filings.filings_available(self.sources(**rows), self.calendar(), hot=False)
+        return filings.filings_available(self.sources(**rows), self.calendar())
 
     def quarters(self, **rows):
         from tidemark.contracts import CUMULATIVE_METRICS

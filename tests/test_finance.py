@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.fingerprint import fingerprint
-from tidemark.functions.ranking import group_exceeds, row_number
+from tidemark.functions.ranking import split_row_number
 from tidemark.operators import asof, filings, quarters
 
 D = date
@@ -82,16 +82,10 @@ def test_split_numbering_equals_one_window(spark):
              random.choice([None, D(2020, 1, 1), D(2020, 1, 2)]), i) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, h string, d date, i int").withColumn(
         "id", F.sha2(F.col("i").cast("string"), 256))
-    plain = row_number(df, ["g", "h"], "d", "id", "n", hot=False)
-    split = row_number(df, ["g", "h"], "d", "id", "n", hot=True)
+    plain = df.selectExpr("*", "cast(row_number() over (partition by g, h order by d nulls last, id) "
+                               "as bigint) as n")
+    split = split_row_number(df, ["g", "h"], "d", "id", "n")
     assert plain.exceptAll(split).count() == 0 and split.count() == 600
-    assert group_exceeds(df, ["g"], 300) and not group_exceeds(df, ["g"], 600)
-
-
-def test_hot_filings_equal_plain(golden):
-    hot = filings.filings_available(golden.sources(), golden.calendar(), hot=True)
-    assert hot.exceptAll(golden.filings().select(*hot.columns)).count() == 0
-    assert not filings.has_hot_period(golden.sources())
 
 
 def test_visible_on(golden):

@@ -5,37 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-# Rows one task may order in one window group; beyond it the group is cut into slices.
-HOT_GROUP_ROWS = 2_000_000
-
-
-def group_exceeds(df: DataFrame, group: list[str], limit: int = HOT_GROUP_ROWS) -> bool:
-    """Action: does any group hold more than ``limit`` rows? Reads only the group columns and
-    counts map-side first."""
-    sizes = df.groupBy(*group).agg(F.expr("count(*) as n"))
-    return not sizes.filter(f"n > {limit}").isEmpty()
-
-
-def row_number(
-    df: DataFrame, group: list[str], order: str, tie_hash: str, name: str, hot: bool
-) -> DataFrame:
-    """``row_number() over (partition by group order by order nulls last, tie_hash)``.
-
-    ``hot`` says whether some group is too big for one task (see :func:`group_exceeds`).
-    """
-    if hot:
-        return split_row_number(df, group, order, tie_hash, name)
-    return df.selectExpr(
-        "*",
-        f"cast(row_number() over (partition by {', '.join(group)} "
-        f"order by {order} nulls last, {tie_hash}) as bigint) as {name}",
-    )
-
-
 def split_row_number(
     df: DataFrame, group: list[str], order: str, tie_hash: str, name: str, digits: int = 2
 ) -> DataFrame:
-    """The same numbers for groups of any size.
+    """``row_number() over (partition by group order by order nulls last, tie_hash)`` for groups
+    of any size, by the same plan at every size. Hand it narrow rows and join the number back.
 
     ``tie_hash`` is a uniform hex digest, so its first ``digits`` characters cut every group
     into order-preserving slices. Slices are counted with map-side partial aggregation, the

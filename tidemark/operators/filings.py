@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.fingerprint import record_id
-from tidemark.functions.ranking import HOT_GROUP_ROWS, group_exceeds, row_number
+from tidemark.functions.ranking import split_row_number
 from tidemark.functions.scalars import day_of, exprs, is_blank, is_security_code, quoted
 from tidemark.operators.calendar import bounds, lookup_days
 
@@ -32,27 +32,45 @@ def record_locations(raw: DataFrame, source_table: str) -> DataFrame:
     )
 
 
+def _identified(raw: DataFrame, source_table: str) -> DataFrame:
+    return raw.withColumn("record_id", record_id(source_table, own_columns(raw)))
+
+
+def _first_copies(identified: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """(record_id, source_count, _first, carried...): narrow rows, copies collapsed map-side."""
+    kept = [F.expr(f"any_value(`{name}`) as `{name}`") for name in carried or []]
+    return identified.groupBy("record_id").agg(
+        F.expr("count(*) as source_count"),
+        F.expr("min(struct(_source_file as file, _source_row as row)) as _first"), *kept,
+    )
+
+
+def _fetched(identified: DataFrame, firsts: DataFrame, source_table: str) -> DataFrame:
+    """The whole row of each record's first copy, read by its place.
+
+    The place is part of the join key, so a much-copied record is spread like any other rows, and
+    wide rows are shuffled once and never sorted. Places are unique within a source.
+    """
+    facts = [c for c in firsts.columns if c not in ("record_id", "_first")]
+    found = firsts.selectExpr("record_id as _id", "_first.file as source_file",
+                              "_first.row as source_row", *facts)
+    own = own_columns(identified.drop("record_id"))
+    return identified.join(
+        found.hint("shuffle_hash"),
+        F.expr("record_id = _id and _source_file <=> source_file and _source_row <=> source_row"),
+    ).selectExpr(
+        *[f"`{name}`" for name in own], "record_id", "source_file", "source_row",
+        *facts, f"{quoted(source_table)} as source_table",
+    )
+
+
 def dedup_records(raw: DataFrame, source_table: str) -> DataFrame:
     """One row per distinct record with its count and first (file, row).
 
-    Copies collapse map-side: a record holding a third of the table sends one row per task.
-    Copies agree on every column, so taking any of them loses nothing.
+    Only ids and places are aggregated; the columns come from the first copy.
     """
-    own = own_columns(raw)
-    return (
-        raw.withColumn("record_id", record_id(source_table, own))
-        .groupBy("record_id")
-        .agg(
-            F.expr("count(*) as source_count"),
-            F.expr("min(struct(_source_file as file, _source_row as row)) as _first"),
-            *[F.expr(f"any_value(`{name}`) as `{name}`") for name in own],
-        )
-        .selectExpr(
-            *[f"`{name}`" for name in own], "record_id", "source_count",
-            "_first.file as source_file", "_first.row as source_row",
-            f"{quoted(source_table)} as source_table",
-        )
-    )
+    identified = _identified(raw, source_table)
+    return _fetched(identified, _first_copies(identified), source_table)
 
 
 def normalize_filings(records: DataFrame) -> DataFrame:
@@ -66,50 +84,37 @@ def normalize_filings(records: DataFrame) -> DataFrame:
     )
 
 
-def union_filings(sources: dict[str, DataFrame]) -> DataFrame:
-    """All filing tables, deduplicated and normalised, columns matched by name."""
-    parts = [normalize_filings(dedup_records(raw, table)) for table, raw in sources.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
 VERSION_GROUP = ["source_table", "ts_code", "end_date", "report_type"]
 
 
-def has_hot_period(sources: dict[str, DataFrame]) -> bool:
-    """Action: may one company's one period be too big to number in one task?
+def versioned_filings(raw: DataFrame, source_table: str) -> DataFrame:
+    """One source's distinct records, normalised, with ``version``.
 
-    Counted on raw rows, four narrow columns, before copies are merged: an upper bound. Sources
-    that are small in total need no grouping, and a file's row count comes from its footer.
+    Versions are numbered on the identity alone and meet the wide row when it is fetched.
     """
-    if sum(raw.count() for raw in sources.values()) <= HOT_GROUP_ROWS:
-        return False
-    keys = []
-    for table, raw in sources.items():
-        kind = "report_type" if "report_type" in raw.columns else "cast(null as string)"
-        keys.append(
-            raw.selectExpr(
-                f"{quoted(table)} as source_table", "ts_code",
-                f"{day_of(raw, 'end_date')} as end_date", f"{kind} as report_type",
-            )
-        )
-    return group_exceeds(reduce(DataFrame.unionByName, keys), VERSION_GROUP)
-
-
-def filings_available(
-    sources: dict[str, DataFrame], calendar: DataFrame, hot: bool | None = None
-) -> DataFrame:
+    identified = _identified(raw, source_table)
+    dates = [c for c in (*FILING_DATES, "ts_code", "report_type") if c in raw.columns]
+    firsts = _first_copies(identified, dates)
+    named = normalize_filings(
+        firsts.selectExpr("record_id", *dates, f"{quoted(source_table)} as source_table")
+    ).select("record_id", "effective_ann_date", *VERSION_GROUP)
+    numbers = split_row_number(
+        named, VERSION_GROUP, "effective_ann_date", "record_id", "version"
+    ).select("record_id", "version")
+    numbered = firsts.select("record_id", "source_count", "_first").join(numbers, "record_id")
+    return normalize_filings(_fetched(identified, numbered, source_table))
+
+
+def filings_available(sources: dict[str, DataFrame], calendar: DataFrame) -> DataFrame:
     """Every filing version with its version number, status and availability date.
 
     A record becomes available on the first trading day strictly after its effective
     announcement. Nothing is dropped: unusable records keep a status and no date. Version
-    numbers are dense per (source, code, period, report type) and carry no priority; ``hot``
-    skips the check that chooses how they are computed.
+    numbers are dense per (source, code, period, report type) and carry no priority.
     """
-    versions = union_filings(sources)
-    if hot is None:
-        hot = has_hot_period(sources)
-    numbered = row_number(
-        versions, VERSION_GROUP, "effective_ann_date", "record_id", "version", hot
+    numbered = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [versioned_filings(raw, table) for table, raw in sources.items()],
     )
     mapped = lookup_days(
         numbered, calendar, "effective_ann_date", {"next_trade_date": "_mapped"}

@@ -267,8 +267,9 @@ def security_grid(m: DemoMarket) -> DataFrame:
 
 
 @query("""
-SELECT ts_code, start_date, end_date, count(*) AS days, min(trade_date) AS first_day,
-  max(trade_date) AS last_day FROM m_covering GROUP BY 1, 2, 3
+SELECT n.ts_code, n.start_date, n.end_date, count(*) AS days, min(trade_date) AS first_day,
+  max(trade_date) AS last_day FROM m_names n JOIN m_cal c ON c.trade_date >= n.start_date
+  AND (n.end_date IS NULL OR c.trade_date <= n.end_date) GROUP BY 1, 2, 3
 """)
 def interval_days(m: DemoMarket) -> DataFrame:
     covered = asof.explode_intervals(m.names(), m.calendar(), "start_date", "end_date")

@@ -184,8 +184,8 @@ class DemoMarket:
     @lazily
     def limit_events_source(self) -> DataFrame:
         return self._line_events(
-            "if(l_quantity >= 45, case cast(round(l_discount * 100) as int) when 10 then 'U' "
-            "when 0 then 'D' when 5 then 'z ' end, null)",
+            "case cast(round(l_discount * 100) as int) when 10 then 'U' "
+            "when 0 then 'D' when 5 then 'z ' end",
             "limit", "limit_list_d", "l_extendedprice as close",
         )
 
@@ -330,21 +330,15 @@ class DemoMarket:
             self.state(), self.status(), self.calendar(), DEFAULT_UNIVERSES, DEFAULT_CAPABILITIES
         )
 
-    @lazily
-    def hot_period(self) -> bool:
-        return filings.has_hot_period(self.filing_sources())
-
     @lazily
     def filings(self) -> DataFrame:
-        return filings.filings_available(
-            self.filing_sources(), self.calendar(), self.hot_period()
-        )
+        return filings.filings_available(self.filing_sources(), self.calendar())
 
     @lazily
     def cumulative_filings(self) -> DataFrame:
         """Only the sources the quarterly figures use."""
         sources = {name: self.filing_sources()[name] for name in METRICS}
-        return filings.filings_available(sources, self.calendar(), self.hot_period())
+        return filings.filings_available(sources, self.calendar())
 
     @lazily
     def metrics(self) -> DataFrame:
