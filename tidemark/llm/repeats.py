@@ -296,12 +296,13 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, group: int = GROUP) -> D
     narrow = keyed(docs.selectExpr("cast(doc_id as bigint) as doc_id", "text"))
     found = stage(narrow.filter(f"octet_length(text) >= {depth}").select("text", "_id", "_th")
                   .mapInArrow(_anchor_rows(depth), "h bigint, _id bigint, _th bigint, pos bigint"))
-    twice = found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
+    # Written, so that the join below deals out both sides itself and can split a hot anchor.
+    twice = stage(found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"))
     # A document's own anchors: their number is bounded by its length.
     per_doc = stage(found.join(twice, "h").groupBy("_id", "_th").agg(
         F.expr("collect_set(struct(h, pos)) as anchors")
     ))
-    drop_stage(found)
+    drop_stage(found, twice)
     held = stage(narrow.select("text", "_id", "_th").join(per_doc, ["_id", "_th"])
                  .select("text", "_id", "_th", "anchors"))
     drop_stage(per_doc)
