@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import os
 import tempfile
 from datetime import date
@@ -250,12 +251,68 @@ def test_inventory(spark):
     assert compare.compare_inventories(local, unhashed).count() == 2
     assert compare.compare_inventories(local, unhashed, checksums=False).count() == 0
     assert compare.inventory_problems(local.union(local)).count() == 2
+    with pytest.raises(compare.ComparisonError, match="d/a"):
+        compare.compare_inventories(local.union(local), local)
     first = tables.source_signature(tables.file_inventory(spark, root)).first()
     with open(f"{root}/d/a", "w") as out:
         out.write("changed")
     assert tables.source_signature(tables.file_inventory(spark, root)).first() != first
 
 
+def test_inventory_is_complete_on_any_root(spark):
+    root = fresh("d") + "/raw"
+    contents = {"a+b.txt": "1", "c d.txt": "22", "_hidden.txt": "333", ".dot.txt": "4444",
+                "empty.txt": "", "p%20q.txt": "5", "sub/raw/x.txt": "66", "_under/y.txt": "777"}
+    for name, text in contents.items():
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as out:
+            out.write(text)
+    for top in (root, f"file://{root}", f"{root}/"):
+        plain = tables.file_inventory(spark, top)
+        assert {(r.path, r.size) for r in plain.collect()} == {
+            (n, len(t)) for n, t in contents.items()}
+        hashed = {r.path: r.sha256 for r in tables.file_inventory(spark, top, True).collect()}
+        assert hashed == {n: hashlib.sha256(t.encode()).hexdigest() for n, t in contents.items()}
+    spark.range(3).coalesce(1).write.parquet(f"{root}/raw/t+1 %")
+    for top in (root, f"file://{root}"):
+        files = {r[0] for r in tables.scan_parquet(spark, top, "raw/*").select(
+            "_source_file").distinct().collect()}
+        assert len(files) == 1 and next(iter(files)).startswith("raw/t+1 %/part-"), files
+
+
+def test_a_file_that_changes_fails_the_inventory(spark, monkeypatch):
+    root = fresh("moving")
+    os.makedirs(root)
+    with open(f"{root}/a", "w") as out:
+        out.write("one")
+    whole = tables._hashed
+
+    def meddled(*args):
+        found = whole(*args)
+        with open(f"{root}/a", "w") as out:
+            out.write("other")
+        return found
+
+    monkeypatch.setattr(tables, "_hashed", meddled)
+    with pytest.raises(tables.FileChangedError, match="a"):
+        tables.file_inventory(spark, root, checksums=True)
+
+
+def test_table_diff_with_null_and_repeated_keys(spark):
+    table = spark.createDataFrame([(1, None, "x"), (None, None, "y"), (2, 2, "z")],
+                                  "a int, b int, c string")
+    assert compare.table_diff(table, table, ["a", "b"]).count() == 0
+    assert compare.table_diff(table.select("a"), table.select("a"), ["a"]).count() == 0
+    other = table.withColumn("c", F.expr("if(c = 'y', null, c)"))
+    rows = compare.table_diff(table, other, ["a", "b"]).collect()
+    assert [(r.a, r.difference, r.changed_columns) for r in rows] == [(None, "changed", "c")]
+    twice = table.union(table.filter("a = 2"))
+    kinds = {r.a: r.difference for r in compare.table_diff(table, twice, ["a", "b"]).collect()}
+    assert kinds == {2: "repeated_key"}
+    fewer = compare.table_diff(table, table.filter("a is not null"), ["a", "b"]).collect()
+    assert [(r.a, r.difference) for r in fewer] == [(None, "only_first")]
+
+
 def test_profile(spark):
     contract = SourceContract("t", ("ts_code",), ("ts_code", "day"), ("day",))
     df = spark.createDataFrame(

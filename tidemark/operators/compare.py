@@ -17,11 +17,24 @@ def inventory_problems(files: DataFrame) -> DataFrame:
     return named.filter("path is null or path = '' or n > 1 or bad_sizes > 0")
 
 
+class ComparisonError(ValueError):
+    """What is to be compared is itself not sound."""
+
+
+def require_sound(files: DataFrame, side: str) -> None:
+    """Action: refuse an inventory with repeated or blank paths or bad sizes."""
+    bad = inventory_problems(files).orderBy("path").limit(5).collect()
+    if bad:
+        raise ComparisonError(f"{side} inventory: bad rows at {[r.path for r in bad]}")
+
+
 def compare_inventories(local: DataFrame, other: DataFrame, checksums: bool = True) -> DataFrame:
     """(path, difference) over files(path, size, sha256): one full outer join on path.
 
-    A file can differ in several ways; each is one row.
+    A file can differ in several ways; each is one row. Unsound inventories are refused first.
     """
+    require_sound(local, "local")
+    require_sound(other, "other")
     left = local.selectExpr("path", "size as size_a", "sha256 as hash_a", "true as in_a")
     right = other.selectExpr("path", "size as size_b", "sha256 as hash_b", "true as in_b")
     both = "in_a and in_b"
@@ -64,26 +77,36 @@ def scoped_inventory(files: DataFrame) -> DataFrame:
 
 
 def table_diff(first: DataFrame, second: DataFrame, key: list[str]) -> DataFrame:
-    """Row-level differences of two builds of one table: key, kind and changed columns."""
+    """Row-level differences of two builds of one table: key, kind and changed columns.
+
+    Null key parts are equal to each other. A key that is repeated on either side is reported as
+    'repeated_key', as its rows cannot be told apart. A table may consist of its key alone.
+    """
     if first.columns != second.columns:
         raise ValueError(f"schemas differ: {first.columns} / {second.columns}")
     others = [c for c in first.columns if c not in key]
-    left = first.selectExpr(*key, f"struct({', '.join(others)}) as a", "true as in_a")
-    right = second.selectExpr(*key, f"struct({', '.join(others)}) as b", "true as in_b")
-    changed = ", ".join(
-        f"if(a.{c} is distinct from b.{c}, {quoted(c)}, null)" for c in others
-    )
-    return (
-        left.join(right, key, "full")
-        .selectExpr(
-            *key,
-            "case when in_b is null then 'only_first' when in_a is null then 'only_second' "
-            "else 'changed' end as difference",
-            f"if(in_a and in_b, array_join(array_compact(array({changed})), ','), '') "
-            "as changed_columns",
-        )
-        .filter("difference <> 'changed' or changed_columns <> ''")
+    packed = f"named_struct({', '.join(f'{quoted(c)}, `{c}`' for c in others) or quoted('_') + ', 1'})"
+
+    def side(df: DataFrame, which: str) -> DataFrame:
+        return df.selectExpr(*[f"`{c}`" for c in key], f"{packed} as _row", f"{which} as _side")
+
+    # One aggregate on the key takes the place of a join: grouping treats nulls as equal.
+    both = side(first, "1").unionByName(side(second, "2")).groupBy(*key).agg(
+        F.expr("count_if(_side = 1) as _a_rows"), F.expr("count_if(_side = 2) as _b_rows"),
+        F.expr("max_by(_row, if(_side = 1, 1, null)) as _a_row"),
+        F.expr("max_by(_row, if(_side = 2, 1, null)) as _b_row"),
     )
+    changed = ", ".join(
+        f"if(_a_row.`{c}` is distinct from _b_row.`{c}`, {quoted(c)}, null)" for c in others
+    ) or "cast(null as string)"
+    return both.selectExpr(
+        *[f"`{c}`" for c in key],
+        "case when _a_rows > 1 or _b_rows > 1 then 'repeated_key' "
+        "when _b_rows = 0 then 'only_first' when _a_rows = 0 then 'only_second' "
+        "else 'changed' end as difference",
+        "if(_a_rows = 1 and _b_rows = 1, "
+        f"array_join(array_compact(array({changed})), ','), '') as changed_columns",
+    ).filter("difference <> 'changed' or changed_columns <> ''")
 
 
 def compare_manifests(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def enforce(table: str, check: str, rows: DataFrame, samples: int = 10) -> None:
     """Action: raise with a few samples if ``rows`` is not empty."""
-    found = rows.limit(samples).collect()
+    found = rows.orderBy(*rows.columns).limit(samples).collect()
     if found:
         raise GateError(f"{table}: {check}: {[r.asDict() for r in found]}")
 

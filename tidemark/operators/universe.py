@@ -70,7 +70,14 @@ def gate_universe_inputs(
     state: DataFrame, status: DataFrame, calendar: DataFrame,
     start: date | None = None, end: date | None = None,
 ) -> None:
-    """Action: every state row of the window needs its trade row."""
+    """Action: both tables must cover every session of the window, and every state row of it
+    needs its trade row. An empty or short table is no empty universe; it fails."""
+    window = slice_days(calendar, calendar, start, end).select("trade_date")
+    for name, table in (("daily_stock_state", state), ("daily_trade_status", status)):
+        uncovered = window.join(
+            table.select("trade_date").distinct(), "trade_date", "left_anti"
+        ).orderBy("trade_date")
+        gates.enforce(name, "does not cover the window", uncovered)
     lacking = slice_days(state, calendar, start, end).select(*DAY_KEY).join(
         status.select(*DAY_KEY), DAY_KEY, "left_anti"
     )

@@ -58,6 +58,11 @@ def build(
     issues = verify_profiles(warehouse.read("profile_columns"), contracts)
     warehouse.publish("l0", "profile_issues", issues, ["table_name", "column_name", "issue"],
                       upstream=["profile_columns"])
+    unsound = warehouse.read("profile_issues").filter(
+        "issue in ('missing_column', 'not_profiled_as_date')"
+    ).orderBy("table_name", "column_name").limit(10).collect()
+    if unsound:
+        raise BuildError(f"sources do not meet their contracts: {[tuple(r) for r in unsound]}")
 
     sources = {n: raw[n] for n in FILING_TABLES if n in raw}
     quotes = prices.normalize_quotes(raw["stk_factor_pro"])

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.contracts import SourceContract
+from tidemark.functions.scalars import quoted
+from tidemark.session import checkpoint_root, staged
 
 
 class ContractError(ValueError):
@@ -18,10 +24,20 @@ def require_fields(df: DataFrame, contract: SourceContract) -> DataFrame:
     return df
 
 
-def _relative(path: str, root: str) -> str:
-    """SQL text: a file URI without its scheme and without the root directory."""
-    plain = f"regexp_replace({path}, '^[a-z0-9]+:/+', '/')"
-    return f"replace(url_decode({plain}), '{root.rstrip('/')}/', '')"
+def _plain_path(spark: SparkSession, path: str) -> str:
+    """The path of a root without scheme and authority, absolute, not percent-encoded."""
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = held.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(held)
+    return held.toUri().getPath().rstrip("/")
+
+
+def _relative(uri: str, plain_root: str) -> str:
+    """SQL text: a file URI's path below the root. Only the leading root is taken off; percent
+    signs are decoded, a plus sign stands for itself."""
+    path = (f"url_decode(replace(regexp_replace({uri}, '^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?', ''), "
+            "'+', '%2B'))")
+    prefix = quoted(plain_root + "/")
+    return f"if(startswith({path}, {prefix}), substr({path}, length({prefix}) + 1), {path})"
 
 
 def scan_parquet(
@@ -39,7 +55,7 @@ def scan_parquet(
         .parquet(f"{root.rstrip('/')}/{pattern}")
     )
     df = df.selectExpr(
-        "*", f"{_relative('_metadata.file_path', root)} as _source_file",
+        "*", f"{_relative('_metadata.file_path', _plain_path(spark, root))} as _source_file",
         "_metadata.row_index as _source_row",
     )
     return require_fields(df, contract) if contract else df
@@ -57,7 +73,7 @@ def scan_csv(
     )
     columns = df.columns
     numbered = df.selectExpr(
-        "*", f"{_relative('_metadata.file_path', root)} as _source_file",
+        "*", f"{_relative('_metadata.file_path', _plain_path(spark, root))} as _source_file",
         "monotonically_increasing_id() as _order",
     ).selectExpr(
         *columns, "_source_file",
@@ -67,17 +83,93 @@ def scan_csv(
     return require_fields(numbered, contract) if contract else numbered
 
 
+class FileChangedError(ValueError):
+    """A file was no longer what it was when its hash was begun."""
+
+
+_LISTED = "path string, size bigint, mtime timestamp, uri string, hidden boolean"
+
+
+def _listing(spark: SparkSession, root: str) -> DataFrame:
+    """Every file under ``root``, also hidden and empty ones, which Spark's readers leave out.
+
+    Asked of the file system folder by folder; an unreadable folder fails. Names, sizes and times
+    only, one short row per file.
+    """
+    jvm, top = spark._jvm, _plain_path(spark, root)
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows, folders = [], [(path, False)]
+    while folders:
+        folder, below_hidden = folders.pop()
+        for status in system.listStatus(folder):
+            found = status.getPath()
+            hidden = below_hidden or found.getName()[:1] in ("_", ".")
+            if status.isDirectory():
+                folders.append((found, hidden))
+                continue
+            name = found.toUri().getPath()
+            changed = datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)
+            rows.append((name.removeprefix(top + "/"), status.getLen(), changed,
+                         found.toString(), hidden))
+    return spark.createDataFrame(rows, _LISTED)
+
+
+def _hashed(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """(path, sha256, read_size). Hidden files are read through copies without a leading dot."""
+    top, empty = _plain_path(spark, root), "sha2(cast('' as binary), 256)"
+    visible = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    parts = [
+        files.filter("size = 0").selectExpr("path", f"{empty} as sha256", "0L as read_size"),
+        visible.selectExpr(f"{_relative(_encoded('path'), top)} as path",
+                           "sha2(content, 256) as sha256", "length as read_size")
+        .filter("read_size > 0"),
+    ]
+    hidden = files.filter("hidden and size > 0").select("path", "uri").collect()
+    if hidden:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        folder = f"{checkpoint_root(spark).rstrip('/')}/hidden-{uuid.uuid4().hex}"
+        to = jvm.org.apache.hadoop.fs.Path(folder)
+        to.getFileSystem(conf).mkdirs(to)
+        for i, row in enumerate(hidden):
+            source = jvm.org.apache.hadoop.fs.Path(row.uri)
+            target = jvm.org.apache.hadoop.fs.Path(f"{folder}/f{i}")
+            jvm.org.apache.hadoop.fs.FileUtil.copy(
+                source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+        names = spark.createDataFrame([(f"f{i}", r.path) for i, r in enumerate(hidden)],
+                                      "copy string, path string")
+        copies = spark.read.format("binaryFile").load(folder).selectExpr(
+            "substring_index(path, '/', -1) as copy", "sha2(content, 256) as sha256",
+            "length as read_size")
+        parts.append(names.join(copies, "copy").select("path", "sha256", "read_size"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _encoded(path: str) -> str:
+    """SQL text: a path that is not percent-encoded, made so where decoding would alter it."""
+    return f"replace({path}, '%', '%25')"
+
+
 def file_inventory(spark: SparkSession, root: str, checksums: bool = False) -> DataFrame:
-    """(path, size, mtime[, sha256]) of every file under ``root``.
+    """(path, size, mtime[, sha256]) of every file under ``root``, paths relative to it.
 
-    Without checksums no file content is read. With them each task hashes its own files.
+    Without checksums no file content is read. With them each task hashes its own files, which
+    must be under 2 GB; the listing is then taken again, and a file whose size or time differs,
+    or that came or went, fails the inventory.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    columns = [f"{_relative('path', root)} as path", "length as size",
-               "modificationTime as mtime"]
-    if checksums:
-        columns.append("sha2(content, 256) as sha256")
-    return files.selectExpr(*columns)
+    before = _listing(spark, root)
+    if not checksums:
+        return before.select("path", "size", "mtime")
+    hashed = staged(_hashed(spark, root, before))
+    after = _listing(spark, root)
+    seen = before.select("path", "size", "mtime")
+    again = after.select("path", "size", "mtime")
+    changed = seen.exceptAll(again).unionByName(again.exceptAll(seen))
+    short = seen.join(hashed, "path", "left").filter("read_size is distinct from size")
+    lost = changed.select("path").union(short.select("path")).limit(5).collect()
+    if lost:
+        raise FileChangedError(f"changed while being read: {sorted({r.path for r in lost})}")
+    return seen.join(hashed.select("path", "sha256"), "path")
 
 
 def readability(spark: SparkSession, root: str, pattern: str) -> DataFrame:
