@@ -585,7 +585,13 @@ def universe(m: DemoMarket) -> DataFrame:
     return m.universe().select(*UNIVERSE_COLUMNS)
 
 
-@query()
+@query("""
+SELECT universe_id, no_st AS exclude_st, no_bj AS exclude_bj,
+  CAST(minimum AS BIGINT) AS min_listing_trade_days, 'active' AS status,
+  count(*) FILTER (WHERE is_in_universe) AS member_days,
+  count(*) FILTER (WHERE is_in_universe IS NULL) AS unknown_days
+FROM m_universe JOIN m_rules USING (universe_id) GROUP BY ALL
+""")
 def universe_config(m: DemoMarket) -> DataFrame:
     """Every configured rule with the size of the universe it produced."""
     rules = uni.universe_config(m.spark, DEFAULT_UNIVERSES, DEFAULT_CAPABILITIES)
@@ -593,7 +599,10 @@ def universe_config(m: DemoMarket) -> DataFrame:
         F.expr("count_if(is_in_universe) as member_days"),
         F.expr("count_if(is_in_universe is null) as unknown_days"),
     )
-    return sizes.join(F.broadcast(rules), ["universe_id", "config_id"])
+    return sizes.join(F.broadcast(rules), ["universe_id", "config_id"]).select(
+        "universe_id", "exclude_st", "exclude_bj", "min_listing_trade_days", "status",
+        "member_days", "unknown_days",
+    )
 
 
 # -- profiling -----------------------------------------------------------------------------
@@ -672,7 +681,11 @@ def profile_all(m: DemoMarket) -> DataFrame:
     return columns.join(totals.drop("row_count"), "table_name")
 
 
-@query()
+@query("""
+SELECT 'labels' AS table_name, 'reviewer' AS column_name, 'missing_column' AS issue
+UNION ALL SELECT 'documents', 'text', 'null_key' FROM documents
+WHERE text IS NULL OR trim(text) = '' HAVING count(*) > 0
+""")
 def profile_verify(m: DemoMarket) -> DataFrame:
     """Contract problems found in the profiles; the labels table lacks its reviewer here."""
     frames = {**_tables(m), "labels": m.read("labels")}
@@ -683,7 +696,10 @@ def profile_verify(m: DemoMarket) -> DataFrame:
 # -- sources, publishing, comparison -------------------------------------------------------
 
 
-@query()
+@query("""
+SELECT 'lineitem.parquet' AS _source_file, count(*) AS row_count, count(*) AS distinct_rows,
+  count(*) - 1 AS last_row FROM lineitem
+""")
 def scan_lineage(m: DemoMarket) -> DataFrame:
     return tables.scan_parquet(m.spark, m.sf_dir, "lineitem.parquet").groupBy("_source_file").agg(
         F.expr("count(*) as row_count"), F.expr("count(distinct _source_row) as distinct_rows"),
@@ -696,7 +712,10 @@ def file_inventory(m: DemoMarket) -> DataFrame:
     return tables.file_inventory(m.spark, m.sf_dir, checksums=True).drop("mtime")
 
 
-@query()
+@query("""
+SELECT 1 AS file_count, 'documents.parquet' AS sample_file, count(*) AS sample_rows,
+  'doc_id,text,lang,source,n_chars' AS fields FROM documents
+""")
 def table_readability(m: DemoMarket) -> DataFrame:
     return tables.readability(m.spark, m.sf_dir, "documents.parquet")
 
@@ -784,17 +803,46 @@ def publish_key_gate(m: DemoMarket) -> DataFrame:
     return publish.key_gate(m.read("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query()
+def _identity(df: DataFrame) -> DataFrame:
+    return fingerprint(df).selectExpr("concat_ws('/', row_count, hash_sum, hash_xor) as mark")
+
+
+@query("""
+SELECT count(*) AS row_count, true AS free_of_order, true AS sees_a_changed_row,
+  true AS sees_a_repeated_row FROM lineitem
+""")
 def table_fingerprint(m: DemoMarket) -> DataFrame:
-    return fingerprint(m.read("lineitem"))
+    """The identity of a table, held against the same rows dealt out anew and damaged copies."""
+    lines = m.read("lineitem")
+    key = "l_linenumber = 1 and l_orderkey % 7 = 0"
+    variants = {
+        "same": lines.repartition(7).select(*reversed(lines.columns)),
+        "changed": lines.withColumn("l_tax", F.expr(f"if({key}, l_tax + 1, l_tax)")),
+        "repeated": lines.unionByName(lines.filter(key)),
+    }
+    row = fingerprint(lines).selectExpr(
+        "row_count", "concat_ws('/', row_count, hash_sum, hash_xor) as mark"
+    )
+    for name, df in variants.items():
+        row = row.withColumn(name, _identity(df).scalar())
+    return row.selectExpr("row_count", "mark = same as free_of_order",
+                          "mark <> changed as sees_a_changed_row",
+                          "mark <> repeated as sees_a_repeated_row")
 
 
-@query()
+@query("""
+SELECT count(*) AS row_count, count(*) FILTER (WHERE trade_date IS NULL OR ts_code IS NULL)
+  AS null_key_rows, count(*) - count(DISTINCT row(trade_date, ts_code)) AS duplicate_rows,
+  true AS free_of_order FROM m_adjusted
+""")
 def manifest(m: DemoMarket) -> DataFrame:
     """What a manifest would record for the price table: key gate and content identity."""
     df = m.adjusted()
     gate = publish.key_gate(df, ["trade_date", "ts_code"])
-    return gate.join(fingerprint(df), "row_count")
+    return gate.join(fingerprint(df), "row_count").withColumn(
+        "again", _identity(df.repartition(5)).scalar()
+    ).selectExpr("row_count", "null_key_rows", "duplicate_rows",
+                 "concat_ws('/', row_count, hash_sum, hash_xor) = again as free_of_order")
 
 
 @query("""
