@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.scalars import day_of, quoted
 
 # 500 years of natural days: about 10 MB as a broadcast, far below any executor's memory.
-MAX_CALENDAR_DAYS = 183_000
+CALENDAR_DAYS = 183_000
 
 
 class CalendarError(ValueError):
@@ -59,17 +59,20 @@ def validate_calendar_source(source: DataFrame, exchange: str) -> None:
         raise CalendarError(f"trade_cal[{exchange}]: " + ", ".join(map(str, failed)))
 
 
-def trading_calendar(source: DataFrame, exchange: str) -> DataFrame:
+def trading_calendar(
+    source: DataFrame, exchange: str, max_days: int = CALENDAR_DAYS
+) -> DataFrame:
     """Open days with previous/next links, a 1-based index and the natural bounds.
 
-    The windows run over one exchange's natural days, a group whose size is guarded here.
+    The calendar is broadcast by whatever uses it, and its windows run over one exchange's natural
+    days, so a source of more than ``max_days`` of them is refused; nothing is cut off.
     """
     days = source_days(source, exchange).selectExpr(
         "cal_date as trade_date", "is_open", f"{quoted(exchange)} as exchange"
     )
     checked = (
-        f"if(count(*) over (partition by exchange) > {MAX_CALENDAR_DAYS}, "
-        "cast(raise_error('calendar longer than 500 years') as date), "
+        f"if(count(*) over (partition by exchange) > {max_days}, "
+        f"cast(raise_error('calendar longer than {max_days} days') as date), "
     )
     bounded = days.selectExpr(
         "*",
