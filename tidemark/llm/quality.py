@@ -186,18 +186,23 @@ def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
     ).selectExpr("*", "failed is null as kept")
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """The counts of every row without its text, staged: the one reading of the texts on which
+    sketches, groups and verdicts rest."""
+    return staged(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"))
+
+
 def quality_report(docs: DataFrame) -> DataFrame:
     """Per document row: its counts, base_failed, kept and the rule that failed.
 
-    Texts are read once: the narrow counts are staged, thresholds and verdicts come from there.
     Null text counts as empty and fails; null language or source form groups of their own.
     """
-    counts = staged(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"))
+    counts = counted(docs)
     return judged(counts, staged(thresholds(counts)))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, unchanged. Texts are read twice but not shuffled."""
-    limits = staged(thresholds(measured(docs.select("doc_id", "text", "lang", "source"))))
+    limits = staged(thresholds(counted(docs)))
     rows = docs.selectExpr("struct(*) as _row", "text", "lang", "source")
     return judged(measured(rows), limits).filter("kept").select("_row.*")
