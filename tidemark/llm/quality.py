@@ -31,6 +31,9 @@ MEASURES = {
     "repeats": ("1000 * n_repeat_words div greatest(1, n_words)", 150),
     "word_length": ("100 * word_chars div greatest(1, n_words)", 1500),
 }
+#: A fence of a measure with a maximum never stands above this, however wide its group: the shares
+#: end at 1000, and repeats at 200 as the base rule takes the rest.
+CEILINGS = {"symbols": 900, "dup_lines": 900, "repeats": 190}
 #: The fence stands this many quartile ranges above the third quartile.
 FENCE = 6
 #: Groups with fewer documents use the sketch of their language, then that of all documents.
@@ -161,8 +164,9 @@ def thresholds(measures: DataFrame) -> DataFrame:
         on = " and ".join(f"g.{c} <=> _{c}{depth}" for c in group)
         found = found.join(wide, F.expr(on), "left")
     limits = [
-        f"greatest({least}, coalesce(if(docs0 >= {MIN_GROUP}, {m}0, null), "
-        f"if(docs1 >= {MIN_GROUP}, {m}1, null), {overall.get(m, least)})) as max_{m}"
+        f"least({CEILINGS.get(m, 'null')}, greatest({least}, coalesce("
+        f"if(docs0 >= {MIN_GROUP}, {m}0, null), if(docs1 >= {MIN_GROUP}, {m}1, null), "
+        f"{overall.get(m, least)}))) as max_{m}"
         for m, (_, least) in MEASURES.items()
     ]
     return found.selectExpr("g.lang", "g.source", *limits)
