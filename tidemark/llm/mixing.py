@@ -9,7 +9,10 @@ which is 1 at t = 0 and nears the cap as t grows. The multipliers maximise a con
 gradient and curvature per source are sums over documents, reduced where the documents are read,
 so the Newton steps run on one row per source. Rates are then rounded into whole copies by draws
 from each document's digest; of several such roundings each source takes the one whose words come
-nearest to its target. Everything is repeatable, and a hot source is only ever summed up.
+nearest to its target. Where even that one misses by more than an average document, as beside one
+very long document, copies are dealt size class by size class instead, longest first, and each class
+takes its rate from what is left of the target. Everything is repeatable, and a hot source is only
+ever summed up.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import SPACED, fresh
+from tidemark.llm.quality import bucket
 from tidemark.session import staged
 
 WEIGHTS = (5, 2, 1)
@@ -25,6 +29,8 @@ CAP = 3
 GRID = 1 << 20
 #: Ways of rounding tried per source; the one whose words come nearest to the target is taken.
 TRIES = 128
+#: Parts into which the documents of a size class are dealt by digest; a class rounds up whole parts.
+PARTS = 1024
 #: The table of sources is broadcast up to this many rows; beyond it, joined like any table.
 MAX_BROADCAST_SOURCES = 20_000
 NEWTON_STEPS = 60
@@ -105,6 +111,62 @@ def balanced(targets: DataFrame, cap: int = CAP, steps: int = NEWTON_STEPS) -> D
     )
 
 
+_CLASS = f"{bucket('_size')} as _class"
+_PART = f"_a div {GRID // PARTS}"
+
+
+def dealt(narrow: DataFrame, missed: DataFrame, cap: int = CAP) -> DataFrame:
+    """(_key, _class, _base, _upto): copies for the sources ``missed``, longest documents first.
+
+    A class is a sketch bucket of sizes, so its documents differ by 1/16 at most. Its documents
+    get _base copies and those in parts under _upto one more. Per class, the rate is what is left
+    of the target over what is left of the source; of all _upto the one nearest to that rate is
+    taken among those after which copies in 0..cap of shorter documents can still meet the target,
+    or else come nearest to it. What a class misses, the next ones make good. Sources that the
+    best draw brings nearer are left out.
+
+    Documents are only summed up per class and part; a source is then one row of at most PARTS
+    sums for each of its classes.
+    """
+    sums = (
+        narrow.filter("_size > 0").join(missed.select("_key"), "_key", "left_semi")
+        .selectExpr("_key", "_size", _CLASS, *_DRAWS).selectExpr("*", f"{_PART} as _part")
+        .groupBy("_key", "_class", "_part").agg(F.sum("_size").alias("_sum"))
+    )
+    by_class = sums.selectExpr(
+        "_key", "_class", "_sum", "named_struct('upto', _part + 1, 'size', "
+        "sum(_sum) over (partition by _key, _class order by _part)) as _upto",
+    ).groupBy("_key", "_class").agg(
+        F.sum("_sum").alias("_sum"), F.sort_array(F.collect_list("_upto")).alias("_upto"))
+    by_source = by_class.groupBy("_key").agg(F.expr(
+        "reverse(array_sort(collect_list(struct(_class, _sum, _upto)))) as _classes"
+    )).join(missed.select("_key", "source_size", "target", "_away"), "_key")
+    # For a class c and the state s before it: the rate, then the best of its cuts.
+    rate = f"greatest(0d, least({cap}d, s.left / s.size))"
+    after = "s.left - b * c._sum - u.size"
+    cut = (
+        f"struct(greatest(0d, -({after}), {after} - {cap}d * (s.size - c._sum)) as off, "
+        f"abs(u.size - (r - b) * c._sum) as away, u.upto as upto, u.size as size)"
+    )
+    cuts = (
+        "concat(array(named_struct('upto', 0L, 'size', 0L)), "
+        f"if(b < {cap}, c._upto, slice(c._upto, 1, 0)))"
+    )
+    step = (
+        f"(s, c) -> transform(array({rate}), r -> transform(array(cast(floor(r) as bigint)), b -> "
+        f"transform(array(array_min(transform({cuts}, u -> {cut}))), x -> named_struct("
+        "'left', s.left - b * c._sum - x.size, 'size', s.size - c._sum, "
+        "'plan', concat(s.plan, array(struct(c._class as _class, b as _base, x.upto as _upto)))"
+        "))[0])[0])[0]"
+    )
+    start = (
+        "named_struct('left', target, 'size', source_size, 'plan', "
+        "cast(array() as array<struct<_class: bigint, _base: bigint, _upto: bigint>>))"
+    )
+    return by_source.selectExpr("_key", "_away", f"aggregate(_classes, {start}, {step}) as _end") \
+        .filter("abs(_end.left) < _away").selectExpr("_key", "inline(_end.plan)")
+
+
 def copies(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, tries: int = TRIES) -> DataFrame:
     """All rows of ``docs`` with size, source_size, target, rate, copies and taken.
 
@@ -115,9 +177,11 @@ def copies(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, tries: int = TRIES)
     """
     docs = fresh(docs, "size", "source_size", "target", "rate", "copies", "taken")
     narrow = staged(sized(docs).select("_key", "_size", "_tie"))
-    totals = narrow.groupBy("_key").agg(F.sum("_size").alias("source_size"))
+    totals = narrow.groupBy("_key").agg(
+        F.sum("_size").alias("source_size"), F.expr("count_if(_size > 0) as _docs"))
     rates = staged(balanced(source_targets(totals, weights, cap), cap).selectExpr(
-        "_key", "source_size", "target", "rate", f"cast(round(rate * {GRID}) as bigint) as _step"
+        "_key", "source_size", "_docs", "target", "rate",
+        f"cast(round(rate * {GRID}) as bigint) as _step"
     ))
     small = rates.count() <= MAX_BROADCAST_SOURCES
     held = F.broadcast if small else (lambda table: table)
@@ -128,11 +192,20 @@ def copies(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, tries: int = TRIES)
         .groupBy("_key", "_try")
         .agg(F.expr(f"abs(sum(_size * {_ROUNDED}) - max(target)) as _away"))
     )
-    best = tried.groupBy("_key").agg(F.expr("min(struct(_away, _try))._try as _try"))
-    chosen = staged(rates.join(best, "_key"))
-    return sized(docs).join(held(chosen), "_key").selectExpr("*", *_DRAWS).selectExpr(
+    best = tried.groupBy("_key").agg(F.expr("min(struct(_away, _try)) as _best"))
+    chosen = staged(rates.join(best, "_key").selectExpr("*", "_best._try", "_best._away"))
+    rows = sized(docs).join(held(chosen), "_key").selectExpr("*", *_DRAWS)
+    drawn = _ROUNDED
+    missed = chosen.filter("_away * _docs > source_size")
+    if not missed.isEmpty():
+        plan = staged(dealt(narrow, missed, cap))
+        few = plan.count() <= MAX_BROADCAST_SOURCES
+        rows = rows.selectExpr("*", _CLASS).join(
+            F.broadcast(plan) if few else plan, ["_key", "_class"], "left")
+        drawn = f"coalesce(_base + if({_PART} < _upto, 1, 0), {_ROUNDED})"
+    return rows.selectExpr(
         *[f"`{c}`" for c in docs.columns], "_size as size", "source_size", "target", "rate",
-        f"{_ROUNDED} as copies",
+        f"{drawn} as copies",
     ).selectExpr("*", "size * copies as taken")
 
 
