@@ -160,6 +160,8 @@ def license_scan(docs: DataFrame, notices=NOTICES, block: int = 64, stride: int
     Repeated rows each get their result; a null doc_id is kept. No rows in, no rows out.
     """
     found = license_blocks(docs, notices, block, stride).filter("not phrase or size(places) > 0")
+    # Rows of one key find the same; each of its places counts once.
+    found = found.drop("doc_id").distinct()
     per_doc = found.groupBy("_id", "_th").agg(
         F.expr("sum(size(places)) as n_base"),
         F.expr("min(array_min(places)) as first_word"),
