@@ -296,3 +296,48 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op11_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents
+),
+f AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS tox, [
+    len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+    100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x),
+    regexp_matches(x, '[#$%&*|]'), coalesce(doc_id > first_id, false)] AS fails
+  FROM d LEFT JOIN labels USING (doc_id)
+),
+profiles AS (SELECT part, good, tox, fails, count(*) AS n FROM f GROUP BY ALL),
+letters AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, e.i, g.i] AS o FROM letters a, letters b, letters c, letters e, letters g
+  WHERE len(list_distinct([a.i, b.i, c.i, e.i, g.i])) = 5
+),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+told AS (
+  SELECT part, o, step, n, good, tox, fails[o[step]] AS here,
+    list_bool_or([fails[o[j]] FOR j IN range(1, step)]) IS NOT DISTINCT FROM true AS before,
+    len(list_filter(fails, LAMBDA y: y)) AS n_fails
+  FROM profiles, steps
+),
+counts AS (
+  SELECT part, o, step,
+    sum(n) FILTER (NOT here AND NOT before) AS kept, sum(n) FILTER (here AND NOT before) AS removed,
+    sum(n) FILTER (here AND before) AS redundant, sum(n) FILTER (here AND n_fails = 1) AS unique_fails,
+    sum(n) FILTER (here AND NOT before AND good) AS good_lost,
+    sum(n) FILTER (here AND NOT before AND tox) AS toxic_lost
+  FROM told GROUP BY ALL
+)
+SELECT part, array_to_string([substr('ABCDE', i, 1) FOR i IN o], '') AS filter_order,
+  CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, o[step]), 0) AS BIGINT) AS shapley
+FROM counts
+"""

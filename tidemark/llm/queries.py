@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, jaccard, licenses, mixing, quality, repeats, sharding, tokens, warc
+from tidemark.llm import audit, chat, decontaminate, jaccard, licenses, mixing, quality, repeats, sharding, tokens, warc
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,9 @@ def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_spans(read_table(spark, sf_dir, "documents")).selectExpr(
         "doc_id", "n_bytes", "n_removed", "cast(size(spans) as bigint) as n_spans", "kept_sha256"
     )
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
