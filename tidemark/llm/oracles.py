@@ -341,3 +341,43 @@ SELECT part, array_to_string([substr('ABCDE', i, 1) FOR i IN o], '') AS filter_o
   CAST(coalesce(sum(removed) OVER (PARTITION BY part, o[step]), 0) AS BIGINT) AS shapley
 FROM counts
 """
+
+ORACLES["op13_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({_lower('text')}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 4) AS s(k))
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 10),
+parts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS head,
+    array_to_string(w[cut + 1 : k], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)
+),
+total AS (SELECT lang, phrase AS part, f FROM f),
+lefts AS (SELECT p.*, t.f AS l FROM parts p JOIN total t ON t.lang = p.lang AND t.part = p.head),
+cuts AS (
+  SELECT p.*, t.f AS r, (1000000 * CAST(a AS HUGEINT) * a) // (CAST(l AS HUGEINT) * t.f) AS score
+  FROM lefts p JOIN total t ON t.lang = p.lang AND t.part = p.rest
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_pairs AS (
+  SELECT lang, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase, a
+  FROM cand WHERE k = 3
+),
+cover AS (SELECT lang, phrase, max(a) AS longer FROM inner_pairs GROUP BY ALL),
+ranked AS (
+  SELECT lang, phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM best LEFT JOIN cover USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""

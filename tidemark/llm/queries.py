@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import audit, chat, decontaminate, jaccard, licenses, mixing, quality, repeats, sharding, tokens, warc
+from tidemark.llm import audit, chat, collocations, decontaminate, jaccard, licenses, mixing, quality, repeats, sharding, tokens, warc
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,8 @@ def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.filter_audit(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
