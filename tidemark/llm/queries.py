@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import audit, chat, collocations, decontaminate, jaccard, licenses, mixing, quality, repeats, sharding, tokens, warc
+from tidemark.llm import audit, chat, collocations, decontaminate, jaccard, licenses, mixing, quality, repeats, sharding, tokens, toxicity, warc
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,9 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return toxicity.toxicity(docs, read_table(spark, sf_dir, "labels")).drop("lang")
