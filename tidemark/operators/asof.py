@@ -4,21 +4,17 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.scalars import exprs
-from tidemark.operators.calendar import bounds, date_window, linked, lookup_days
+from tidemark.operators.calendar import bounds, date_window, linked, lookup_days, within
 
 
-def explode_intervals(
-    intervals: DataFrame, calendar: DataFrame, start: str, end: str, parallelism: int | None = None
-) -> DataFrame:
-    """One row per (interval, covered trading day), adding trade_date.
+def indexed_intervals(intervals: DataFrame, calendar: DataFrame, start: str, end: str) -> DataFrame:
+    """Intervals that cover a trading day, with its first and last index: _lo and _hi.
 
-    ``[start, end]`` is closed, a NULL end is still open. Both ends are clamped to coverage,
-    mapped to trade indexes by two broadcast look-ups and expanded, so the output is exactly
-    the covered days and no nested loop is planned. Intervals are spread over tasks before
-    they grow.
+    ``[start, end]`` is closed, a NULL end is still open. Both ends are clamped to coverage and
+    mapped to trade indexes by two broadcast look-ups, so no nested loop is planned.
     """
     lo, hi, _ = bounds(calendar)
     clamped = (
@@ -35,13 +31,52 @@ def explode_intervals(
     )
     indexed = lookup_days(clamped, calendar, "_lo_day", {"index_on_or_after": "_lo"})
     indexed = lookup_days(indexed, calendar, "_hi_day", {"index_on_or_before": "_hi"})
-    spread = spread_rows(indexed.filter("_lo <= _hi"), parallelism)
-    days = F.broadcast(calendar.selectExpr("trade_date", "trade_index as _day_index"))
+    return indexed.filter("_lo <= _hi").drop("_lo_day", "_hi_day")
+
+
+def expanded(spans: DataFrame, calendar: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """One row per trading day of each row's [_lo, _hi], adding trade_date and trade_index.
+
+    Rows are spread over tasks before they grow; the calendar is broadcast.
+    """
+    days = F.broadcast(calendar.selectExpr("trade_date", "trade_index as _day_index", "calendar_start as _start"))
     return (
-        spread.selectExpr("*", "explode(sequence(_lo, _hi)) as _index")
-        .join(days, F.expr("_index = _day_index"))
-        .drop("_lo_day", "_hi_day", "_lo", "_hi", "_index", "_day_index")
+        spread_rows(spans, parallelism)
+        .selectExpr("*", "explode(sequence(_lo, _hi)) as trade_index")
+        .join(days, F.expr("trade_index = _day_index"))
+        .withColumnRenamed("_start", "calendar_start")
+        .drop("_lo", "_hi", "_day_index")
+    )
+
+
+def explode_intervals(
+    intervals: DataFrame, calendar: DataFrame, start: str, end: str, parallelism: int | None = None
+) -> DataFrame:
+    """One row per (interval, covered trading day), adding trade_date; exactly the covered days."""
+    spans = indexed_intervals(intervals, calendar, start, end)
+    return expanded(spans, calendar, parallelism).drop("trade_index", "calendar_start")
+
+
+def swept(indexed: DataFrame, key: str, totals: dict[str, str], last: Column, whole: DataFrame | None = None) -> DataFrame:
+    """Disjoint segments (key, _lo, _hi) of the intervals of each key, with running totals.
+
+    Every interval adds its ``totals`` (name: SQL) where it begins and takes them off behind its
+    end; summed up along the sorted ends, they hold from one end to the next. Segments without any
+    interval are included. Keys of ``whole`` get segments from the first day to ``last``, whether
+    or not they have intervals. Work is linear in the number of intervals.
+    """
+    names = list(totals)
+    steps = ", ".join(
+        f"struct({at} as at, " + ", ".join(f"{sign} * cast({sql} as bigint) as {n}" for n, sql in totals.items()) + ")"
+        for at, sign in (("_lo", 1), ("_hi + 1", -1))
     )
+    ends = indexed.selectExpr(f"`{key}`", f"inline(array({steps}))")
+    if whole is not None:
+        ends = ends.unionByName(whole.selectExpr(f"`{key}`", "1L as at", *[f"0L as {n}" for n in names]))
+    along = f"over (partition by `{key}` order by at)"
+    summed = ends.groupBy(key, "at").agg(*[F.sum(n).alias(n) for n in names]).selectExpr(
+        f"`{key}`", "at as _lo", f"lead(at) {along} - 1 as _next", *[f"sum({n}) {along} as {n}" for n in names])
+    return summed.withColumn("_hi", F.coalesce(F.col("_next"), last)).drop("_next").filter("_lo <= _hi")
 
 
 def spread_rows(df: DataFrame, parallelism: int | None = None) -> DataFrame:
@@ -59,9 +94,9 @@ def spread_rows(df: DataFrame, parallelism: int | None = None) -> DataFrame:
 
 def visible_on(filings: DataFrame, calendar: DataFrame, day: date) -> DataFrame:
     """Every filing version already public on ``day``; no winner is chosen."""
-    known, _ = date_window(calendar, day, None)
+    day, _ = date_window(calendar, day, None)
     return filings.filter(
-        (F.col("availability_status") == "available") & (F.col("available_date") <= known)
+        (F.col("availability_status") == "available") & within(filings, "available_date", None, day)
     )
 
 
@@ -71,12 +106,12 @@ def latest_on(versions: DataFrame, calendar: DataFrame, day: date, keys: list[st
     Keys plus available_date are unique, so a group is bounded by the calendar's length, and
     the rank limit is applied before the shuffle as well as after it.
     """
-    known, _ = date_window(calendar, day, None)
+    day, _ = date_window(calendar, day, None)
     newest = Window.partitionBy(*keys).orderBy(
         F.col("available_date").desc(), F.col("version_id").desc()
     )
     return (
-        versions.filter(F.col("available_date") <= known)
+        versions.filter(within(versions, "available_date", None, day))
         .withColumn("_rank", F.row_number().over(newest))
         .filter("_rank = 1")
         .drop("_rank")

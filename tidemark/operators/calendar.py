@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import day_of, quoted
+from tidemark.session import staged
 
 # 500 years of natural days: about 10 MB as a broadcast, far below any executor's memory.
 CALENDAR_DAYS = 183_000
@@ -85,7 +86,7 @@ def trading_calendar(
 def linked(days: DataFrame) -> DataFrame:
     """Previous/next links and a 1-based index over the given days of one exchange."""
     by_date = "over (partition by exchange order by trade_date)"
-    return days.selectExpr(
+    return days.withMetadata("trade_date", {}).selectExpr(
         "trade_date",
         f"lag(trade_date) {by_date} as prev_trade_date",
         f"lead(trade_date) {by_date} as next_trade_date",
@@ -122,8 +123,39 @@ def spine(calendar: DataFrame) -> DataFrame:
     )
 
 
+_BOUNDS = "calendar_bounds"
+
+
+def pinned(calendar: DataFrame) -> DataFrame:
+    """Action: the calendar as a written table that knows its bounds; no plan over it derives the
+    calendar again."""
+    return bounded(staged(calendar))
+
+
+def bounded(table: DataFrame) -> DataFrame:
+    """Action: a written calendar with its first and last natural day and its highest index.
+
+    They are read once and travel as metadata of ``trade_date``, so that plans over the calendar
+    hold plain values in place of subqueries.
+    """
+    row = table.agg(F.min("calendar_start"), F.max("calendar_end"), F.max("trade_index")).first()
+    if row[0] is None:
+        return table
+    known = [row[0].isoformat(), row[1].isoformat(), str(row[2])]
+    return table.withMetadata("trade_date", {_BOUNDS: known})
+
+
+def _known(calendar: DataFrame) -> tuple[date, date, int] | None:
+    found = calendar.schema["trade_date"].metadata.get(_BOUNDS)
+    return found and (date.fromisoformat(found[0]), date.fromisoformat(found[1]), int(found[2]))
+
+
 def bounds(calendar: DataFrame) -> tuple[Column, Column, Column]:
-    """(calendar_start, calendar_end, highest trade_index) as scalar subqueries."""
+    """(calendar_start, calendar_end, highest trade_index): plain values of a pinned calendar,
+    else scalar subqueries."""
+    known = _known(calendar)
+    if known:
+        return F.lit(known[0]), F.lit(known[1]), F.lit(known[2]).cast("bigint")
     return (
         calendar.agg(F.min("calendar_start")).scalar(),
         calendar.agg(F.max("calendar_end")).scalar(),
@@ -170,25 +202,42 @@ def require_in_coverage(df: DataFrame, calendar: DataFrame, day: str, result: st
     )
 
 
-def date_window(calendar: DataFrame, start: date | None, end: date | None) -> tuple[Column, Column]:
-    """Checked literal bounds for a slice; an absent end means the calendar's own."""
-    lo, hi, _ = bounds(calendar)
+def date_window(
+    calendar: DataFrame, start: date | None, end: date | None
+) -> tuple[date | None, date | None]:
+    """The same days once they are found to lie in order and inside coverage, else an error.
+
+    An action over a calendar that is not pinned. As the result is plain dates, filters on it
+    reach partitions and row groups of the tables they slice.
+    """
     for label, value in (("start", start), ("end", end)):
         if value is not None and not isinstance(value, date):
             raise CalendarError(f"slice {label} must be a date: {value!r}")
     if start is not None and end is not None and start > end:
         raise CalendarError(f"slice start {start} is after its end {end}")
-    outside = F.lit("slice lies outside calendar coverage")
-
-    def bounded(value: date | None, default: Column) -> Column:
-        if value is None:
-            return default
-        literal = F.lit(value)
-        return F.when((literal >= lo) & (literal <= hi), literal).otherwise(
-            F.raise_error(outside).cast("date")
-        )
+    wanted = [day for day in (start, end) if day is not None]
+    if wanted:
+        known = _known(calendar) or calendar.agg(F.min("calendar_start"), F.max("calendar_end")).first()
+        if known[0] is None or min(wanted) < known[0] or max(wanted) > known[1]:
+            raise CalendarError(f"slice lies outside calendar coverage: {wanted}")
+    return start, end
+
+
+def month_of(column: str) -> str:
+    """Name of the partition column that holds the months (yyyy-MM) of a date column."""
+    return f"{column}_month"
+
 
-    return bounded(start, lo), bounded(end, hi)
+def within(df: DataFrame, column: str, lower: date | None, upper: date | None) -> Column:
+    """Condition: the column lies between two days, an absent one being no bound. Where ``df`` is
+    partitioned by the column's months, other months are not read."""
+    kept, month = F.lit(True), month_of(column)
+    for day, inside in ((lower, lambda x, y: x >= y), (upper, lambda x, y: x <= y)):
+        if day is not None:
+            kept = kept & inside(F.col(column), F.lit(day))
+            if month in df.columns:
+                kept = kept & inside(F.col(month), F.lit(f"{day:%Y-%m}"))
+    return kept
 
 
 def slice_days(
@@ -198,8 +247,7 @@ def slice_days(
     """Keep rows inside the window. Apply it after history windows, never before."""
     if start is None and end is None:
         return df
-    lower, upper = date_window(calendar, start, end)
-    return df.filter((F.col(column) >= lower) & (F.col(column) <= upper))
+    return df.filter(within(df, column, *date_window(calendar, start, end)))
 
 
 def calendar_violations(calendar: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from tidemark.functions.fingerprint import record_id
 from tidemark.functions.ranking import split_row_number
 from tidemark.functions.scalars import day_of, exprs, is_blank, is_security_code, quoted
 from tidemark.operators.calendar import bounds, lookup_days
+from tidemark.session import staged
 
 FILING_DATES = ("ann_date", "f_ann_date", "end_date")
 
@@ -32,45 +33,48 @@ def record_locations(raw: DataFrame, source_table: str) -> DataFrame:
     )
 
 
-def _identified(raw: DataFrame, source_table: str) -> DataFrame:
-    return raw.withColumn("record_id", record_id(source_table, own_columns(raw)))
+def first_copies(sources: dict[str, DataFrame], carried: tuple[str, ...] = ()) -> DataFrame:
+    """Staged: (source_table, record_id, source_count, source_file, source_row, carried...), one
+    row per distinct record of all sources.
 
-
-def _first_copies(identified: DataFrame, carried: list[str] | None = None) -> DataFrame:
-    """(record_id, source_count, _first, carried...): narrow rows, copies collapsed map-side."""
-    kept = [F.expr(f"any_value(`{name}`) as `{name}`") for name in carried or []]
-    return identified.groupBy("record_id").agg(
-        F.expr("count(*) as source_count"),
-        F.expr("min(struct(_source_file as file, _source_row as row)) as _first"), *kept,
+    Records are identified here and nowhere else: one scan and one hash per row, of which only the
+    id, the place and the carried columns go on; copies are collapsed map-side. Whatever follows
+    reads this table and meets the wide rows by their place.
+    """
+    parts = []
+    for table, raw in sources.items():
+        kept = [f"`{c}`" if c in raw.columns else f"cast(null as string) as `{c}`" for c in carried]
+        parts.append(raw.withColumn("_id", record_id(table, own_columns(raw))).selectExpr(
+            f"{quoted(table)} as source_table", "_id as record_id",
+            "struct(_source_file as file, _source_row as row) as _place", *kept))
+    keys = ["source_table", "record_id", *carried]  # a record has one value of each carried column
+    return staged(
+        reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(
+            F.expr("count(*) as source_count"), F.min("_place").alias("_first"))
+        .selectExpr(*keys, "source_count", "_first.file as source_file", "_first.row as source_row")
     )
 
 
-def _fetched(identified: DataFrame, firsts: DataFrame, source_table: str) -> DataFrame:
-    """The whole row of each record's first copy, read by its place.
+def _fetched(raw: DataFrame, facts: DataFrame, source_table: str) -> DataFrame:
+    """The whole rows at the places of ``facts``, with their other columns.
 
-    The place is part of the join key, so a much-copied record is spread like any other rows, and
-    wide rows are shuffled once and never sorted. Places are unique within a source.
+    Places are unique within a source, so a much-copied record is spread like any other, and wide
+    rows are shuffled once and never hashed or sorted.
     """
-    facts = [c for c in firsts.columns if c not in ("record_id", "_first")]
-    found = firsts.selectExpr("record_id as _id", "_first.file as source_file",
-                              "_first.row as source_row", *facts)
-    own = own_columns(identified.drop("record_id"))
-    return identified.join(
-        found.hint("shuffle_hash"),
-        F.expr("record_id = _id and _source_file <=> source_file and _source_row <=> source_row"),
+    names = [c for c in facts.columns if c not in ("source_table", "source_file", "source_row")]
+    found = facts.filter(F.col("source_table") == source_table).selectExpr(
+        "source_file as _file", "source_row as _row", *names)
+    return raw.join(
+        found.hint("shuffle_hash"), F.expr("_source_file <=> _file and _source_row <=> _row")
     ).selectExpr(
-        *[f"`{name}`" for name in own], "record_id", "source_file", "source_row",
-        *facts, f"{quoted(source_table)} as source_table",
+        *[f"`{name}`" for name in own_columns(raw)], "_file as source_file", "_row as source_row",
+        *names, f"{quoted(source_table)} as source_table",
     )
 
 
 def dedup_records(raw: DataFrame, source_table: str) -> DataFrame:
-    """One row per distinct record with its count and first (file, row).
-
-    Only ids and places are aggregated; the columns come from the first copy.
-    """
-    identified = _identified(raw, source_table)
-    return _fetched(identified, _first_copies(identified), source_table)
+    """One row per distinct record with its count and first (file, row)."""
+    return _fetched(raw, first_copies({source_table: raw}), source_table)
 
 
 def normalize_filings(records: DataFrame) -> DataFrame:
@@ -87,22 +91,22 @@ def normalize_filings(records: DataFrame) -> DataFrame:
 VERSION_GROUP = ["source_table", "ts_code", "end_date", "report_type"]
 
 
-def versioned_filings(raw: DataFrame, source_table: str) -> DataFrame:
-    """One source's distinct records, normalised, with ``version``.
+def versioned_filings(sources: dict[str, DataFrame]) -> DataFrame:
+    """The distinct records of all sources, normalised, with ``version``.
 
-    Versions are numbered on the identity alone and meet the wide row when it is fetched.
+    Versions are numbered on the narrow staged rows and meet the wide row when it is fetched.
     """
-    identified = _identified(raw, source_table)
-    dates = [c for c in (*FILING_DATES, "ts_code", "report_type") if c in raw.columns]
-    firsts = _first_copies(identified, dates)
-    named = normalize_filings(
-        firsts.selectExpr("record_id", *dates, f"{quoted(source_table)} as source_table")
-    ).select("record_id", "effective_ann_date", *VERSION_GROUP)
-    numbers = split_row_number(
-        named, VERSION_GROUP, "effective_ann_date", "record_id", "version"
-    ).select("record_id", "version")
-    numbered = firsts.select("record_id", "source_count", "_first").join(numbers, "record_id")
-    return normalize_filings(_fetched(identified, numbered, source_table))
+    texts = ("ts_code", "report_type", *FILING_DATES)
+    firsts = first_copies(sources, texts)
+    dated = normalize_filings(firsts).select(
+        "record_id", "source_count", "source_file", "source_row", "effective_ann_date", *VERSION_GROUP)
+    numbered = split_row_number(
+        dated, VERSION_GROUP, "effective_ann_date", "record_id", "version"
+    ).select("source_table", "record_id", "source_count", "source_file", "source_row", "version")
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [normalize_filings(_fetched(raw, numbered, table)) for table, raw in sources.items()],
+    )
 
 
 def filings_available(sources: dict[str, DataFrame], calendar: DataFrame) -> DataFrame:
@@ -112,12 +116,8 @@ def filings_available(sources: dict[str, DataFrame], calendar: DataFrame) -> Dat
     announcement. Nothing is dropped: unusable records keep a status and no date. Version
     numbers are dense per (source, code, period, report type) and carry no priority.
     """
-    numbered = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [versioned_filings(raw, table) for table, raw in sources.items()],
-    )
     mapped = lookup_days(
-        numbered, calendar, "effective_ann_date", {"next_trade_date": "_mapped"}
+        versioned_filings(sources), calendar, "effective_ann_date", {"next_trade_date": "_mapped"}
     )
     lo, hi, _ = bounds(calendar)
 

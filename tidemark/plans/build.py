@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.contracts import FILING_TABLES, OUTPUT_CONTRACTS, SOURCE_CONTRACTS, Rules
 from tidemark.operators import feasibility, filings, prices, quarters, state, universe
-from tidemark.operators.calendar import trading_calendar, validate_calendar_source
+from tidemark.operators.calendar import bounded, trading_calendar, validate_calendar_source
 from tidemark.operators.profile import profile_all, verify_profiles
 from tidemark.quality import report
 from tidemark.sources.publish import Warehouse
@@ -28,6 +28,15 @@ UPSTREAM = {
 }
 
 
+# The date by whose months a table is stored, so that slices and as-of reads skip the others.
+MONTHS = {
+    **{name: "trade_date" for name in ("daily_adjusted_price", "daily_stock_state",
+                                       "daily_trade_status", "daily_research_universe")},
+    **{name: "available_date" for name in ("financial_available", "quarterly_financial",
+                                           "ttm_financial")},
+}
+
+
 class BuildError(ValueError):
     """A build step failed its gate; later tables were not built."""
 
@@ -84,7 +93,7 @@ def build(
             key = list(contract.key) if contract else ["source_table", "record_id", "file", "row"]
             layer = contract.layer if contract else "l1"
             by_source = key[0] if key[0] == "source_table" else None
-            warehouse.publish(layer, name, df, key, by_source, UPSTREAM.get(name, []))
+            warehouse.publish(layer, name, df, key, by_source, UPSTREAM.get(name, []), MONTHS.get(name))
             found[name] = warehouse.read(name)
         failed = report.check_component(component, found)
         if failed:
@@ -93,7 +102,7 @@ def build(
     validate_calendar_source(raw["trade_cal"], rules.calendar_exchange)
     step("daily_calendar",
          daily_calendar=trading_calendar(raw["trade_cal"], rules.calendar_exchange))
-    calendar = found["daily_calendar"]
+    calendar = found["daily_calendar"] = bounded(found["daily_calendar"])
 
     prices.gate_quotes(quotes, calendar)
     step("daily_adjusted_price",
@@ -122,7 +131,7 @@ def build(
     step_quarters = quarters.quarterly(quarters.period_versions(long))
     warehouse.publish("l1", "quarterly_financial", step_quarters,
                       list(OUTPUT_CONTRACTS["quarterly_financial"].key), "source_table",
-                      UPSTREAM["quarterly_financial"])
+                      UPSTREAM["quarterly_financial"], MONTHS["quarterly_financial"])
     found["quarterly_financial"] = warehouse.read("quarterly_financial")
     step("quarterly_and_ttm", ttm_financial=quarters.ttm(found["quarterly_financial"]))
 

@@ -87,7 +87,7 @@ class DemoMarket:
 
     @lazily
     def calendar(self) -> DataFrame:
-        return cal.trading_calendar(self.calendar_source(), EXCHANGE)
+        return cal.pinned(cal.trading_calendar(self.calendar_source(), EXCHANGE))
 
     @lazily
     def _day_totals(self) -> DataFrame:
