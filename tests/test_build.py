@@ -13,13 +13,14 @@ from golden import RULES
 from pyspark.sql import functions as F
 
 from tidemark.contracts import SOURCE_CONTRACTS, SourceContract
-from tidemark.operators import backfill, compare, profile
+from tidemark.operators import asof, backfill, compare, profile
+from tidemark.operators import calendar as cal
 from tidemark.operators import state as st
 from tidemark.operators.gates import GateError
 from tidemark.plans.build import BuildError, build
 from tidemark.quality import report
 from tidemark.sources import tables
-from tidemark.sources.publish import PublishError, Warehouse, key_gate
+from tidemark.sources.publish import CommitConflict, PublishError, Warehouse, key_gate
 
 
 def fresh(name: str) -> str:
@@ -70,9 +71,44 @@ def test_build_passes(built):
 
 def test_published_order(built):
     warehouse, _ = built
-    location = warehouse.entry("daily_trade_status").location
-    rows = warehouse.spark.read.parquet(location).select("trade_date", "ts_code").collect()
-    assert rows == sorted(rows)
+    table = warehouse.read("daily_trade_status")
+    rows = table.selectExpr("_metadata.file_path as f", "_metadata.row_index as i", "trade_date", "ts_code",
+                            "trade_date_month as m").orderBy("f", "i").collect()
+    files = {r.f: r.m for r in rows}
+    assert len(files) > 1 and all(f"trade_date_month={m}/" in f for f, m in files.items())
+    for name in files:
+        keys = [(r.trade_date, r.ts_code) for r in rows if r.f == name]
+        assert keys == sorted(keys)
+
+
+def test_slices_read_only_their_months(built):
+    """The day asked for reaches the scans of published tables, and days outside still raise."""
+    warehouse, _ = built
+    warehouse.spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    calendar = cal.bounded(warehouse.read("daily_calendar"))
+    day = date(2019, 1, 15)
+
+    def scan(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = [x for x in plan.splitlines() if "FileScan" in x and "_month" in x]
+        assert found, plan
+        return found
+
+    keys = ["source_table", "ts_code", "metric", "end_date"]
+    sliced = {
+        "financial_available": lambda t, d: asof.visible_on(t, calendar, d),
+        "quarterly_financial": lambda t, d: asof.latest_on(t, calendar, d, keys),
+        "daily_stock_state": lambda t, d: cal.slice_days(t, calendar, d, d),
+    }
+    for name, build_slice in sliced.items():
+        column = "trade_date" if name == "daily_stock_state" else "available_date"
+        for line in scan(build_slice(warehouse.read(name), day)):
+            parts, pushed = line.split("PartitionFilters: [")[1].split("PushedFilters: [")
+            assert f"{column}_month" in parts and "2019-01" in parts, line
+            assert f"({column},2019-01-15)" in pushed, line
+        assert build_slice(warehouse.read(name), day).count() > 0 or name == "quarterly_financial"
+        with pytest.raises(cal.CalendarError, match="outside"):
+            build_slice(warehouse.read(name), date(2031, 1, 1))
 
 
 def test_bad_input_publishes_nothing(spark, golden):
@@ -102,6 +138,11 @@ def test_publish_gate_and_versions(spark):
         "stale_upstream:t"]
     with pytest.raises(PublishError):
         warehouse.read("absent")
+    late = warehouse.prepare("l1", "t", good, ["id"])
+    warehouse.publish("l1", "t", good.filter("id < 2"), ["id"])
+    with pytest.raises(CommitConflict, match="version"):
+        warehouse.commit(late)
+    assert warehouse.read("t").count() == 2 and not os.path.exists(late["location"])
     gate = key_gate(good.union(good.limit(1)), ["id"]).first()
     assert (gate.row_count, gate.null_key_rows, gate.duplicate_rows) == (11, 0, 1)
 
