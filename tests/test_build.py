@@ -321,6 +321,29 @@ def test_inventory_is_complete_on_any_root(spark):
         assert len(files) == 1 and next(iter(files)).startswith("raw/t+1 %/part-"), files
 
 
+def test_a_file_beyond_two_gigabytes_is_hashed(spark):
+    root = fresh("large")
+    os.makedirs(f"{root}/.hidden/deep")
+    with open(f"{root}/.hidden/deep/_sparse", "w") as out:
+        out.truncate(3 << 30)  # holds no blocks on disk
+    row = tables.file_inventory(spark, root, checksums=True).first()
+    want = hashlib.sha256()
+    for _ in range(3 * 64):
+        want.update(bytes(1 << 24))
+    assert (row.path, row.size, row.sha256) == (".hidden/deep/_sparse", 3 << 30, want.hexdigest())
+
+
+def test_no_file_name_or_content_is_collected(spark, monkeypatch):
+    root = fresh("many")
+    for i in range(40):
+        os.makedirs(f"{root}/d{i % 7}", exist_ok=True)
+        with open(f"{root}/d{i % 7}/f{i}", "w") as out:
+            out.write("x" * i)
+    files = tables._listing(spark, root)
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and files.count() == 40
+
+
 def test_a_file_that_changes_fails_the_inventory(spark, monkeypatch):
     root = fresh("moving")
     os.makedirs(root)

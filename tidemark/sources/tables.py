@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.contracts import SourceContract
 from tidemark.functions.scalars import quoted
-from tidemark.session import checkpoint_root, staged
+from tidemark.session import staged
 
 
 class ContractError(ValueError):
@@ -87,89 +85,112 @@ class FileChangedError(ValueError):
     """A file was no longer what it was when its hash was begun."""
 
 
-_LISTED = "path string, size bigint, mtime timestamp, uri string, hidden boolean"
+_FOUND = "path string, size bigint, mtime timestamp, is_folder boolean"
+#: Bytes read of a file at a time.
+CHUNK = 8 << 20
+#: Bytes of files that one task hashes on average.
+TASK_BYTES = 1 << 30
+
+
+def _file_system(spark: SparkSession, root: str) -> str:
+    """Scheme and authority of a root's file system, by which tasks open it."""
+    held = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = held.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(held).toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}"
+
+
+def _lister(system: str):
+    """Function of Arrow batches: what lies directly in each folder, files and folders."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        client = fs.LocalFileSystem() if system.startswith("file:") else fs.FileSystem.from_uri(system + "/")[0]
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                found = client.get_file_info(fs.FileSelector(folder))  # an unreadable folder fails
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([x.path for x in found], pa.string()),
+                    pa.array([None if x.type == fs.FileType.Directory else x.size for x in found], pa.int64()),
+                    pa.array([x.mtime_ns // 1000 for x in found], pa.timestamp("us", "UTC")),
+                    pa.array([x.type == fs.FileType.Directory for x in found], pa.bool_()),
+                ], ["path", "size", "mtime", "is_folder"])
+
+    return run
+
+
+def _hasher(system: str, chunk: int):
+    """Function of Arrow batches: SHA-256 and length of each file, read piece by piece."""
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        client = fs.LocalFileSystem() if system.startswith("file:") else fs.FileSystem.from_uri(system + "/")[0]
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                digest, length = hashlib.sha256(), 0
+                with client.open_input_stream(path) as source:
+                    while piece := source.read(chunk):
+                        digest.update(piece)
+                        length += len(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path]), pa.array([digest.hexdigest()]), pa.array([length])],
+                    ["path", "sha256", "read_size"])
+
+    return run
 
 
 def _listing(spark: SparkSession, root: str) -> DataFrame:
-    """Every file under ``root``, also hidden and empty ones, which Spark's readers leave out.
+    """Staged (path, size, mtime), absolute, of every file under ``root``, hidden and empty ones
+    included, which Spark's readers leave out.
 
-    Asked of the file system folder by folder; an unreadable folder fails. Names, sizes and times
-    only, one short row per file.
+    Tasks list folders, one job for each level of folders; names never pass through the driver.
     """
-    jvm, top = spark._jvm, _plain_path(spark, root)
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    rows, folders = [], [(path, False)]
-    while folders:
-        folder, below_hidden = folders.pop()
-        for status in system.listStatus(folder):
-            found = status.getPath()
-            hidden = below_hidden or found.getName()[:1] in ("_", ".")
-            if status.isDirectory():
-                folders.append((found, hidden))
-                continue
-            name = found.toUri().getPath()
-            changed = datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)
-            rows.append((name.removeprefix(top + "/"), status.getLen(), changed,
-                         found.toString(), hidden))
-    return spark.createDataFrame(rows, _LISTED)
+    run = _lister(_file_system(spark, root))
+    folders = spark.createDataFrame([(_plain_path(spark, root) or "/",)], "path string")
+    levels = []
+    while True:
+        found = staged(folders.mapInArrow(run, _FOUND))
+        levels.append(found.filter("not is_folder").select("path", "size", "mtime"))
+        folders = found.filter("is_folder").select("path").repartition(
+            spark.sparkContext.defaultParallelism)
+        if found.filter("is_folder").isEmpty():
+            return reduce(DataFrame.unionByName, levels)
 
 
 def _hashed(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
-    """(path, sha256, read_size). Hidden files are read through copies without a leading dot."""
-    top, empty = _plain_path(spark, root), "sha2(cast('' as binary), 256)"
-    visible = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    parts = [
-        files.filter("size = 0").selectExpr("path", f"{empty} as sha256", "0L as read_size"),
-        visible.selectExpr(f"{_relative(_encoded('path'), top)} as path",
-                           "sha2(content, 256) as sha256", "length as read_size")
-        .filter("read_size > 0"),
-    ]
-    hidden = files.filter("hidden and size > 0").select("path", "uri").collect()
-    if hidden:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        folder = f"{checkpoint_root(spark).rstrip('/')}/hidden-{uuid.uuid4().hex}"
-        to = jvm.org.apache.hadoop.fs.Path(folder)
-        to.getFileSystem(conf).mkdirs(to)
-        for i, row in enumerate(hidden):
-            source = jvm.org.apache.hadoop.fs.Path(row.uri)
-            target = jvm.org.apache.hadoop.fs.Path(f"{folder}/f{i}")
-            jvm.org.apache.hadoop.fs.FileUtil.copy(
-                source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
-        names = spark.createDataFrame([(f"f{i}", r.path) for i, r in enumerate(hidden)],
-                                      "copy string, path string")
-        copies = spark.read.format("binaryFile").load(folder).selectExpr(
-            "substring_index(path, '/', -1) as copy", "sha2(content, 256) as sha256",
-            "length as read_size")
-        parts.append(names.join(copies, "copy").select("path", "sha256", "read_size"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _encoded(path: str) -> str:
-    """SQL text: a path that is not percent-encoded, made so where decoding would alter it."""
-    return f"replace({path}, '%', '%25')"
+    """(path, sha256, read_size), each file hashed in one task, files dealt out over tasks."""
+    total = files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, total // TASK_BYTES)
+    return files.select("path").repartition(tasks).mapInArrow(
+        _hasher(_file_system(spark, root), CHUNK), "path string, sha256 string, read_size bigint")
 
 
 def file_inventory(spark: SparkSession, root: str, checksums: bool = False) -> DataFrame:
     """(path, size, mtime[, sha256]) of every file under ``root``, paths relative to it.
 
-    Without checksums no file content is read. With them each task hashes its own files, which
-    must be under 2 GB; the listing is then taken again, and a file whose size or time differs,
-    or that came or went, fails the inventory.
+    Without checksums no file content is read. With them tasks hash files of any size in pieces;
+    the listing is then taken again, and a file whose size or time differs, or that came or went,
+    fails the inventory. The file system must be one that pyarrow can open from a task.
     """
     before = _listing(spark, root)
+    top = _plain_path(spark, root) + "/"
+    relative = f"substr(path, {len(top) + 1}) as path"
     if not checksums:
-        return before.select("path", "size", "mtime")
+        return before.selectExpr(relative, "size", "mtime")
     hashed = staged(_hashed(spark, root, before))
-    after = _listing(spark, root)
-    seen = before.select("path", "size", "mtime")
-    again = after.select("path", "size", "mtime")
-    changed = seen.exceptAll(again).unionByName(again.exceptAll(seen))
-    short = seen.join(hashed, "path", "left").filter("read_size is distinct from size")
+    again = _listing(spark, root)
+    changed = before.exceptAll(again).unionByName(again.exceptAll(before))
+    short = before.join(hashed, "path", "left").filter("read_size is distinct from size")
     lost = changed.select("path").union(short.select("path")).limit(5).collect()
     if lost:
         raise FileChangedError(f"changed while being read: {sorted({r.path for r in lost})}")
-    return seen.join(hashed.select("path", "sha256"), "path")
+    return before.join(hashed.select("path", "sha256"), "path").selectExpr(
+        relative, "size", "mtime", "sha256")
 
 
 def readability(spark: SparkSession, root: str, pattern: str) -> DataFrame:
