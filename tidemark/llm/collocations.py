@@ -33,10 +33,13 @@ from tidemark.llm.wordhash import texts
 LEAST = 10                #: occurrences of a candidate
 COVERED_PERCENT = 50      #: a longer candidate as frequent as this hides what lies inside it
 TOP = 2000                #: phrases reported per language
-#: Words a task gathers before it writes their stripes.
-HELD_WORDS = 3_000_000
+#: Words a task gathers before it writes their stripes; keys of these many words fit 63 bits.
+HELD_WORDS = 1_500_000
 #: A prefix is cut where its stripes hold more elements than this and than all / MAX_CUT.
-CUT, MAX_CUT = 1 << 18, 50_000
+CUT, MAX_CUT = 1 << 18, 10_000
+#: Sizes are added up by a hash of the prefix first: only prefixes in buckets beyond the limit can
+#: be beyond it themselves.
+SIZE_BUCKETS = 1 << 16
 #: Bits of the map of frequent pairs: this many per pair, at most 16 MB.
 BITS_PER_PAIR, MAX_BITS = 32, 1 << 27
 #: Reports are ranked in this many parts per language first.
@@ -51,7 +54,9 @@ _LOWER[0x41:0x5B] += 0x20
 # Odd factors under 2^29, for sums of products with CRCs that stay below 2^63.
 _FACTORS = (420_196_141, 369_492_977, 505_290_271)
 
-LOCAL = "lang string, prefix string, next array<string>, n array<bigint>"
+# Until stripes are merged, their words are one string joined by spaces, which no word holds.
+LOCAL = "lang string, prefix string, size int, next string, n array<int>"
+PIECES = "lang string, prefix string, cut int, next string, n array<int>"
 MERGED = "lang string, prefix string, cut int, total bigint, best bigint, next array<string>, n array<bigint>"
 
 
@@ -63,21 +68,25 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
+def _joined(offsets: np.ndarray, words: pa.Array) -> pa.Array:
+    return pc.binary_join(_lists(offsets, words), " ")
+
+
 class _Words:
     """Words of many texts in a row, with their language and piece."""
 
     def __init__(self):
-        self.langs: dict[str, int] = {}
         self.clear()
 
     def clear(self):
         self.size, self.breaks, self.words, self.pieces, self.owners = 0, 0, [], [], []
+        self.langs: dict[str, int] = {}
 
     def add(self, batch: pa.RecordBatch) -> Iterator[None]:
         """A step for about every megabyte of text."""
         names = batch.column("lang").to_pylist()
-        codes = np.array([self.langs.setdefault(x, len(self.langs)) for x in names], np.int64)
-        for first, _, data, starts in texts(batch.column("text")):
+        for first, last, data, starts in texts(batch.column("text")):
+            codes = np.array([self.langs.setdefault(x, len(self.langs)) for x in names[first:last]], np.int32)
             kind = _KIND[data]
             inside = np.zeros(len(data) + 2, np.int8)
             inside[1:-1] = kind == 0
@@ -88,62 +97,66 @@ class _Words:
             values = _LOWER[data[kind == 0]]
             self.words.append(pa.Array.from_buffers(
                 pa.large_string(), len(lo), [None, pa.py_buffer(offsets), pa.py_buffer(values)]))
-            count = np.cumsum(kind == 2)
-            self.pieces.append(count[lo] + self.breaks)
+            count = np.cumsum(kind == 2, dtype=np.int32)
+            self.pieces.append(count[lo] + np.int32(self.breaks))
             self.breaks += int(count[-1]) if len(count) else 0
-            self.owners.append(codes[first + np.searchsorted(starts, lo, "right") - 1])
+            self.owners.append(codes[np.searchsorted(starts, lo, "right") - 1])
             self.size += len(lo)
             yield
 
     def stripes(self, pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         """Stripes of one word, or of the pairs in the bitmap."""
         coded = pa.chunked_array(self.words, pa.large_string()).dictionary_encode().unify_dictionaries()
-        code = np.concatenate([c.indices.to_numpy() for c in coded.chunks]).astype(np.int64)
+        code = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
         names = coded.chunk(0).dictionary.cast(pa.string())
         piece, owner = np.concatenate(self.pieces), np.concatenate(self.owners)
+        langs = pa.array(list(self.langs), pa.string())
         self.clear()
+        del coded
         end = len(names)  # the empty word
         names = pa.concat_arrays([names, pa.array([""], pa.string())])
-        langs = pa.array(list(self.langs), pa.string())
         base = len(names)
         joined = np.zeros(len(code), bool)
         joined[:-1] = piece[1:] == piece[:-1]
-        after = np.full(len(code), end)
+        del piece
+        after = np.full(len(code), end, np.int32)
         after[:-1][joined[:-1]] = code[1:][joined[:-1]]
-        own, first = np.unique(owner * base + code, return_inverse=True)
+        prefix = owner.astype(np.int64) * base + code
         if pairs is None:
-            prefix, follow = first, after
-            known = [names.take(pa.array(own % base)), langs.take(pa.array(own // base))]
+            keys = prefix * base + after
         else:
             crc = _crcs(names)
             a, b, c = _FACTORS
             at = (crc[code] * a + crc[after] * b + _crcs(langs)[owner] * c) % (8 * len(pairs))
-            likely = joined & (pairs[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1)
-            follow = np.full(len(code), end)
-            follow[:-1] = np.where(likely[1:], after[1:], end)
-            places = np.flatnonzero(likely)
-            two, prefix = np.unique(first[places] * base + after[places], return_inverse=True)
-            follow = follow[places]
-            head = own[two // base]
-            known = [
-                pc.binary_join_element_wise(
-                    names.take(pa.array(head % base)), names.take(pa.array(two % base)), " "),
-                langs.take(pa.array(head // base)),
-            ]
-        keys, n = np.unique(prefix * base + follow, return_counts=True)
+            joined &= pairs[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+            del at
+            follow = np.full(len(code), end, np.int32)
+            follow[:-1][joined[1:]] = after[1:][joined[1:]]
+            two, which = np.unique((prefix * base + after)[joined], return_inverse=True)
+            keys = which * base + follow[joined]
+            del follow, which
+        del code, owner, after, prefix, joined
+        keys, n = np.unique(keys, return_counts=True)
         owner_of, word = keys // base, keys % base
+        del keys
         heads = np.flatnonzero(np.diff(owner_of, prepend=-1))
-        step = max(1, len(heads) * 200_000 // max(1, len(keys)))  # stripes in about 200,000 elements
+        step = max(1, len(heads) * 200_000 // max(1, len(word)))  # stripes in about 200,000 elements
         for lo in range(0, len(heads), step):
             some = heads[lo:lo + step]
-            stop = heads[lo + step] if lo + step < len(heads) else len(keys)
-            which = pa.array(owner_of[some])
+            stop = heads[lo + step] if lo + step < len(heads) else len(word)
+            held = owner_of[some]
+            if pairs is None:
+                phrase = names.take(pa.array(held % base))
+            else:
+                held, second = two[held] // base, two[held] % base
+                phrase = pc.binary_join_element_wise(
+                    names.take(pa.array(held % base)), names.take(pa.array(second)), " ")
             offsets = np.append(some, stop) - some[0]
             yield pa.RecordBatch.from_arrays([
-                known[1].take(which), known[0].take(which),
-                _lists(offsets, names.take(pa.array(word[some[0]:stop]))),
-                _lists(offsets, pa.array(n[some[0]:stop])),
-            ], ["lang", "prefix", "next", "n"])
+                langs.take(pa.array(held // base)), phrase, pa.array(np.diff(offsets), pa.int32()),
+                _joined(offsets, names.take(pa.array(word[some[0]:stop]))),
+                _lists(offsets, pa.array(n[some[0]:stop], pa.int32())),
+            ], ["lang", "prefix", "size", "next", "n"])
 
 
 def _local(pairs):
@@ -165,7 +178,7 @@ def _local(pairs):
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stripes cut into pieces 1..cuts by the CRC of their next words."""
     for batch in batches:
-        lists, n = batch.column("next"), batch.column("n").flatten()
+        lists, n = pc.split_pattern(batch.column("next"), " "), batch.column("n").flatten()
         coded = lists.flatten().dictionary_encode()
         row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
         crc = _crcs(coded.dictionary)[coded.indices.to_numpy()]
@@ -177,7 +190,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([
             batch.column("lang").take(which), batch.column("prefix").take(which),
             pa.array(piece[heads], pa.int32()),
-            _lists(offsets, coded.dictionary.take(coded.indices.take(taken))), _lists(offsets, n.take(taken)),
+            _joined(offsets, coded.dictionary.take(coded.indices.take(taken))), _lists(offsets, n.take(taken)),
         ], ["lang", "prefix", "cut", "next", "n"])
 
 
@@ -191,14 +204,14 @@ def _merge(least: int):
         fresh[1:] = np.logical_or.reduce(
             [pc.not_equal(k.slice(1), k.slice(0, len(k) - 1)).to_numpy(zero_copy_only=False) for k in keys])
         group = np.cumsum(fresh) - 1
-        lists = table.column("next").combine_chunks()
+        lists = pc.split_pattern(table.column("next").combine_chunks(), " ")
         coded = lists.flatten().dictionary_encode()
         base = len(coded.dictionary) + 1
         element = np.repeat(group, pc.list_value_length(lists).to_numpy()) * base + coded.indices.to_numpy()
         order = np.argsort(element, kind="stable")
         element = element[order]
         heads = np.flatnonzero(np.diff(element, prepend=-1))
-        n = table.column("n").combine_chunks().flatten().to_numpy()[order]
+        n = table.column("n").combine_chunks().flatten().to_numpy().astype(np.int64)[order]
         n = np.add.reduceat(n, heads) if len(heads) else n
         element = element[heads]
         starts = np.searchsorted(element // base, np.arange(group[-1] + 2))
@@ -235,6 +248,7 @@ def _merge(least: int):
         open_key = None  # the last key of a batch goes on in the next one
         for batch in batches:
             table = pa.Table.from_batches([batch])
+            table = table.set_column(4, "n", table.column("n").cast(pa.list_(pa.int64())))
             if not table.num_rows:
                 continue
             if open_key is not None:
@@ -242,7 +256,7 @@ def _merge(least: int):
             keys, starts, group, words, n = added(table)
             at, last = int(starts[-2]), keys.num_rows - 1
             open_key = keys.slice(last).append_column(
-                "next", _lists(np.array([0, len(n) - at]), words.slice(at))
+                "next", _joined(np.array([0, len(n) - at]), words.slice(at))
             ).append_column("n", _lists(np.array([0, len(n) - at]), pa.array(n[at:])))
             if last:
                 yield told(keys.slice(0, last), starts[:-1], group[:at], words.slice(0, at), n[:at])
@@ -256,16 +270,19 @@ def merged_stripes(local: DataFrame, least: int) -> DataFrame:
     """Staged: one row per (lang, prefix, cut) with the sum over all its elements, its frequent
     elements and the largest of them; prefixes rarer than ``least`` come as one or more rows per
     language with an empty prefix."""
-    entries = local.agg(F.expr("coalesce(sum(size(next)), 0)")).first()[0]
+    entries = local.agg(F.expr("coalesce(sum(size), 0)")).first()[0]
     limit = max(CUT, entries // MAX_CUT)
+    sizes = local.selectExpr("lang", "prefix", "size", f"pmod(xxhash64(lang, prefix), {SIZE_BUCKETS}) as bucket")
+    heavy = sizes.groupBy("bucket").agg(F.sum("size").alias("entries")).filter(f"entries > {limit}").select("bucket")
     # Fewer than MAX_CUT prefixes can hold more than a MAX_CUT-th of all elements.
-    large = local.groupBy("lang", "prefix").agg(F.sum(F.size("next")).alias("entries")).filter(
+    large = sizes.join(F.broadcast(heavy), "bucket").groupBy("lang", "prefix").agg(
+        F.sum("size").alias("entries")).filter(
         f"entries > {limit}").selectExpr("lang", "prefix", f"cast(ceil(entries / {limit}) as bigint) as cuts")
     large = F.broadcast(stage(large))
     whole = local.join(large, ["lang", "prefix"], "left_anti").selectExpr(
         "lang", "prefix", "0 as cut", "next", "n")
     pieces = local.join(large, ["lang", "prefix"]).select("lang", "prefix", "next", "n", "cuts").mapInArrow(
-        _cut, "lang string, prefix string, cut int, next array<string>, n array<bigint>")
+        _cut, PIECES)
     dealt = whole.unionByName(pieces).repartition("lang", "prefix", "cut")
     return stage(dealt.sortWithinPartitions("lang", "prefix", "cut").mapInArrow(_merge(least), MERGED))
 
