@@ -60,7 +60,7 @@ def test_build_passes(built):
     assert verdict["diagnostics"]["invalid_limit_prices"] == 1
     rows = {r.table_name: r for r in warehouse.manifest().collect()}
     assert {"daily_calendar", "ttm_financial", "daily_research_universe"} <= set(rows)
-    assert rows["daily_stock_state"].row_count == 5 * 34
+    assert rows["daily_stock_state"].row_count == 6 * 33
     assert list(rows["daily_adjusted_price"].upstream) == ["daily_calendar"]
     for name in ("financial_available", "daily_adjusted_price"):
         assert report.content_problems(name, warehouse.read(name), rows[name]).count() == 0
@@ -86,7 +86,7 @@ def test_slices_read_only_their_months(built):
     warehouse, _ = built
     warehouse.spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     calendar = cal.bounded(warehouse.read("daily_calendar"))
-    day = date(2019, 1, 15)
+    day = date(2021, 4, 15)
 
     def scan(df):
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -104,8 +104,8 @@ def test_slices_read_only_their_months(built):
         column = "trade_date" if name == "daily_stock_state" else "available_date"
         for line in scan(build_slice(warehouse.read(name), day)):
             parts, pushed = line.split("PartitionFilters: [")[1].split("PushedFilters: [")
-            assert f"{column}_month" in parts and "2019-01" in parts, line
-            assert f"({column},2019-01-15)" in pushed, line
+            assert f"{column}_month" in parts and "2021-04" in parts, line
+            assert f"({column},2021-04-15)" in pushed, line
         assert build_slice(warehouse.read(name), day).count() > 0 or name == "quarterly_financial"
         with pytest.raises(cal.CalendarError, match="outside"):
             build_slice(warehouse.read(name), date(2031, 1, 1))
@@ -115,7 +115,7 @@ def test_bad_input_publishes_nothing(spark, golden):
     warehouse = Warehouse(spark, fresh("warehouse"))
     raw = golden.raw()
     raw["stk_factor_pro"] = golden.frame(
-        "stk_factor_pro", [(*r[:8], "0") for r in golden.rows["stk_factor_pro"]])
+        "stk_factor_pro", [(*r[:8], "-1") for r in golden.rows["stk_factor_pro"]])
     with pytest.raises(GateError):
         build(warehouse, raw, RULES)
     assert warehouse.entry("daily_calendar") is not None
@@ -151,22 +151,22 @@ def test_publish_gate_and_versions(spark):
 DAMAGE = {
     ("daily_calendar", "calendar_consistency"): {"trade_index": "trade_index + 1"},
     ("daily_calendar", "source_calendar_coverage"): {"calendar_end": "date_add(calendar_end, 1)"},
-    ("daily_adjusted_price", "non_trading_date"): {"trade_date": "date'2019-01-05'"},
+    ("daily_adjusted_price", "non_trading_date"): {"trade_date": "date'2021-04-10'"},
     ("daily_adjusted_price", "adjustment"): {"adjusted_open": "adjusted_open + 1"},
     ("daily_adjusted_price", "return_across_gap"): {
-        "prev_quote_date": "date'2018-12-01'", "ret_1d": "1.0"},
+        "prev_quote_date": "date'2021-03-01'", "ret_1d": "1.0"},
     ("daily_adjusted_price", "return_value"): {"ret_1d": "0.5"},
-    ("daily_adjusted_price", "invented_quote"): {"ts_code": "'999999.SH'"},
-    ("daily_adjusted_price", "raw_price_coverage"): {"ts_code": "'999999.SH'"},
+    ("daily_adjusted_price", "invented_quote"): {"ts_code": "'999998.SH'"},
+    ("daily_adjusted_price", "raw_price_coverage"): {"ts_code": "'999998.SH'"},
     ("daily_adjusted_price", "original_source_values"): {"vol": "vol + 1"},
     ("daily_adjusted_price", "null_primary_key"): {"ts_code": "null"},
     ("daily_stock_state", "historical_listing"): {"is_delisted": "not is_delisted"},
     ("daily_stock_state", "invented_history"): {"board": "'main'"},
-    ("daily_stock_state", "missing_security_date"): {"ts_code": "'999999.SH'"},
+    ("daily_stock_state", "missing_security_date"): {"ts_code": "'999998.SH'"},
     ("daily_trade_status", "directional_constraints"): {"is_suspended": "true"},
     ("daily_trade_status", "unknown_and_reasons"): {"can_buy": "null"},
     ("daily_trade_status", "limit_price_sources"): {"limit_price_exists": "not limit_price_exists"},
-    ("daily_trade_status", "missing_security_date"): {"trade_date": "date'2019-01-05'"},
+    ("daily_trade_status", "missing_security_date"): {"trade_date": "date'2021-04-10'"},
     ("financial_available", "original_date_consistency"): {"end_date": "date'2018-01-01'"},
     ("financial_available", "invalid_record_must_not_be_available"): {"ts_code": "'bad'"},
     ("financial_available", "strict_announcement_delay"): {"available_date": "ann_date"},
@@ -185,7 +185,7 @@ DAMAGE = {
     ("ttm_financial", "quarter_lineage_and_sum"): {"source_quarter_ids": "array('none')"},
     ("ttm_financial", "original_record_lineage"): {"source_record_ids": "array('none')"},
     ("ttm_financial", "latest_visible_quarter_versions"): {
-        "available_date": "date'2019-02-01'"},
+        "available_date": "date'2021-05-10'"},
     ("daily_research_universe", "config_trace"): {"config_id": "'none'"},
     ("daily_research_universe", "missing_member_row"): {"universe_id": "'none'"},
     ("daily_research_universe", "historical_membership"): {"is_in_universe": "not is_in_universe"},
@@ -197,15 +197,15 @@ DAMAGE = {
 
 def _where(table: str, name: str) -> str:
     if table == "daily_calendar":
-        return "trade_date = '2019-01-10'"
+        return "trade_date = '2021-04-14'"
     if table in ("daily_adjusted_price", "daily_stock_state", "daily_trade_status",
                  "daily_research_universe"):
-        return "trade_date = '2019-01-11' and ts_code = '000001.SZ'"
+        return "trade_date = '2021-04-13' and ts_code = '300102.SZ'"
     if table == "financial_available":
-        return "source_table = 'income_vip' and ts_code = '000001.SZ' and available_date is not null"
+        return "source_table = 'income_vip' and ts_code = '300101.SZ' and available_date is not null"
     if name in ("cumulative_difference_value", "source_periods"):
-        return "ts_code = '000001.SZ' and status = 'available'"
-    return "ts_code = '000001.SZ'" if table != "research_universe_config" else "universe_id = 'all_a'"
+        return "ts_code = '300101.SZ' and status = 'available'"
+    return "ts_code = '300101.SZ'" if table != "research_universe_config" else "universe_id = 'whole'"
 
 
 def test_damage_is_seen(published):
@@ -410,7 +410,7 @@ def test_compare_builds(built, spark):
     assert {(r.table_name, r.field) for r in compare.compare_manifests(manifest, changed).collect()
             } == {("daily_calendar", "hash_sum"), ("ttm_financial", "missing_second")}
     table = built[0].read("daily_adjusted_price").drop("extra")
-    damaged = table.withColumn("close", F.expr("if(ts_code = '600001.SH', close + 1, close)"))
+    damaged = table.withColumn("close", F.expr("if(ts_code = '601204.SH', close + 1, close)"))
     rows = compare.table_diff(table, damaged, ["trade_date", "ts_code"])
     assert {r.changed_columns for r in rows.collect()} == {"close"}
     with pytest.raises(ValueError):
