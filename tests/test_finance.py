@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.fingerprint import fingerprint
+from tidemark.functions import ranking
 from tidemark.functions.ranking import split_row_number
 from tidemark.operators import asof, filings, quarters
 
@@ -86,7 +87,10 @@ def test_hash_survives_column_order(golden):
     assert ids.exceptAll(filings.dedup_records(turned, "income_vip").select("record_id")).count() == 0
 
 
-def test_split_numbering_equals_one_window(spark):
+@pytest.mark.parametrize("large", [0, 90, 10_000])
+def test_split_numbering_equals_one_window(spark, monkeypatch, large):
+    monkeypatch.setattr(ranking, "LARGE", large)
+    monkeypatch.setattr(ranking, "MAX_LARGE", 10_000)
     random.seed(5)
     rows = [(random.choice("aab"), random.choice([None, "x", "y"]),
              random.choice([None, D(2020, 1, 1), D(2020, 1, 2)]), i) for i in range(600)]

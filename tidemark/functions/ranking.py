@@ -4,18 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.session import staged
+
+
+#: Groups of more rows than this, and than all rows / MAX_LARGE, are numbered slice by slice.
+LARGE, MAX_LARGE = 500_000, 20_000
+
 
 def split_row_number(
     df: DataFrame, group: list[str], order: str, tie_hash: str, name: str, digits: int = 2
 ) -> DataFrame:
     """``row_number() over (partition by group order by order nulls last, tie_hash)`` for groups
-    of any size, by the same plan at every size. Hand it narrow rows and join the number back.
+    of any size. Hand it narrow rows of a written table and join the number back.
+
+    Groups are counted with map-side combine. Fewer than MAX_LARGE of them can be large; these are
+    broadcast and numbered by slices, all others by one window, and both parts are united: one
+    plan, whatever the sizes.
+    """
+    rows = df.count()
+    limit = max(LARGE, rows // MAX_LARGE)
+    large = staged(df.groupBy(*group).count().filter(f"count > {limit}").select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]))
+    of_large = F.expr(" and ".join(f"`{c}` <=> _g{i}" for i, c in enumerate(group)))
+    listed = ", ".join(f"`{c}`" for c in group)
+    small = df.join(F.broadcast(large), of_large, "left_anti").selectExpr(
+        "*", f"cast(row_number() over (partition by {listed} order by {order} nulls last, {tie_hash}) "
+             f"as bigint) as {name}")
+    return small.unionByName(
+        _by_slices(df.join(F.broadcast(large), of_large, "left_semi"), group, order, tie_hash, name, digits))
+
+
+def _by_slices(
+    df: DataFrame, group: list[str], order: str, tie_hash: str, name: str, digits: int
+) -> DataFrame:
+    """The same numbers without ever sorting a group as a whole.
 
     ``tie_hash`` is a uniform hex digest, so its first ``digits`` characters cut every group
     into order-preserving slices. Slices are counted with map-side partial aggregation, the
     counts (at most ordering values x 16^digits rows per group) are prefix-summed, and the
-    rows themselves are numbered slice by slice. A group holding a third of the table is
-    therefore spread over all tasks, and the numbers are the same as those of one big window.
+    rows themselves are numbered slice by slice.
     """
     columns = [*group, "_order", "_slice"]
     sliced = df.selectExpr(
