@@ -69,6 +69,38 @@ def test_build_passes(built):
     assert {r.problem for r in problems} == {"stale_configuration"}
 
 
+def test_report_is_published(built):
+    """Every check of the build with its outcome, and the statistics of every output."""
+    warehouse, _ = built
+    rows = warehouse.read("quality_report").collect()
+    assert {r.component for r in rows} == set(report.COMPONENTS) and not any(r.violations for r in rows)
+    ran = {(r.table_name, r.check_name) for r in rows}
+    assert {("daily_stock_state", "invented_history"), ("ttm_financial", "four_source_quarters")} <= ran
+    held = warehouse.read("table_statistics").filter("column_name = 'ts_code'").collect()
+    assert {r.table_name: r.row_count for r in held}["daily_stock_state"] == 6 * 33
+
+
+def test_absent_source_stops_build(spark, golden):
+    raw = {n: df for n, df in golden.raw().items() if n != "fina_indicator"}
+    warehouse = Warehouse(spark, fresh("warehouse"))
+    with pytest.raises(BuildError, match="fina_indicator"):
+        build(warehouse, raw, RULES)
+    assert warehouse.manifest().count() == 0
+
+
+def test_changed_content_fails_the_report(spark):
+    from tidemark.plans.build import _publish_report
+
+    warehouse = Warehouse(spark, fresh("warehouse"))
+    days = spark.sql("select date'2021-04-01' as trade_date, 1L as trade_index")
+    row = warehouse.publish("l1", "daily_calendar", days, ["trade_date"])
+    passed = [{"component": "c", "table_name": "t", "check_name": "x", "violations": 0, "example": None}]
+    assert _publish_report(warehouse, passed) == []
+    days.withColumn("trade_index", F.lit(2).cast("bigint")).write.mode("overwrite").parquet(row["location"])
+    assert _publish_report(warehouse, passed) == [
+        {"table_name": "daily_calendar", "check_name": "content_fingerprint"}]
+
+
 def test_published_order(built):
     warehouse, _ = built
     table = warehouse.read("daily_trade_status")
@@ -377,6 +409,29 @@ def test_table_diff_with_null_and_repeated_keys(spark):
     assert [(r.a, r.difference) for r in fewer] == [(None, "only_first")]
 
 
+def test_hash_trees_find_what_differs(spark, monkeypatch):
+    base = spark.range(3000).selectExpr("if(id % 50 = 0, null, id) as a", "id div 7 as b", "cast(id as string) as c",
+                                        "array(id, null) as d")
+    same_rows = base.repartition(5)
+    leaves = [compare.hash_tree(df, ["a", "b"]) for df in (base, same_rows)]
+    assert compare.differing_buckets(*leaves).count() == 0 and leaves[0].agg({"row_count": "sum"}).first()[0] == 3000
+
+    def unused(*args):
+        assert all(not df.head(1) for df in args[:2]), "rows of equal tables were held against each other"
+        return table_diff(*args)
+
+    table_diff = compare.table_diff
+    monkeypatch.setattr(compare, "table_diff", unused)
+    assert compare.compare_tables(base, same_rows, ["a", "b"]).count() == 0
+    monkeypatch.undo()
+    other = base.filter("b <> 17").withColumn("c", F.expr("if(b = 3 or (a is null and b > 400), null, c)"))
+    want = compare.table_diff(base, other, ["a", "b"])
+    got = compare.compare_tables(base, other, ["a", "b"])
+    assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0 < got.count()
+    buckets = compare.differing_buckets(compare.hash_tree(base, ["a", "b"]), compare.hash_tree(other, ["a", "b"]))
+    assert buckets.count() <= got.count()
+
+
 def test_profile(spark):
     contract = SourceContract("t", ("ts_code",), ("ts_code", "day"), ("day",))
     df = spark.createDataFrame(

@@ -57,6 +57,9 @@ def build(
     spark = warehouse.spark
     warehouse.config_hash = rules.config_hash()
     before = _signature(spark, raw_root)
+    absent = sorted(n for n, c in SOURCE_CONTRACTS.items() if c.core and n not in raw)
+    if absent:
+        raise BuildError(f"sources missing from the scope of the build: {absent}")
     contracts = {name: SOURCE_CONTRACTS[name] for name in raw if name in SOURCE_CONTRACTS}
     raw = {name: require_fields(df, SOURCE_CONTRACTS[name]) if name in contracts else df
            for name, df in raw.items()}
@@ -80,6 +83,7 @@ def build(
     suspensions = feasibility.normalize_suspensions(raw["suspend_d"])
     events = feasibility.normalize_limit_events(raw["limit_list_d"])
     limit_prices = feasibility.normalize_limit_prices(raw["stk_limit"])
+    results: list[dict] = []
     found: dict = {
         "calendar_source": raw["trade_cal"], "exchange": rules.calendar_exchange,
         "quotes": _within(quotes, start, end), "securities": securities, "names": names,
@@ -95,7 +99,7 @@ def build(
             by_source = key[0] if key[0] == "source_table" else None
             warehouse.publish(layer, name, df, key, by_source, UPSTREAM.get(name, []), MONTHS.get(name))
             found[name] = warehouse.read(name)
-        failed = report.check_component(component, found)
+        failed = report.check_component(component, found, results)
         if failed:
             raise BuildError(f"{component}: {failed}")
 
@@ -151,11 +155,29 @@ def build(
             warehouse.manifest(), warehouse.config_hash
         ).collect()
     ]
+    failed += _publish_report(warehouse, results)
     if _signature(spark, raw_root) != before:
         failed.append({"table_name": "raw", "check_name": "source_changed_during_build"})
     return {**report.verdict(failed, "core", rules.capabilities), "diagnostics": diagnostics}
 
 
+def _publish_report(warehouse: Warehouse, results: list[dict]) -> list[dict]:
+    """Publish the outcome of every check and the statistics of every output; returns what no
+    longer is as its manifest says."""
+    rows = [(r["component"], r["table_name"], r["check_name"], r["violations"], r["example"]) for r in results]
+    checks = warehouse.spark.createDataFrame(
+        rows, "component string, table_name string, check_name string, violations bigint, example string")
+    entries = {r.table_name: r for r in warehouse.manifest().collect() if r.table_name in OUTPUT_CONTRACTS}
+    tables = {name: warehouse.read(name) for name in entries}
+    warehouse.publish("l0", "quality_report", checks, ["component", "table_name", "check_name"],
+                      upstream=list(entries))
+    warehouse.publish("l0", "table_statistics", _union(
+        [report.table_statistics(name, df) for name, df in tables.items()]),
+        ["table_name", "column_name"], upstream=list(entries))
+    broken = _union([report.content_problems(name, df, entries[name]) for name, df in tables.items()])
+    return [{"table_name": r.table_name, "check_name": r.problem} for r in broken.collect()]
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -317,19 +318,22 @@ def state_slice(m: DemoMarket) -> DataFrame:
 
 
 @query("""
-SELECT count(*) FILTER (WHERE n.k IS NULL) AS stocks_without_namechange,
-  count(*) FILTER (WHERE n.first_start > b.list_date) AS stocks_with_late_first_interval
-FROM m_listed b LEFT JOIN (SELECT ts_code, count(*) AS k, min(start_date) AS first_start
-  FROM m_names GROUP BY 1) n USING (ts_code)
+WITH named AS (SELECT DISTINCT ts_code FROM m_names),
+on_time AS (SELECT DISTINCT ts_code FROM m_names JOIN m_listed USING (ts_code) WHERE start_date <= list_date),
+dated AS (SELECT ts_code FROM m_listed SEMI JOIN named USING (ts_code) WHERE list_date IS NOT NULL)
+SELECT (SELECT count(*) FROM m_listed ANTI JOIN named USING (ts_code)) AS stocks_without_namechange,
+  (SELECT count(*) FROM dated ANTI JOIN on_time USING (ts_code)) AS stocks_with_late_first_interval
 """)
 def interval_coverage(m: DemoMarket) -> DataFrame:
     return st.interval_coverage(m.names(), m.securities())
 
 
 @query("""
-SELECT ts_code, min(start_date) AS first_start,
-  max(coalesce(end_date, DATE '9999-12-31')) AS last_end
-FROM m_names n WHERE NOT EXISTS (SELECT 1 FROM m_listed b WHERE b.ts_code = n.ts_code) GROUP BY 1
+WITH strangers AS (SELECT ts_code FROM m_names EXCEPT SELECT ts_code FROM m_listed),
+spans AS (SELECT ts_code, list(start_date) AS starts, list(end_date) FILTER (WHERE end_date IS NOT NULL) AS ends,
+  bool_or(end_date IS NULL) AS still_open FROM m_names SEMI JOIN strangers USING (ts_code) GROUP BY 1)
+SELECT ts_code, list_min(starts) AS first_start,
+  if(still_open, DATE '9999-12-31', list_max(ends)) AS last_end FROM spans
 """)
 def unmatched_name_codes(m: DemoMarket) -> DataFrame:
     return st.unmatched_name_codes(m.names(), m.securities())
@@ -455,23 +459,28 @@ def retained_before_delisting(m: DemoMarket) -> DataFrame:
 # -- filings -------------------------------------------------------------------------------
 
 
-@query("""
-SELECT record_id, count(*) AS source_count, min(source_file) AS source_file,
+_EVERY_RECORD = " UNION ALL ".join(
+    f"SELECT '{name}' AS source_table, record_id, source_file, source_row FROM m_raw_{name}"
+    for name in ("income_vip", "balancesheet_vip", "cashflow_vip", "fina_indicator")
+)
+
+
+@query(f"""
+SELECT source_table, record_id, count(*) AS source_count, min(source_file) AS source_file,
   arg_min(source_row, row(source_file, source_row)) AS source_row
-FROM m_raw_income_vip GROUP BY 1
+FROM ({_EVERY_RECORD}) GROUP BY 1, 2
 """)
 def record_dedup(m: DemoMarket) -> DataFrame:
-    return filings.dedup_records(m.filing_sources()["income_vip"], "income_vip").select(
-        "record_id", "source_count", "source_file", "source_row"
+    """The distinct records of all sources with their count and first place."""
+    return filings.first_copies(m.filing_sources()).select(
+        "source_table", "record_id", "source_count", "source_file", "source_row"
     )
 
 
-@query("""
-SELECT 'income_vip' AS source_table, record_id, source_file AS file, source_row AS row
-FROM m_raw_income_vip
-""")
+@query(f"SELECT source_table, record_id, source_file AS file, source_row AS row FROM ({_EVERY_RECORD})")
 def record_locations(m: DemoMarket) -> DataFrame:
-    return filings.record_locations(m.filing_sources()["income_vip"], "income_vip")
+    parts = [filings.record_locations(raw, name) for name, raw in m.filing_sources().items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 FILING_COLUMNS = ["source_table", "record_id", "ts_code", "raw_ann_date", "raw_f_ann_date",
@@ -768,7 +777,7 @@ def inventory_totals(m: DemoMarket) -> DataFrame:
     return compare.inventory_totals(*_manifests(m)).drop("directory_hash")
 
 
-@query("""
+_DIFF = """
 WITH a AS (SELECT * FROM orders WHERE o_orderkey % 50 <> 1),
 b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 50 = 3 THEN NULL ELSE o_orderstatus END
         AS o_orderstatus, o_totalprice + CASE WHEN o_orderkey % 50 IN (3, 4) THEN 1 ELSE 0 END
@@ -782,8 +791,11 @@ UNION ALL SELECT o_orderkey, 'changed', concat_ws(',',
     CASE WHEN a.o_totalprice IS DISTINCT FROM b.o_totalprice THEN 'o_totalprice' END)
   FROM a JOIN b USING (o_orderkey) WHERE a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
    OR a.o_totalprice IS DISTINCT FROM b.o_totalprice
-""")
-def table_diff(m: DemoMarket) -> DataFrame:
+"""
+
+
+def _orders_twice(m: DemoMarket) -> tuple[DataFrame, DataFrame]:
+    """Two builds of the orders that differ in some rows, some values and some nulls."""
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
     orders = m.read("orders").select(*columns)
     first = orders.filter("o_orderkey % 50 <> 1")
@@ -791,7 +803,18 @@ def table_diff(m: DemoMarket) -> DataFrame:
         "o_orderkey", "o_custkey", "if(o_orderkey % 50 = 3, null, o_orderstatus) as o_orderstatus",
         "o_totalprice + if(o_orderkey % 50 in (3, 4), 1, 0) as o_totalprice",
     )
-    return compare.table_diff(first, second, ["o_orderkey"])
+    return first, second
+
+
+@query(_DIFF)
+def table_diff(m: DemoMarket) -> DataFrame:
+    return compare.table_diff(*_orders_twice(m), ["o_orderkey"])
+
+
+@query(_DIFF)
+def build_diff(m: DemoMarket) -> DataFrame:
+    """The same differences, found through hash trees of both builds."""
+    return compare.compare_tables(*_orders_twice(m), ["o_orderkey"])
 
 
 @query("""
@@ -807,11 +830,17 @@ def _identity(df: DataFrame) -> DataFrame:
     return fingerprint(df).selectExpr("concat_ws('/', row_count, hash_sum, hash_xor) as mark")
 
 
+@query()
+def table_fingerprint(m: DemoMarket) -> DataFrame:
+    return fingerprint(m.read("lineitem"))
+
+
 @query("""
-SELECT count(*) AS row_count, true AS free_of_order, true AS sees_a_changed_row,
-  true AS sees_a_repeated_row FROM lineitem
+SELECT count(*) AS row_count, true AS free_of_order, count(*) FILTER (WHERE damaged) > 0
+  AS sees_a_changed_row, count(*) FILTER (WHERE damaged) > 0 AS sees_a_repeated_row
+FROM (SELECT l_linenumber = 1 AND l_orderkey % 7 = 0 AS damaged FROM lineitem)
 """)
-def table_fingerprint(m: DemoMarket) -> DataFrame:
+def fingerprint_properties(m: DemoMarket) -> DataFrame:
     """The identity of a table, held against the same rows dealt out anew and damaged copies."""
     lines = m.read("lineitem")
     key = "l_linenumber = 1 and l_orderkey % 7 = 0"
@@ -830,19 +859,20 @@ def table_fingerprint(m: DemoMarket) -> DataFrame:
                           "mark <> repeated as sees_a_repeated_row")
 
 
+@query()
+def manifest(m: DemoMarket) -> DataFrame:
+    """What a manifest records for the price table: key gate and content identity."""
+    df = m.adjusted()
+    return publish.key_gate(df, ["trade_date", "ts_code"]).join(fingerprint(df), "row_count")
+
+
 @query("""
 SELECT count(*) AS row_count, count(*) FILTER (WHERE trade_date IS NULL OR ts_code IS NULL)
-  AS null_key_rows, count(*) - count(DISTINCT row(trade_date, ts_code)) AS duplicate_rows,
-  true AS free_of_order FROM m_adjusted
+  AS null_key_rows, count(*) - count(DISTINCT row(trade_date, ts_code)) AS duplicate_rows
+FROM m_adjusted
 """)
-def manifest(m: DemoMarket) -> DataFrame:
-    """What a manifest would record for the price table: key gate and content identity."""
-    df = m.adjusted()
-    gate = publish.key_gate(df, ["trade_date", "ts_code"])
-    return gate.join(fingerprint(df), "row_count").withColumn(
-        "again", _identity(df.repartition(5)).scalar()
-    ).selectExpr("row_count", "null_key_rows", "duplicate_rows",
-                 "concat_ws('/', row_count, hash_sum, hash_xor) = again as free_of_order")
+def manifest_counts(m: DemoMarket) -> DataFrame:
+    return publish.key_gate(m.adjusted(), ["trade_date", "ts_code"]).select("row_count", "null_key_rows", "duplicate_rows")
 
 
 @query("""
@@ -891,12 +921,12 @@ def backfill_supplement(m: DemoMarket) -> DataFrame:
 
 @query("""
 SELECT ts_code FROM m_listed UNION SELECT ts_code FROM m_raw_income_vip
-UNION SELECT ts_code FROM m_raw_cashflow_vip
+UNION SELECT ts_code FROM m_raw_balancesheet_vip UNION SELECT ts_code FROM m_raw_cashflow_vip
 """)
 def code_union(m: DemoMarket) -> DataFrame:
     sources = m.filing_sources()
     return backfill.code_union(
-        [m.securities(), sources["income_vip"], sources["cashflow_vip"]]
+        [m.securities(), *[sources[n] for n in ("income_vip", "balancesheet_vip", "cashflow_vip")]]
     )
 
 
