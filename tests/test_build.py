@@ -40,7 +40,7 @@ def published(built, golden):
     warehouse, _ = built
     names = ("daily_calendar", "daily_adjusted_price", "daily_stock_state", "daily_trade_status",
              "financial_available", "quarterly_financial", "ttm_financial",
-             "research_universe_config", "daily_research_universe")
+             "research_universe_config", "daily_research_universe", "filing_locations")
     found = {name: warehouse.read(name).cache() for name in names}
     from tidemark.operators import feasibility, prices
 
@@ -203,6 +203,7 @@ DAMAGE = {
     ("financial_available", "invalid_record_must_not_be_available"): {"ts_code": "'bad'"},
     ("financial_available", "strict_announcement_delay"): {"available_date": "ann_date"},
     ("financial_available", "original_record_hash"): {"update_flag": "'9'"},
+    ("financial_available", "location_reconciliation"): {"source_row": "source_row + 1"},
     ("financial_available", "source_conservation"): {"source_count": "source_count + 1"},
     ("quarterly_financial", "value_status"): {"value": "null", "status": "'available'"},
     ("quarterly_financial", "cumulative_metric_whitelist"): {"metric": "'total_assets'"},

@@ -1042,6 +1042,8 @@ def _finance(m: DemoMarket) -> dict[str, DataFrame]:
     return {
         "daily_calendar": m.calendar(), "financial_available": m.staged("cumulative_filings"),
         "filing_sources": {name: m.filing_sources()[name] for name in METRICS},
+        "filing_locations": reduce(DataFrame.unionByName, [
+            filings.record_locations(m.filing_sources()[name], name) for name in METRICS]),
         "quarterly_financial": m.staged("quarterly"), "ttm_financial": m.staged("ttm"),
     }
 
