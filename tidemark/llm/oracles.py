@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express, written from the contracts, not the plans.
 
-Token counts need a tokenizer's file and the pipeline chains iterative stages; tests hold these
-against brute force.
+Token counts need a tokenizer's file and toxicity is learned; tests hold the first against brute force
+and the second against labels it did not see.
 """
 
 from __future__ import annotations
