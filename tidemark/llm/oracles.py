@@ -207,21 +207,21 @@ def _sql(expr: str) -> str:
 
 
 _SHIFT = "greatest(0, length(bin(v)) - 5)"
-_FENCE = f"q3 + {quality.FENCE} * (q3 - q1)"
-
-
 def _level(group: str) -> str:
     by = f"{group}, measure" if group else "measure"
     return f"""
-  SELECT {by}, max(docs) AS docs, min(floor_) FILTER (WHERE 4 * upto >= docs) AS q1,
-    min(floor_) FILTER (WHERE 4 * upto >= 3 * docs) AS q3 FROM (
-    SELECT *, count(*) OVER (PARTITION BY {by}) AS docs,
-      count(*) OVER (PARTITION BY {by} ORDER BY floor_) AS upto FROM v) GROUP BY {by}"""
+  SELECT {by}, docs, least(cap, high + {quality.FENCE} * greatest(high - low, least)) AS top FROM (
+    SELECT {by}, max(docs) AS docs, any_value(least) AS least, any_value(cap) AS cap,
+      min(floor_) FILTER (WHERE 100 * upto >= docs * low_at) AS low,
+      min(floor_) FILTER (WHERE 100 * upto >= docs * high_at) AS high FROM (
+      SELECT *, count(*) OVER (PARTITION BY {by}) AS docs,
+        count(*) OVER (PARTITION BY {by} ORDER BY floor_) AS upto FROM v) GROUP BY {by})"""
 
 
 _MEASURES = " UNION ALL ".join(
-    f"SELECT doc_id, lang, source, '{name}' AS measure, {_sql(expr)} AS v, {least} AS least "
-    "FROM base" for name, (expr, least) in quality.MEASURES.items()
+    f"SELECT doc_id, lang, source, '{name}' AS measure, {_sql(expr)} AS v, {least} AS least, "
+    f"{low} AS low_at, {high} AS high_at, {quality.CEILINGS.get(name, 10 ** 18)} AS cap FROM base"
+    for name, (expr, least, low, high) in quality.MEASURES.items()
 )
 ORACLES["op9_quality_rules"] = rf"""
 WITH d AS (
@@ -257,10 +257,8 @@ out AS (
     AND m.source IS NOT DISTINCT FROM l0.source
   LEFT JOIN l1 ON m.measure = l1.measure AND m.lang IS NOT DISTINCT FROM l1.lang
   LEFT JOIN l2 ON m.measure = l2.measure
-  WHERE m.v > greatest(m.least, CASE
-    WHEN l0.docs >= {quality.MIN_GROUP} THEN {_FENCE.replace('q', 'l0.q')}
-    WHEN l1.docs >= {quality.MIN_GROUP} THEN {_FENCE.replace('q', 'l1.q')}
-    ELSE coalesce({_FENCE.replace('q', 'l2.q')}, 0) END)
+  WHERE m.v > CASE WHEN l0.docs >= {quality.MIN_GROUP} THEN l0.top
+    WHEN l1.docs >= {quality.MIN_GROUP} THEN l1.top ELSE l2.top END
 ),
 why AS (SELECT doc_id, arg_min(measure, list_position(
           {_list(quality.MEASURES)}, measure)) AS measure FROM out GROUP BY doc_id)

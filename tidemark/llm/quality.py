@@ -1,7 +1,9 @@
 """Quality rules whose thresholds follow the data.
 
 Every document is measured; per language and source the measures are summed up in quantile
-sketches, and a document is rejected where a measure lies far outside its group's usual range.
+sketches, and a document is rejected where a measure lies far outside its group's usual range:
+more than :data:`FENCE` spreads above an upper percentile of the group's own sketch. A spread is the
+distance between two percentiles, and has a small minimum for groups whose documents are all alike.
 
 The sketch is a histogram over buckets of bounded relative width: values under 32 are exact, above
 that each power of two has 16 buckets. Counts add up, so sketches merge in any order with the same
@@ -23,18 +25,20 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 10
 #: Share of repeated words, in percent, beyond which a text fails whatever its group.
 MAX_REPEAT_PERCENT = 20
-#: Measures, each with the limit under which no group's fence may fall: a document below it is
-#: never rejected by that measure. Shares are in thousandths, word length in hundredths.
+#: Measures: what is measured, the smallest spread of a group, and the percentiles of its sketch
+#: between which the spread is taken. Shares are in thousandths, word length in hundredths. Shares
+#: are 0 in most documents, so their spread is that of the upper tail; word length lies around its
+#: middle, where the quartiles tell more.
 MEASURES = {
-    "symbols": ("1000 * n_symbols div greatest(1, word_chars)", 250),
-    "dup_lines": ("1000 * n_dup_lines div greatest(1, n_lines)", 300),
-    "repeats": ("1000 * n_repeat_words div greatest(1, n_words)", 150),
-    "word_length": ("100 * word_chars div greatest(1, n_words)", 1500),
+    "symbols": ("1000 * n_symbols div greatest(1, word_chars)", 30, 50, 90),
+    "dup_lines": ("1000 * n_dup_lines div greatest(1, n_lines)", 40, 50, 95),
+    "repeats": ("1000 * n_repeat_words div greatest(1, n_words)", 10, 50, 95),
+    "word_length": ("100 * word_chars div greatest(1, n_words)", 16, 25, 75),
 }
-#: A fence of a measure with a maximum never stands above this, however wide its group: the shares
+#: A limit of a measure with a maximum never stands above this, however wide its group: the shares
 #: end at 1000, and repeats at 200 as the base rule takes the rest.
 CEILINGS = {"symbols": 900, "dup_lines": 900, "repeats": 190}
-#: The fence stands this many quartile ranges above the third quartile.
+#: The limit stands this many spreads above the upper percentile.
 FENCE = 6
 #: Groups with fewer documents use the sketch of their language, then that of all documents.
 MIN_GROUP = 50
@@ -117,7 +121,7 @@ def sketches(measures: DataFrame) -> DataFrame:
     Over documents that pass the fixed base rules. Each document is counted in the partial
     aggregate of its own task, so what is shuffled grows with groups and buckets, not documents.
     """
-    parts = ", ".join(f"'{name}', {expr}" for name, (expr, _) in MEASURES.items())
+    parts = ", ".join(f"'{name}', {expr}" for name, (expr, *_) in MEASURES.items())
     return (
         measures.filter(f"not {BASE_FAILED}")
         .selectExpr("lang", "source", f"stack({len(MEASURES)}, {parts}) as (measure, value)")
@@ -131,18 +135,30 @@ def merged(parts: DataFrame, *group: str) -> DataFrame:
     return parts.groupBy(*group, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
+def limit(measure: str, low: str, high: str) -> str:
+    """SQL text: the limit of a measure from the two percentiles of a sketch."""
+    _, least, _, _ = MEASURES[measure]
+    fence = f"{high} + {FENCE} * greatest({high} - {low}, {least})"
+    return f"least({CEILINGS[measure]}, {fence})" if measure in CEILINGS else fence
+
+
 def fences(parts: DataFrame, *group: str) -> DataFrame:
-    """(group..., measure, docs, fence) from the quartiles of each sketch."""
+    """(group..., docs, one limit per measure) from the sketches of each group."""
     by = ", ".join([*group, "measure"])
     ranked = parts.selectExpr(
         *group, "measure", "bucket", f"sum(n) over (partition by {by} order by bucket) as upto",
         f"sum(n) over (partition by {by}) as docs",
     )
-    return ranked.groupBy(*group, "measure").agg(
+
+    def at(measure: str, percent: int) -> str:
+        return (f"min(if(measure = '{measure}' and 100 * upto >= docs * {percent}, "
+                f"{bucket_floor('bucket')}, null))")
+
+    return ranked.groupBy(*group).agg(
         F.max("docs").alias("docs"),
-        F.expr(f"min(if(4 * upto >= docs, {bucket_floor('bucket')}, null))").alias("q1"),
-        F.expr(f"min(if(4 * upto >= 3 * docs, {bucket_floor('bucket')}, null))").alias("q3"),
-    ).selectExpr(*group, "measure", "docs", f"q3 + {FENCE} * (q3 - q1) as fence")
+        *[F.expr(limit(m, at(m, low), at(m, high))).alias(m)
+          for m, (_, _, low, high) in MEASURES.items()],
+    )
 
 
 def thresholds(measures: DataFrame) -> DataFrame:
@@ -152,22 +168,19 @@ def thresholds(measures: DataFrame) -> DataFrame:
     """
     parts = staged(sketches(measures))
     groups = measures.select("lang", "source").distinct()
-    overall = {r.measure: r.fence for r in fences(merged(parts)).collect()}
+    overall = fences(merged(parts)).first()
     found = groups.alias("g")
     for depth, group in enumerate((("lang", "source"), ("lang",))):
         table = fences(merged(parts, *group), *group)
-        wide = table.groupBy(*[F.col(c).alias(f"_{c}{depth}") for c in group]).agg(
-            F.max("docs").alias(f"docs{depth}"),
-            *[F.expr(f"max(if(measure = '{m}', fence, null))").alias(f"{m}{depth}")
-              for m in MEASURES],
-        )
+        wide = table.toDF(*[f"_{c}{depth}" for c in group],
+                          *[f"{c}{depth}" for c in table.columns[len(group):]])
         on = " and ".join(f"g.{c} <=> _{c}{depth}" for c in group)
         found = found.join(wide, F.expr(on), "left")
+    # Without a document that passes the base rules there is nothing to hold against a limit.
     limits = [
-        f"least({CEILINGS.get(m, 'null')}, greatest({least}, coalesce("
-        f"if(docs0 >= {MIN_GROUP}, {m}0, null), if(docs1 >= {MIN_GROUP}, {m}1, null), "
-        f"{overall.get(m, least)}))) as max_{m}"
-        for m, (_, least) in MEASURES.items()
+        f"coalesce(if(docs0 >= {MIN_GROUP}, {m}0, null), if(docs1 >= {MIN_GROUP}, {m}1, null), "
+        f"{limit(m, '0', '0') if overall[m] is None else overall[m]}) as max_{m}"
+        for m in MEASURES
     ]
     return found.selectExpr("g.lang", "g.source", *limits)
 
@@ -175,7 +188,7 @@ def thresholds(measures: DataFrame) -> DataFrame:
 def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
     """``measures`` with base_failed, kept and ``failed`` (the first rule that rejected it)."""
     reasons = " ".join(
-        f"when ({expr}) > max_{m} then '{m}'" for m, (expr, _) in MEASURES.items()
+        f"when ({expr}) > max_{m} then '{m}'" for m, (expr, *_) in MEASURES.items()
     )
     names = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     small = limits.count() <= MAX_BROADCAST_GROUPS
@@ -199,14 +212,18 @@ def counted(docs: DataFrame) -> DataFrame:
 def quality_report(docs: DataFrame) -> DataFrame:
     """Per document row: its counts, base_failed, kept and the rule that failed.
 
-    Null text counts as empty and fails; null language or source form groups of their own.
+    Null text counts as empty and fails; null language or source form groups of their own. Repeated
+    rows count as often as they occur and get equal verdicts; an empty table gives no rows.
     """
     counts = counted(docs)
     return judged(counts, staged(thresholds(counts)))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged. Texts are read twice but not shuffled."""
+    """The rows of ``docs`` that pass, unchanged. Texts are read twice but not shuffled.
+
+    Repeated rows stay or go together; an empty table stays empty.
+    """
     limits = staged(thresholds(counted(docs)))
     rows = docs.selectExpr("struct(*) as _row", "text", "lang", "source")
     return judged(measured(rows), limits).filter("kept").select("_row.*")
