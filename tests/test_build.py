@@ -306,6 +306,47 @@ def test_scans(spark):
         ("20181217", 0, "csv/stock.csv"), (None, 1, "csv/stock.csv")]
 
 
+def test_csv_rows_of_many_splits_are_numbered(spark):
+    """A file read in pieces by many tasks is numbered as it stands, beside a second file."""
+    root = fresh("long")
+    os.makedirs(f"{root}/c")
+    for name, n in (("a", 5000), ("b", 3)):
+        with open(f"{root}/c/{name}.csv", "w") as out:
+            out.write("k,file\n" + "".join(f"{i},{name}\n" for i in range(n)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        found = tables.scan_csv(spark, root, "c")
+        assert found.select(F.spark_partition_id()).distinct().count() > 2
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert len(rows) == 5003
+    assert all(r._source_row == int(r.k) and r._source_file == f"c/{r.file}.csv" for r in rows)
+
+
+def test_row_checks_share_a_scan(spark):
+    """Checks of single rows are one aggregate; counts and examples are those of each alone."""
+    rows = [("available", None), ("available", 1.0), ("missing", 2.0), ("missing", None)]
+    sound = spark.createDataFrame(
+        [(f"v{i}" if i else None, "income_vip", "000001.SZ", "revenue" if i != 1 else "odd", date(2001, 3, 31),
+          date(2001, 4, 2 + i), s, v, [date(2001, 3, 31)]) for i, (s, v) in enumerate(rows)],
+        "version_id string, source_table string, ts_code string, metric string, end_date date, "
+        "available_date date, status string, value double, source_end_dates array<date>")
+    held = {"quarterly_financial": sound}
+    together = {r.check_name: r for r in report.violations(held).collect()}
+    for c in report.runnable(held):
+        wrong = c.rows(held).collect()
+        assert together[c.name].violations == len(wrong)
+        assert (together[c.name].example is None) == (not wrong)
+    assert together["value_status"].violations == 2
+    assert together["cumulative_metric_whitelist"].violations == 1
+    of_rows = [c for c in report.runnable(held) if c.wrong]
+    plan = report._counted_together(held, "quarterly_financial", of_rows)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert len(of_rows) >= 4 and physical.count("Scan ExistingRDD") == 1
+
+
 def test_inventory(spark):
     root = fresh("files")
     os.makedirs(f"{root}/d")

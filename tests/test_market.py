@@ -432,3 +432,42 @@ def test_panel(spark, golden):
     ends = asof.panel_calendar(golden.calendar(), F.col("trade_date").isin(wanted))
     found = {r.trade_date: r.v for r in asof.asof_panel(versions, ends, ["k"]).collect()}
     assert found == dict(zip(wanted[1:], (1, 1, 2, 2)))
+
+
+def test_panels_against_every_day_asked(spark, golden):
+    """Totals by differences and the newest periods, held against a plain walk over the days."""
+    calendar = golden.calendar()
+    ends = asof.panel_calendar(calendar, "dayofweek(trade_date) = 6")
+    days = sorted(r.trade_date for r in ends.collect())
+    every = sorted(r.trade_date for r in calendar.collect())
+    rows = []
+    for i in range(90):
+        key, period = f"k{i % 3}", date(2001, 1 + i % 7, 1)
+        rows.append((key, period, every[(i * 11) % len(every)], i % 4, None if i % 5 == 0 else i))
+    rows = list({(r[0], r[1], r[2]): r for r in rows}.values())
+    versions = spark.createDataFrame(
+        rows, "k string, period date, available_date date, kind int, value bigint").repartition(4)
+    seen = {}
+    for day in days:
+        for r in sorted(rows, key=lambda r: r[2]):
+            if r[2] <= day:
+                seen[day, r[0], r[1]] = r
+    totals = {}
+    for (day, _, _), r in seen.items():
+        n, values = totals.get((day, r[3]), (0, []))
+        totals[day, r[3]] = (n + 1, values + ([] if r[4] is None else [r[4]]))
+    got = asof.panel_totals(versions, ends, ["k", "period"], ["kind"], "value").collect()
+    assert {(r.trade_date, r.kind): (r.n, None if r.total is None else int(r.total)) for r in got} == {
+        k: (n, sum(v) if v else None) for k, (n, v) in totals.items()}
+    for n in (1, 2, 3):
+        wanted = set()
+        for day in days:
+            for key in ("k0", "k1", "k2"):
+                mine = sorted((p for d, k, p in seen if (d, k) == (day, key)), reverse=True)[:n]
+                wanted |= {(day, key, p, seen[day, key, p][2]) for p in mine}
+        got = asof.newest_panel(versions, ends, ["k", "period"], "period", n).collect()
+        assert len(got) == len(wanted)
+        assert {(r.trade_date, r.k, r.period, r.available_date) for r in got} == wanted
+    none = versions.filter("false")
+    assert asof.panel_totals(none, ends, ["k", "period"], ["kind"], "value").count() == 0
+    assert asof.newest_panel(none, ends, ["k", "period"], "period").count() == 0

@@ -37,7 +37,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", ["adjusted_price", "security_state", "trade_status", "universe",
                                   "filings_available", "quarterly", "ttm", "asof_panel",
-                                  "interval_days", "coverage_gaps", "checks_filings"])
+                                  "asof_panel_newest", "interval_days", "coverage_gaps", "checks_filings"])
 def test_no_nested_loops_or_python(spark, name):
     """Interval, as-of and grid joins stay equi-joins, and no row leaves the JVM."""
     plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

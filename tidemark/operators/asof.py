@@ -57,7 +57,10 @@ def explode_intervals(
     return expanded(spans, calendar, parallelism).drop("trade_index", "calendar_start")
 
 
-def swept(indexed: DataFrame, key: str, totals: dict[str, str], last: Column, whole: DataFrame | None = None) -> DataFrame:
+def swept(
+    indexed: DataFrame, key: str | list[str], totals: dict[str, str], last: Column,
+    whole: DataFrame | None = None, kind: str = "bigint",
+) -> DataFrame:
     """Disjoint segments (key, _lo, _hi) of the intervals of each key, with running totals.
 
     Every interval adds its ``totals`` (name: SQL) where it begins and takes them off behind its
@@ -65,17 +68,19 @@ def swept(indexed: DataFrame, key: str, totals: dict[str, str], last: Column, wh
     interval are included. Keys of ``whole`` get segments from the first day to ``last``, whether
     or not they have intervals. Work is linear in the number of intervals.
     """
-    names = list(totals)
+    names, keys = list(totals), [key] if isinstance(key, str) else key
+    quoted_keys = [f"`{k}`" for k in keys]
+    by = ", ".join(quoted_keys)
     steps = ", ".join(
-        f"struct({at} as at, " + ", ".join(f"{sign} * cast({sql} as bigint) as {n}" for n, sql in totals.items()) + ")"
+        f"struct({at} as at, " + ", ".join(f"{sign} * cast({sql} as {kind}) as {n}" for n, sql in totals.items()) + ")"
         for at, sign in (("_lo", 1), ("_hi + 1", -1))
     )
-    ends = indexed.selectExpr(f"`{key}`", f"inline(array({steps}))")
+    ends = indexed.selectExpr(*quoted_keys, f"inline(array({steps}))")
     if whole is not None:
-        ends = ends.unionByName(whole.selectExpr(f"`{key}`", "1L as at", *[f"0L as {n}" for n in names]))
-    along = f"over (partition by `{key}` order by at)"
-    summed = ends.groupBy(key, "at").agg(*[F.sum(n).alias(n) for n in names]).selectExpr(
-        f"`{key}`", "at as _lo", f"lead(at) {along} - 1 as _next", *[f"sum({n}) {along} as {n}" for n in names])
+        ends = ends.unionByName(whole.selectExpr(*quoted_keys, "1L as at", *[f"cast(0 as {kind}) as {n}" for n in names]))
+    along = f"over (partition by {by} order by at)"
+    summed = ends.groupBy(*keys, "at").agg(*[F.sum(n).alias(n) for n in names]).selectExpr(
+        *quoted_keys, "at as _lo", f"lead(at) {along} - 1 as _next", *[f"sum({n}) {along} as {n}" for n in names])
     return summed.withColumn("_hi", F.coalesce(F.col("_next"), last)).drop("_next").filter("_lo <= _hi")
 
 
@@ -138,6 +143,51 @@ def asof_panel(versions: DataFrame, panel_days: DataFrame, keys: list[str]) -> D
     ).drop("valid_from", "valid_to")
 
 
+def panel_totals(
+    versions: DataFrame, panel_days: DataFrame, keys: list[str], by: list[str], value: str
+) -> DataFrame:
+    """(trade_date, by, n, total): how many versions are visible on each panel day, and their sum.
+
+    A version counts from the first panel day that sees it and is taken off behind the last;
+    these differences are added up per ``by`` and day, then along the days. Work is linear in the
+    versions, whatever the number of days. ``value`` is SQL of a whole number; a total without
+    any value is NULL, days without a version are absent.
+    """
+    visible = indexed_intervals(validity_ranges(versions, keys), panel_days, "valid_from", "valid_to")
+    end = F.lit(panel_days.count())
+    totals = {"_n": "1", "_valued": f"if({value} is null, 0, 1)", "_sum": f"coalesce({value}, 0)"}
+    runs = swept(visible, by, totals, end, kind="decimal(28,0)").filter("_n > 0")
+    return expanded(runs, panel_days).selectExpr(
+        "trade_date", *[f"`{k}`" for k in by], "cast(_n as bigint) as n",
+        "if(_valued > 0, _sum, null) as total",
+    )
+
+
+def newest_panel(
+    versions: DataFrame, panel_days: DataFrame, keys: list[str], period: str, n: int = 1
+) -> DataFrame:
+    """For every panel day, the visible versions of the ``n`` newest periods of a group.
+
+    A group is ``keys`` without ``period``. A version is shown until its successor comes or until
+    ``n`` newer periods have come, so only what is asked for is expanded. First dates are kept per
+    period, of which a group has no more than the calendar has days.
+    """
+    group = [k for k in keys if k != period]
+    firsts = versions.groupBy(*keys).agg(F.expr("min(available_date) as _first")).groupBy(*group).agg(
+        F.expr(f"reverse(array_sort(collect_list(struct(`{period}` as period, _first as first)))) as _periods"))
+    newer = "array_sort(array_append(s.newest, p.first))"
+    fold = (
+        "aggregate(_periods, named_struct('newest', cast(array() as array<date>), 'seen', "
+        "cast(array() as array<struct<period: date, hidden: date>>)), (s, p) -> named_struct("
+        f"'newest', slice({newer}, 1, {n}), 'seen', "
+        f"array_append(s.seen, struct(p.period as period, get(s.newest, {n - 1}) as hidden))))"
+    )
+    hidden = firsts.selectExpr(*[f"`{k}`" for k in group], f"inline({fold}.seen)").withColumnRenamed("period", period)
+    shown = validity_ranges(versions, keys).join(hidden, keys).withColumn(
+        "valid_to", F.expr("least(valid_to, date_sub(hidden, 1))")).filter("valid_to is null or valid_from <= valid_to")
+    return explode_intervals(shown, panel_days, "valid_from", "valid_to").drop("valid_from", "valid_to", "hidden")
+
+
 def panel_calendar(calendar: DataFrame, wanted) -> DataFrame:
     """Re-index the calendar over the trading days matching the condition ``wanted``."""
     return linked(calendar.filter(wanted))

@@ -558,6 +558,16 @@ def quarters_asof(m: DemoMarket) -> DataFrame:
     )
 
 
+_PERIOD = ["source_table", "ts_code", "metric", "end_date"]
+
+
+def _quarter_ends(m: DemoMarket) -> DataFrame:
+    return asof.panel_calendar(
+        m.calendar(),
+        "month(next_trade_date) <> month(trade_date) and month(trade_date) in (3, 6, 9, 12)",
+    )
+
+
 @query("""
 WITH panel AS (SELECT trade_date FROM m_cal WHERE month(next_trade_date) <> month(trade_date)
                AND month(trade_date) IN (3, 6, 9, 12)),
@@ -570,17 +580,31 @@ FROM panel JOIN ranged ON available_date <= trade_date
 GROUP BY 1, 2, 3, 4
 """)
 def asof_panel(m: DemoMarket) -> DataFrame:
-    """TTM figures as known at the last session of each quarter, for every code and period."""
-    days = asof.panel_calendar(
-        m.calendar(),
-        "month(next_trade_date) <> month(trade_date) and month(trade_date) in (3, 6, 9, 12)",
-    )
-    keys = ["source_table", "ts_code", "metric", "end_date"]
-    panel = asof.asof_panel(m.ttm().drop("source_record_ids"), days, keys)
-    return panel.groupBy("trade_date", "source_table", "metric", "status").agg(
-        F.expr("count(*) as n"),
-        F.expr("cast(sum(cast(value as decimal(28,0))) as decimal(38,0)) as total"),
-    )
+    """TTM figures as known at the last session of each quarter, over all codes and periods."""
+    versions = m.ttm().select(*_PERIOD, "available_date", "status", "value")
+    totals = asof.panel_totals(
+        versions, _quarter_ends(m), _PERIOD, ["source_table", "metric", "status"],
+        "cast(value as decimal(28,0))")
+    return totals.withColumn("total", F.col("total").cast("decimal(38,0)"))
+
+
+@query("""
+WITH panel AS (SELECT trade_date FROM m_cal WHERE month(next_trade_date) <> month(trade_date)
+               AND month(trade_date) IN (3, 6, 9, 12)),
+seen AS (
+  SELECT trade_date, source_table, ts_code, metric, end_date, available_date, status, value
+  FROM panel JOIN m_ttm ON available_date <= trade_date
+  QUALIFY row_number() OVER (PARTITION BY trade_date, source_table, ts_code, metric, end_date
+                             ORDER BY available_date DESC) = 1)
+SELECT * FROM seen
+QUALIFY row_number() OVER (PARTITION BY trade_date, source_table, ts_code, metric
+                           ORDER BY end_date DESC) <= 2
+""")
+def asof_panel_newest(m: DemoMarket) -> DataFrame:
+    """Per code, the two newest TTM figures as known at the last session of each quarter."""
+    versions = m.ttm().select(*_PERIOD, "available_date", "status", "value")
+    return asof.newest_panel(versions, _quarter_ends(m), _PERIOD, "end_date", 2).select(
+        "trade_date", *_PERIOD, "available_date", "status", "value")
 
 
 # -- universe ------------------------------------------------------------------------------
@@ -1074,17 +1098,183 @@ def check_diff_value(m: DemoMarket) -> DataFrame:
 UNIVERSE_TABLES = ("daily_research_universe", "research_universe_config")
 
 
-@query(_zero_rows([(c.table, c.name) for c in report.CHECKS if c.table in UNIVERSE_TABLES], {}))
-def checks_universe(m: DemoMarket) -> DataFrame:
-    """All universe checks on sound tables."""
-    found = {
+def _universe_tables(m: DemoMarket) -> dict[str, DataFrame]:
+    return {
         "daily_calendar": m.calendar(), "daily_stock_state": m.staged("state"),
         "daily_trade_status": m.staged("status"), "daily_research_universe": m.staged("universe"),
         "research_universe_config": uni.universe_config(
             m.spark, DEFAULT_UNIVERSES, DEFAULT_CAPABILITIES
         ),
     }
-    return _summary(found, UNIVERSE_TABLES)
+
+
+@query(_zero_rows([(c.table, c.name) for c in report.CHECKS if c.table in UNIVERSE_TABLES], {}))
+def checks_universe(m: DemoMarket) -> DataFrame:
+    """All universe checks on sound tables."""
+    return _summary(_universe_tables(m), UNIVERSE_TABLES)
+
+
+# -- checks on broken tables ---------------------------------------------------------------
+
+# Of each check: which table is broken, by which column texts or selection of rows, and the SQL
+# count of what it must then find. Days are days of the month, months those of the period.
+_ELSEWHERE = "date'1900-01-06'"
+
+
+def _set(**columns: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+
+
+def _on(day: int, **columns: str) -> Callable[[DataFrame], DataFrame]:
+    return _set(**{n: f"if(dayofmonth(trade_date) = {day}, {sql}, `{n}`)" for n, sql in columns.items()})
+
+
+def _in(month: int, condition: str = "true", **columns: str) -> Callable[[DataFrame], DataFrame]:
+    return _set(**{n: f"if(month(end_date) = {month} and {condition}, {sql}, `{n}`)" for n, sql in columns.items()})
+
+
+def _without(condition: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.filter(f"not ({condition})")
+
+
+def _twice(condition: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.unionByName(df.filter(condition))
+
+
+def _rows_of(view: str, condition: str) -> str:
+    return f"(SELECT count(*) FROM {view} WHERE {condition})"
+
+
+_BREAKS: list[tuple[str, str, str, Callable[[DataFrame], DataFrame], str]] = []
+
+
+def _breaks(table: str, name: str, do, count: str, broken: str | None = None) -> None:
+    _BREAKS.append((table, name, broken or table, do, count))
+
+
+for _table, _view in (("daily_adjusted_price", "m_adjusted"), ("daily_stock_state", "m_state"),
+                      ("daily_trade_status", "m_status"), ("daily_research_universe", "m_universe")):
+    _breaks(_table, "non_trading_date", _on(1, trade_date=_ELSEWHERE), _rows_of(_view, "day(trade_date) = 1"))
+    _breaks(_table, "duplicate_primary_key", _twice("dayofmonth(trade_date) = 2"),
+            _rows_of(_view, "day(trade_date) = 2"))
+    _breaks(_table, "null_primary_key", _on(3, ts_code="null"), _rows_of(_view, "day(trade_date) = 3"))
+_breaks("daily_adjusted_price", "raw_price_coverage", _without("dayofmonth(trade_date) = 2"),
+        _rows_of("m_adjusted", "day(trade_date) = 2"))
+_breaks("daily_adjusted_price", "invented_quote", _on(3, ts_code="concat('X', ts_code)"),
+        _rows_of("m_adjusted", "day(trade_date) = 3"))
+_breaks("daily_adjusted_price", "original_source_values", _on(4, vol="vol + 1"),
+        _rows_of("m_adjusted", "day(trade_date) = 4"))
+_breaks("daily_calendar", "source_calendar_coverage", _without("dayofmonth(trade_date) = 2"),
+        _rows_of("m_cal", "day(trade_date) = 2"))
+_breaks("daily_stock_state", "missing_security_date", _without("dayofmonth(trade_date) = 2"),
+        _rows_of("m_state", "day(trade_date) = 2"))
+_breaks("daily_stock_state", "invented_history", _on(1, is_st="if(is_listed, not is_st, is_st)", is_star_st=
+        "if(is_listed, not is_st, is_star_st)"),
+        "(SELECT count(*) FROM m_state WHERE is_listed AND is_st IS NOT NULL "
+        "AND (day(trade_date) = 1 OR historical_state_status <> 'namechange_derived'))")
+_breaks("daily_trade_status", "unknown_and_reasons", _on(1, cannot_buy_reason="'OTHER'"),
+        _rows_of("m_status", "day(trade_date) = 1 AND can_buy IS DISTINCT FROM false"))
+_breaks("daily_trade_status", "limit_price_sources", _on(1, up_limit="up_limit + 1"),
+        _rows_of("m_status", "day(trade_date) = 1 AND limit_price_exists"))
+_breaks("daily_trade_status", "limit_direction_from_price_evidence",
+        _on(1, is_limit_up="coalesce(not is_limit_up, true)"),
+        _rows_of("m_status", "day(trade_date) = 1 AND limit_price_exists AND quotation_exists"))
+
+_CUMULATIVE = "source_table IN ('income_vip', 'cashflow_vip') AND "
+_OPEN = "availability_status = 'available'"
+_breaks("financial_available", "duplicate_primary_key", _twice("month(end_date) = 3"),
+        _rows_of("m_filings", _CUMULATIVE + "month(end_date) = 3"))
+_breaks("financial_available", "null_primary_key", _in(3, record_id="null"),
+        _rows_of("m_filings", _CUMULATIVE + "month(end_date) = 3"))
+_breaks("financial_available", "original_date_consistency", _in(3, ann_date="date_add(ann_date, 1)"),
+        _rows_of("m_filings", _CUMULATIVE + "month(end_date) = 3 AND ann_date IS NOT NULL"))
+_breaks("financial_available", "invalid_record_must_not_be_available", _in(6, ts_code="'bad'"),
+        _rows_of("m_filings", _CUMULATIVE + f"month(end_date) = 6 AND {_OPEN}"))
+_breaks("financial_available", "strict_announcement_delay", _in(9, available_date="date_add(available_date, 1)"),
+        _rows_of("m_filings", _CUMULATIVE + f"month(end_date) = 9 AND {_OPEN}"))
+_breaks("financial_available", "original_record_hash", _in(12, update_flag="'9'"),
+        _rows_of("m_filings", _CUMULATIVE + "month(end_date) = 12"))
+_breaks("financial_available", "source_conservation", _in(12, source_count="source_count + 1"),
+        "(SELECT count(DISTINCT source_table) FROM m_filings WHERE " + _CUMULATIVE + "month(end_date) = 12)")
+_breaks("financial_available", "location_reconciliation", _without("endswith(file, '0331')"),
+        _rows_of("m_filings", _CUMULATIVE + "source_file LIKE '%0331'"), broken="filing_locations")
+
+for _table, _view in (("quarterly_financial", "m_quarterly"), ("ttm_financial", "m_ttm")):
+    _breaks(_table, "value_status", _in(3, value="if(status = 'available', double('nan'), 1d)"),
+            _rows_of(_view, "month(end_date) = 3"))
+    _breaks(_table, "duplicate_primary_key", _twice("month(end_date) = 6"), _rows_of(_view, "month(end_date) = 6"))
+    _breaks(_table, "null_primary_key", _in(9, ts_code="null"), _rows_of(_view, "month(end_date) = 9"))
+_breaks("quarterly_financial", "cumulative_metric_whitelist", _in(6, metric="'other'"),
+        _rows_of("m_quarterly", "month(end_date) = 6"))
+_breaks("quarterly_financial", "source_periods", _in(9, source_end_dates="array(end_date)"),
+        _rows_of("m_quarterly", "month(end_date) = 9 AND status = 'available'"))
+for _name in ("source_record_lineage", "latest_visible_source_versions"):
+    _breaks("quarterly_financial", _name, _in(9, source_record_ids="array('none')"),
+            _rows_of("m_quarterly", "month(end_date) = 9"))
+_breaks("quarterly_financial", "cumulative_difference_value", _in(12, value="value + 1"),
+        _rows_of("m_quarterly", "month(end_date) = 12 AND status = 'available'"))
+_breaks("ttm_financial", "four_source_quarters", _in(12, source_quarter_ids="slice(source_quarter_ids, 1, 3)"),
+        _rows_of("m_ttm", "month(end_date) = 12 AND status = 'available'"))
+_breaks("ttm_financial", "quarter_lineage_and_sum", _in(12, value="value + 1"),
+        _rows_of("m_ttm", "month(end_date) = 12 AND status = 'available'"))
+_breaks("ttm_financial", "original_record_lineage", _in(12, "status = 'available'", source_record_ids="array('none')"),
+        _rows_of("m_ttm", "month(end_date) = 12 AND status = 'available'"))
+# Shown as of the last day of all, a figure cites a replaced quarter wherever one was restated later.
+_breaks("ttm_financial", "latest_visible_quarter_versions",
+        lambda df: df.filter("status = 'available'").withColumn("available_date", F.expr("date'2999-01-01'")),
+        """(SELECT count(*) FROM m_ttm t JOIN (
+  SELECT source_table, ts_code, metric, end_date AS quarter, max(available_date) AS final
+  FROM m_quarterly GROUP BY ALL) q USING (source_table, ts_code, metric)
+ WHERE t.status = 'available' AND final > available_date
+  AND quarter IN (end_date, last_day(end_date - INTERVAL 3 MONTH),
+    last_day(end_date - INTERVAL 6 MONTH), last_day(end_date - INTERVAL 9 MONTH)))""")
+
+_breaks("daily_research_universe", "config_trace", _on(1, config_id="'other'"),
+        _rows_of("m_universe", "day(trade_date) = 1"))
+_breaks("daily_research_universe", "missing_member_row", _without("dayofmonth(trade_date) = 2"),
+        _rows_of("m_universe", "day(trade_date) = 2"))
+_breaks("daily_research_universe", "historical_membership", _on(1, is_in_universe="not is_in_universe"),
+        _rows_of("m_universe", "day(trade_date) = 1 AND is_in_universe IS NOT NULL"))
+_breaks("daily_research_universe", "trade_facts_preserved", _on(1, can_buy="coalesce(not can_buy, true)"),
+        _rows_of("m_universe", "day(trade_date) = 1"))
+_breaks("research_universe_config", "rule_identity_or_deferral", _set(config_json="concat(config_json, ' ')"),
+        "(SELECT count(DISTINCT universe_id) FROM m_universe)")
+
+
+def _broken(sound: dict[str, DataFrame], only: tuple[str, ...]) -> DataFrame:
+    """(table_name, check_name, violations) of every check, each on its own broken table."""
+    parts = []
+    for table, name, broken, do, _ in _BREAKS:
+        if table in only:
+            c = next(c for c in report.CHECKS if (c.table, c.name) == (table, name))
+            rows = c.rows({**sound, broken: do(sound[broken])})
+            parts.append(rows.groupBy().agg(
+                F.lit(table).alias("table_name"), F.lit(name).alias("check_name"),
+                F.expr("count(*) as violations")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _broken_sql(only: tuple[str, ...]) -> str:
+    held = {(table, name): count for table, name, _, _, count in _BREAKS if table in only}
+    return _zero_rows(list(held), held)
+
+
+@query(_broken_sql(MARKET_TABLES))
+def checks_market_broken(m: DemoMarket) -> DataFrame:
+    """Every market check not covered by ``checks_market_damaged`` counts exactly what was broken."""
+    return _broken(_clean(m), MARKET_TABLES)
+
+
+@query(_broken_sql(FINANCE_TABLES))
+def checks_filings_broken(m: DemoMarket) -> DataFrame:
+    """Every filing, quarterly and TTM check counts exactly what was broken."""
+    return _broken(_finance(m), FINANCE_TABLES)
+
+
+@query(_broken_sql(UNIVERSE_TABLES))
+def checks_universe_broken(m: DemoMarket) -> DataFrame:
+    """Every universe check counts exactly what was broken."""
+    return _broken(_universe_tables(m), UNIVERSE_TABLES)
 
 
 @query("""

@@ -62,21 +62,30 @@ def scan_parquet(
 def scan_csv(
     spark: SparkSession, root: str, pattern: str, contract: SourceContract | None = None
 ) -> DataFrame:
-    """Small header CSV files, every column text, empty text NULL.
+    """Header CSV files, every column text, empty text NULL; large files are read by many tasks.
 
-    CSV carries no row index, so rows are numbered per file; use it for fixtures.
+    CSV carries no row index. Rows of a split follow each other, so a first pass counts the rows of
+    every split, and a row's number is its place in the split plus the rows of the splits before.
+    What is ordered and joined is one row per split. A line break inside quotes is not supported.
     """
-    df = spark.read.option("header", "true").option("inferSchema", "false").csv(
+    read = spark.read.option("header", "true").option("inferSchema", "false").csv(
         f"{root.rstrip('/')}/{pattern}"
     )
-    columns = df.columns
-    numbered = df.selectExpr(
+    placed = read.selectExpr(
         "*", f"{_relative('_metadata.file_path', _plain_path(spark, root))} as _source_file",
+        "_metadata.file_path as _path", "_metadata.file_block_start as _split",
         "monotonically_increasing_id() as _order",
+    )
+    splits = placed.groupBy("_path", "_split").agg(
+        F.expr("min(_order) as _first"), F.expr("count(*) as _rows")
     ).selectExpr(
-        *columns, "_source_file",
-        "cast(row_number() over (partition by _source_file order by _order) - 1 as bigint) "
-        "as _source_row",
+        "_path", "_split", "_first",
+        "coalesce(sum(_rows) over (partition by _path order by _split "
+        "rows between unbounded preceding and 1 preceding), 0) as _before",
+    )
+    numbered = placed.join(splits, ["_path", "_split"]).selectExpr(
+        *[f"`{c}`" for c in read.columns], "_source_file",
+        "cast(_order - _first + _before as bigint) as _source_row",
     )
     return require_fields(numbered, contract) if contract else numbered
 
