@@ -1168,8 +1168,7 @@ _breaks("daily_calendar", "source_calendar_coverage", _without("dayofmonth(trade
         _rows_of("m_cal", "day(trade_date) = 2"))
 _breaks("daily_stock_state", "missing_security_date", _without("dayofmonth(trade_date) = 2"),
         _rows_of("m_state", "day(trade_date) = 2"))
-_breaks("daily_stock_state", "invented_history", _on(1, is_st="if(is_listed, not is_st, is_st)", is_star_st=
-        "if(is_listed, not is_st, is_star_st)"),
+_breaks("daily_stock_state", "invented_history", _on(1, is_st="if(is_listed, not is_st, is_st)"),
         "(SELECT count(*) FROM m_state WHERE is_listed AND is_st IS NOT NULL "
         "AND (day(trade_date) = 1 OR historical_state_status <> 'namechange_derived'))")
 _breaks("daily_trade_status", "unknown_and_reasons", _on(1, cannot_buy_reason="'OTHER'"),
