@@ -288,3 +288,24 @@ def test_fingerprint_sees_nulls_and_order(spark):
     assert mark([(1, None)], "a int, b int") != mark([(None, 1)], "a int, b int")
     assert mark([([1, None],)], "a array<int>") != mark([([None, 1],)], "a array<int>")
     assert mark([]) != mark([(None, None)])
+
+
+def test_filings_are_shuffled_once_and_stay_by_company(golden):
+    """From raw rows to TTM no exchange follows the one that brings a company's rows together."""
+    rows = filings.filings_available(golden.sources(), golden.calendar(), reused=False)
+    long = quarters.metrics_long(rows, {"income_vip": ["revenue"]})
+    ttm = quarters.ttm(quarters.quarterly(quarters.period_versions(long, clustered=True)))
+    plan = ttm._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_large_companies_are_numbered_by_slices(golden, monkeypatch):
+    """Whichever companies count as large, versions, counts and first places are the same."""
+    extra = [golden.rows["income_vip"][0], filed("20201231", ann=" ", final=None)]
+    sources = {**golden.sources(), "income_vip": golden.frame("income_vip", _income(golden, *extra, extra[0]))}
+    columns = ["source_table", "record_id", "version", "source_count", "source_file", "source_row", "raw_end_date"]
+    plain = filings.versioned_filings(sources).select(*columns)
+    for limit in (0, 3):
+        monkeypatch.setattr(filings, "LARGE", limit)
+        mixed = filings.versioned_filings(sources, reused=False).select(*columns)
+        assert plain.exceptAll(mixed).count() == mixed.exceptAll(plain).count() == 0 < plain.count()
