@@ -471,3 +471,18 @@ def test_panels_against_every_day_asked(spark, golden):
     none = versions.filter("false")
     assert asof.panel_totals(none, ends, ["k", "period"], ["kind"], "value").count() == 0
     assert asof.newest_panel(none, ends, ["k", "period"], "period").count() == 0
+
+
+def test_the_grid_is_neither_sorted_nor_shuffled_again(golden):
+    """One join per input by hash; membership follows in the same rows, without another join."""
+    from tidemark.contracts import DEFAULT_UNIVERSES
+    from tidemark.operators import universe
+
+    status = feasibility.trade_status(
+        golden.state(), golden.prices(), *golden.events(), golden.calendar(), TRADE, carried=universe.CARRIED)
+    found = universe.members(status, DEFAULT_UNIVERSES, DEFAULT_CAPABILITIES)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [trade_date" not in plan and plan.count("ShuffledHashJoin [trade_date") >= 4
+    plain = universe.research_universe(
+        golden.state(), status, golden.calendar(), DEFAULT_UNIVERSES, DEFAULT_CAPABILITIES)
+    assert plain.exceptAll(found).count() == found.exceptAll(plain).count() == 0 < plain.count()

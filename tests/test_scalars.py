@@ -15,6 +15,7 @@ from tidemark.functions.scalars import (
     quarter_end,
     quarter_index,
 )
+from tidemark.session import one_by_one
 
 D = date
 
@@ -55,3 +56,12 @@ def test_quarters(spark):
 def test_compensated_sum(spark, terms, total):
     doubles = [f"double('{t}')" for t in terms]
     assert spark.range(1).selectExpr(f"{compensated_sum(doubles)} as s").first().s == total
+
+
+def test_parts_are_written_one_by_one(spark):
+    """What is read back are the written results, so no plan holds more than one part."""
+    parts = [spark.range(n).selectExpr("count(*) as n", f"'{n}' as part") for n in (3, 5)]
+    both = one_by_one(parts)
+    assert sorted(map(tuple, both.collect())) == [(3, "3"), (5, "5")]
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Relation") == 2
