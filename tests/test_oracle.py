@@ -59,3 +59,9 @@ def test_windows_after_clustering_do_not_shuffle(spark):
         return plan.count("Exchange hashpartitioning")
 
     assert exchanges("ttm") == exchanges("quarterly") == exchanges("period_versions")
+
+
+def test_no_fixed_number_of_tasks_deals_rows_out(spark):
+    """The rows dealt out anew follow the session's partitions, so a task's share does not grow."""
+    plan = queries()["fingerprint_properties"](spark, SF)._jdf.queryExecution().toString()
+    assert "RepartitionByExpression [l_orderkey" in plan and "Repartition 7" not in plan
