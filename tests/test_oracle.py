@@ -65,3 +65,11 @@ def test_no_fixed_number_of_tasks_deals_rows_out(spark):
     """The rows dealt out anew follow the session's partitions, so a task's share does not grow."""
     plan = queries()["fingerprint_properties"](spark, SF)._jdf.queryExecution().toString()
     assert "RepartitionByExpression [l_orderkey" in plan and "Repartition 7" not in plan
+
+
+@pytest.mark.parametrize("name", ["table_fingerprint", "manifest"])
+def test_identities_are_held_against_sql(spark, name):
+    """Both say by SQL that the identity does not depend on the order of rows."""
+    assert "free_of_order" in oracle_sql()[name]
+    assert queries()[name](spark, SF).first().free_of_order is True
+    assert {"hash_sum", "hash_xor"} <= set(queries()[name.replace("table_fingerprint", "table") + "_hashes"](spark, SF).columns)
