@@ -73,3 +73,9 @@ def test_identities_are_held_against_sql(spark, name):
     assert "free_of_order" in oracle_sql()[name]
     assert queries()[name](spark, SF).first().free_of_order is True
     assert {"hash_sum", "hash_xor"} <= set(queries()[name.replace("table_fingerprint", "table") + "_hashes"](spark, SF).columns)
+
+
+def test_tables_of_a_histogram_are_counted_one_by_one(spark):
+    """The union reads four written counts; no plan holds the shuffles of all four tables."""
+    plan = queries()["status_histogram"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("staged-") == 4
