@@ -213,3 +213,20 @@ def test_maxima_do_not_depend_on_blocks(monkeypatch):
     again = toxicity.Network.load(net.save())
     assert all((getattr(net, n) == getattr(again, n)).all() for n in net.names())
     assert SCHEMA.startswith("doc_id")
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Beyond one learner's documents and in texts of any length; twice gives the same weights."""
+    monkeypatch.setattr(toxicity, "LEARNER", 100)
+    known = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame(
+        [(i, ("calm kind " * (8000 if i == known[0] else 5)) + (" vile" if i % 4 == 0 else " nice"), "en")
+         for i in range(1000)] + [(known[1], "calm", "en")], "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame([(i, 1, int(i % 4 == 0), None) for i in range(1000)], LABELS)
+    learned = toxicity.labelled(docs, marks).collect()
+    assert sorted(r.doc_id for r in learned) == known and max(len(r.text) for r in learned) > 60_000
+    assert next(r.text for r in learned if r.doc_id == known[1]) == "calm"
+    fitted = toxicity.train(docs, marks)
+    assert toxicity.train(docs.repartition(5), marks) == fitted
+    scored = toxicity.toxicity(docs, marks).filter("held_out").collect()
+    assert all(r.predicted == (r.doc_id % 4 == 0) for r in scored)
