@@ -79,3 +79,9 @@ def test_tables_of_a_histogram_are_counted_one_by_one(spark):
     """The union reads four written counts; no plan holds the shuffles of all four tables."""
     plan = queries()["status_histogram"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("staged-") == 4
+
+
+def test_key_conflicts_neither_hash_nor_sort_records(spark):
+    """Records are told apart by their columns in aggregates; none is identified or numbered first."""
+    plan = queries()["candidate_key_conflicts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "sha2(" not in plan and "Window" not in plan and "Sort " not in plan
