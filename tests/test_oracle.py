@@ -6,12 +6,14 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 from check_oracle import compare, duck  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from tidemark.plans import demo  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,3 +87,16 @@ def test_key_conflicts_neither_hash_nor_sort_records(spark):
     """Records are told apart by their columns in aggregates; none is identified or numbered first."""
     plan = queries()["candidate_key_conflicts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "sha2(" not in plan and "Window" not in plan and "Sort " not in plan
+
+
+def test_filings_are_multiplied_in_tasks_that_follow_the_totals(spark, monkeypatch):
+    """However few files the totals lie in, a task multiplies a bounded number of them, and a
+    customer's years together."""
+    monkeypatch.setattr(demo, "TOTALS_PER_TASK", 20, raising=False)
+    market = demo.DemoMarket(spark, SF)
+    tasks = market.staged("_filing_totals").count() // 20
+    rows = market.filing_source("income_vip")
+    assert rows.rdd.getNumPartitions() == tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = rows.selectExpr("ts_code", "spark_partition_id() as task").groupBy("ts_code").agg(
+        F.count_distinct("task").alias("tasks"))
+    assert held.filter("tasks > 1").isEmpty() and not held.isEmpty()
