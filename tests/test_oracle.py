@@ -100,3 +100,14 @@ def test_filings_are_multiplied_in_tasks_that_follow_the_totals(spark, monkeypat
     held = rows.selectExpr("ts_code", "spark_partition_id() as task").groupBy("ts_code").agg(
         F.count_distinct("task").alias("tasks"))
     assert held.filter("tasks > 1").isEmpty() and not held.isEmpty()
+
+
+@pytest.mark.parametrize("name", ["record_dedup", "quarters_asof"])
+def test_filings_dealt_out_by_company_are_not_shuffled_again(spark, name):
+    """Totals are dealt out by code before they are multiplied; no wide row, which has a source
+    file, is shuffled after that."""
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # Everything but the look-up of days lies above the union of the sources, without an exchange.
+    above = plan[:plan.index("Union")]
+    assert "Window" in above and "Exchange" not in above
+    assert all("ts_code" in line for line in plan.split("\n") if "Exchange hashpartitioning" in line)
