@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 from conftest_llm import alnum, awkward_rows, sha, spaced
 from pyspark.sql import functions as F
 
@@ -162,6 +164,20 @@ def jaccard_components():
     return out, groups, sets
 
 
+def test_frequency_order_reaches_the_driver_in_short_rows(spark, monkeypatch):
+    """Logarithms are taken by Spark: the driver gets six bytes per counter, not two long numbers."""
+    docs = spark.range(300).selectExpr("concat_ws(' ', transform(sequence(0, 40), i -> cast(i * id as string))) as text")
+    sent, fetch = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: sent.append(fetch(df)) or sent[-1])
+    order = jaccard.frequency_order(docs)
+    assert [str(kind) for kind in sent[0].schema.types] == ["int32", "int16"]
+    rows = docs.toPandas().text.to_list()
+    counts = np.zeros(len(order), np.int64)
+    for _, grams in jaccard.shingle_sets(pa.array(rows)):
+        np.add.at(counts, grams >> np.uint64(64 - jaccard.SKETCH_BITS), 1)
+    assert (order == (8 * np.log2(counts + 1)).astype(np.uint8)).all() and order.any()
+
+
 def test_jaccard_components(awkward, empty):
     expected, groups, sets = jaccard_components()
     got = jaccard.linked_components(awkward).select("doc_id", "n_shingles", "component_id")
