@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,20 @@ def test_lineage_checks_shuffle_each_table_once_by_company(spark, name):
     plan = check.rows(catalog._finance(catalog.market(spark, SF)))._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.split("\n") if "Exchange" in line]
     assert len(exchanges) == 2 and all("hashpartitioning(ts_code" in line for line in exchanges)
+
+
+def test_the_hashes_of_a_fingerprint_are_held_against_sql(spark, tmp_path):
+    """The query returns the identity itself, and its SQL computes it anew, nulls and signs included."""
+    full = (1, -2, 3, 4, 5.5, -0.0, 0.1, float("nan"), "R", "", "1998-01-01 00:00:01.5")
+    rows = [full, full, (7, 2, 3, 1, 1e300, 0.0, -1.0, 2.0, "ABC", "é", "1960-02-29 12:00:00")]
+    rows += [tuple(None if i == j else v for j, v in enumerate(full)) for i in range(11)] + [(None,) * 11]
+    schema = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+              "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string")
+    lines = spark.createDataFrame(rows, schema).withColumn("l_shipdate", F.expr("cast(l_shipdate as timestamp_ntz)"))
+    for name, table in (("some", lines), ("none", lines.filter("false"))):
+        table.write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/{name}/lineitem.parquet/*.parquet')")
+        assert compare(spark, con, "table_fingerprint", f"{tmp_path}/{name}") == ""
+    assert {"hash_sum", "hash_xor", "free_of_order"} <= set(queries()["table_fingerprint"](spark, SF).columns)
+    assert "hash_sum" not in queries()["fingerprint_properties"](spark, SF).columns
